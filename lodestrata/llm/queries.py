@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import mixing
 from ._common import table
 
 
@@ -21,6 +22,24 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lattice import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixing_report
+
+    return mixing_report(table(spark, sf_dir, "documents"))
+
+
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -34,5 +53,5 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op6_simhash_near_dedup, op10_suffix_array_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_lattice_scores, op3_mixing, op5_language_mixture, op6_simhash_near_dedup, op10_suffix_array_dedup)}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE}
