@@ -34,6 +34,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_report(table(spark, sf_dir, "documents"))
 
 
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .imatch import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import identify
 
@@ -53,5 +59,5 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_lattice_scores, op3_mixing, op5_language_mixture, op6_simhash_near_dedup, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_lattice_scores, op3_mixing, op4_imatch, op5_language_mixture, op6_simhash_near_dedup, op10_suffix_array_dedup)}
 ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE}
