@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,13 @@ def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``; Python workers started from here on find this package where the driver found it.
+
+    (On a cluster whose machines don't share that folder, ship the package with ``addPyFile``.)
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -105,12 +105,19 @@ def proportions(scores: np.ndarray, rounds: int = 30) -> np.ndarray:
 
 
 def identify(
-    docs: DataFrame, folds: int = 4, held_fold: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    folds: int = 4,
+    held_fold: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Predict the language of every text from a model of the labelled rows outside the held-out fold.
 
     Returns doc_id, held_out, lang_pred, score (the share of the predicted language),
-    languages (every language kept, by share), one row per input row.  Null text or
+    languages (every language kept, by share) and the columns of ``keep`` as
+    ``kept_<name>``, one row per input row.  Null text or
     text without a letter, or no labelled training row at all: ``und`` with score 0.
     A null id is never held out.  Ties go to the language first in code-point order.
     Repeated rows are predicted alike; an empty table gives no rows; other columns are
@@ -121,6 +128,7 @@ def identify(
         (common.fold(id_col, folds) == held_fold).alias("held_out"),
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
+        *[F.col(c).alias(f"kept_{c}") for c in keep],
     )
     langs, logs = train(rows.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text"))
     model = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logs.T))
@@ -141,10 +149,20 @@ def identify(
                 scores.append(min(1.0, float(share[best])))
                 sets.append([langs[i] for i in np.argsort(-share, kind="stable") if share[i] > 0])
             yield pa.RecordBatch.from_arrays(
-                [batch[0], batch[1], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string()))],
-                ["doc_id", "held_out", "lang_pred", "score", "languages"],
+                [
+                    batch[0],
+                    batch[1],
+                    pa.array(preds, pa.string()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(sets, pa.list_(pa.string())),
+                    *batch.columns[3:],
+                ],
+                ["doc_id", "held_out", "lang_pred", "score", "languages", *names],
             )
 
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double, languages array<string>"
+    names = [f"kept_{c}" for c in keep]
+    rows = rows.select("doc_id", "held_out", "text", *names)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[3:]]
+    return rows.mapInArrow(
+        run, ", ".join(["doc_id long, held_out boolean, lang_pred string, score double, languages array<string>", *kinds])
     )

@@ -53,11 +53,43 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .style_tree import extract
+
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op9_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import judge
+
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import digest, remove_repeats
 
     return digest(remove_repeats(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_lattice_scores, op3_mixing, op4_imatch, op5_language_mixture, op6_simhash_near_dedup, op10_suffix_array_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_harmonic_packing,
+        op2_lattice_scores,
+        op3_mixing,
+        op4_imatch,
+        op5_language_mixture,
+        op6_simhash_near_dedup,
+        op7_site_style_tree,
+        op8_cross_polytope,
+        op9_url_models,
+        op10_suffix_array_dedup,
+    )
+}
 ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE}

@@ -282,8 +282,8 @@ def covered_runs(pieces: DataFrame, width: int, crowded: int = CROWDED) -> DataF
 def remove_repeats(docs: DataFrame, width: int = 50, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
     """Remove each byte covered by a ``width``-byte string that also starts in a smaller document.
 
-    Returns doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans, one row
-    per input row.  Null text: empty.  A null id counts as larger than any other.
+    Returns doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans, text_hash
+    (xxhash64 of the input text), one row per input row.  Null text: empty.  A null id counts as larger than any other.
     Rows that share an id don't remove from each other; of equal texts the smallest
     id's stays.  Texts shorter than ``width`` are never touched.  An empty table
     gives no rows; other columns are ignored.  Texts are UTF-8, in which byte 255
@@ -304,7 +304,7 @@ def apply_runs(rows: DataFrame, side: DataFrame, width: int) -> DataFrame:
         by: dict[tuple, list] = {}
         for i, k, a, b in zip(*_columns(spans, "doc_id", "tkey", "start", "end"), strict=True):
             by.setdefault((i, k), []).append((a, b))
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for i, k, body in zip(*_columns(docs, "doc_id", "tkey", "body"), strict=True):
             found = by.get((i, k))
             merged: list[list[int]] = []
@@ -320,18 +320,31 @@ def apply_runs(rows: DataFrame, side: DataFrame, width: int) -> DataFrame:
                 kept.append(body[at:a])
                 at = b
             kept.append(body[at:])
-            for c, v in zip(out, (None if i == NO_ID else i, b"".join(kept), len(body), sum(b - a for a, b in merged), len(merged)), strict=True):
+            row = (None if i == NO_ID else i, b"".join(kept), len(body), sum(b - a for a, b in merged), len(merged), k)
+            for c, v in zip(out, row, strict=True):
                 c.append(v)
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "text_hash"]
+        return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
     return (
         rows.groupBy("block")
         .cogroup(side.groupBy("block"))
-        .applyInArrow(drop, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+        .applyInArrow(drop, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, text_hash long")
     )
 
 
+def kept_texts(kept: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text), each once: the remaining bytes as text; a cut inside a character drops its remains."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [x.decode("utf-8", "ignore") for x in b[2].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(texts, pa.string())], ["doc_id", "text_hash", "text"])
+
+    return kept.select("doc_id", "text_hash", "kept").mapInArrow(run, "doc_id long, text_hash long, text string").dropDuplicates(["doc_id", "text_hash"])
+
+
 def digest(kept: DataFrame) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
