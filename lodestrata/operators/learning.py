@@ -67,7 +67,7 @@ def apply_classifiers(df: DataFrame, models: dict[str, PipelineModel]) -> DataFr
     """``{mission}_preds`` of every model, in one projection after another over the same rows."""
     out = df
     for name, model in models.items():
-        made = [c for s in model.stages for c in [s.getOutputCol()] if s.hasParam("outputCol")] + ["rawPrediction", "probability", "prediction"]
+        made = [s.getOutputCol() for s in model.stages if s.hasParam("outputCol")] + ["rawPrediction", "probability", "prediction"]
         out = model.transform(out).withColumn(f"{name}_preds", F.col("prediction").cast("int")).drop(*made)
     return out
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 
 def _modules() -> list:
-    return []
+    from . import companies, texts
+
+    return [companies, texts]
 
 
 def queries() -> dict[str, Callable]:
