@@ -6,12 +6,13 @@ Plan (``width`` bytes make a repeat):
 2. Every window of ``width`` bytes belongs to the smallest k-gram hash in it (its
    minimizer).  Equal windows have equal minimizers, so a window whose minimizer
    occurs in one document only can't repeat.  This is lossless.
-3. The remaining windows travel as runs ("pieces") to the shard of their minimizer.
-   A shard concatenates its distinct pieces, builds their suffix array by induced
-   sorting and the permuted longest-common-prefix array, and so learns the smallest
-   document of every class of equal windows.
-4. A window is covered if its class has a smaller document; covered runs return to
-   their document, which drops those bytes.
+3. The remaining windows travel as runs ("pieces") to the shard of their minimizer;
+   a block of documents sends each distinct piece once.  A shard concatenates its
+   distinct pieces, builds their suffix array by induced sorting and the permuted
+   longest-common-prefix array, and so learns the smallest document of every class of
+   equal windows.  (A piece alone with its minimizer shares windows with no other.)
+4. A window is covered if its class has a smaller document.  The shards answer the
+   blocks, which find the pieces in their documents again and drop the covered bytes.
 
 Texts move between steps in blocks of documents (hash of the id), so no task holds
 more than a block, a shard batch or one document.
@@ -23,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +37,8 @@ BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 3 << 20
 #: Windows in a piece at most; longer runs go on as several pieces.
 RUN = 512
-#: With more distinct pieces than this, a minimizer's windows are dealt out one by one, by their own hash.
-CROWDED = 50_000
+#: A minimizer in more documents than this sends its windows one by one, each to the shard of its own hash.
+CROWDED = 100_000
 NO_ID = (1 << 63) - 1
 
 
@@ -128,8 +131,8 @@ def first_texts(rows: DataFrame) -> DataFrame:
     return by.select("one.block", "one.doc_id", "one.tkey")
 
 
-def shared_minima(rows: DataFrame, first: DataFrame, width: int, k: int) -> DataFrame:
-    """(block, minimizer) for minimizers found in at least two distinct texts."""
+def shared_minima(rows: DataFrame, first: DataFrame, width: int, k: int, crowded: int) -> DataFrame:
+    """(block, m, crowd) for minimizers found in at least two distinct texts, and whether in very many."""
 
     def seen(docs: pa.Table, firsts: pa.Table) -> pa.Table:
         docs = _keep_first(docs, set(zip(*_columns(firsts, "doc_id", "tkey"), strict=True)))
@@ -143,8 +146,8 @@ def shared_minima(rows: DataFrame, first: DataFrame, width: int, k: int) -> Data
             pairs = np.unique(np.stack([minima[at], np.asarray(group)[owner[at]]], 1), axis=0) if len(at) else np.empty((0, 2), np.int64)
             found.append(pairs[:, 0])
         values, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
-        twice = (times > 1).astype(np.int64)
-        return pa.table({"m": pa.array(values, pa.int64()), "from": pa.array(2 * block + twice, pa.int64())})
+        source = (block << 20) + np.minimum(times, (1 << 20) - 1)
+        return pa.table({"m": pa.array(values, pa.int64()), "source": pa.array(source.astype(np.int64), pa.int64())})
 
     def common_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [(b[0].to_numpy(), b[1].to_numpy()) for b in batches]
@@ -154,163 +157,211 @@ def shared_minima(rows: DataFrame, first: DataFrame, width: int, k: int) -> Data
         order = np.argsort(m, kind="stable")
         m, source = m[order], source[order]
         starts = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]])) if len(m) else np.empty(0, np.int64)
-        weight = np.add.reduceat(1 + source % 2, starts) if len(m) else np.empty(0, np.int64)
-        shared = np.repeat(weight > 1, np.diff(np.append(starts, len(m))))
-        yield pa.RecordBatch.from_arrays([pa.array((source[shared] // 2).astype(np.int32)), pa.array(m[shared])], ["block", "m"])
-
-    found = rows.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(seen, "m long, `from` long")
-    return found.repartition("m").mapInArrow(common_ones, "block int, m long")
-
-
-def pieces_of(rows: DataFrame, first: DataFrame, shared: DataFrame, width: int, k: int) -> DataFrame:
-    """(m, doc_id, tkey, start, piece): runs of windows whose minimizer other documents share."""
-    side = first.select("block", "doc_id", "tkey", F.lit(None).cast("long").alias("m")).unionByName(
-        shared.select("block", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tkey"), "m")
-    )
-
-    def cut_out(docs: pa.Table, others: pa.Table) -> pa.Table:
-        wanted = np.unique(others["m"].drop_null().to_numpy())
+        docs = np.add.reduceat(source & ((1 << 20) - 1), starts) if len(m) else np.empty(0, np.int64)
+        docs = np.repeat(docs, np.diff(np.append(starts, len(m))))
+        shared = docs > 1
+        columns = [pa.array((source[shared] >> 20).astype(np.int32)), pa.array(m[shared]), pa.array(docs[shared] > crowded)]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "m", "crowd"])
+
+    found = rows.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(seen, "m long, source long")
+    return found.repartition("m").mapInArrow(common_ones, "block int, m long, crowd boolean")
+
+
+def _find_pieces(texts: list[bytes], wanted: np.ndarray, crowd: np.ndarray, width: int, k: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(document's index, minimizer, place, piece) of the runs of windows whose minimizer is in ``wanted`` (sorted).
+
+    Where ``crowd`` is set, windows come singly, with their own hash for the minimizer."""
+    if len(wanted) == 0:
+        return
+    for group, data, starts, lengths in _batched(texts, width):
+        minima, owner, place, valid = _windows(data, starts, lengths, width, k)
+        # windows over a border of documents get numbers of their own, so that runs end there
+        labels = np.where(valid, minima, -1 - owner)
+        begin = _runs(labels)
+        stop = np.append(begin[1:], len(labels))
+        hit = np.minimum(np.searchsorted(wanted, minima[begin]), len(wanted) - 1)
+        ok = np.flatnonzero(valid[begin] & (wanted[hit] == minima[begin]))
+        raw = data.tobytes()
+        b, e, busy = begin[ok], stop[ok], crowd[hit[ok]]
+        columns = (np.asarray(group)[owner[b]], minima[b], place[b], b, e, busy)
+        for i, m, at, x, y, single in zip(*(c.tolist() for c in columns), strict=True):
+            if not single:
+                yield i, m, at, raw[x : y + width - 1]
+            else:
+                for w in range(x, y):
+                    piece = raw[w : w + width]
+                    yield i, -1 - (_hash(piece) >> 1), at + w - x, piece
+
+
+def _hash(piece: bytes) -> int:
+    return xxhash.xxh64_intdigest(piece)
+
+
+def _wanted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    table = table.filter(pc.is_valid(table["m"]))
+    m, crowd = table["m"].to_numpy(), table["crowd"].to_numpy()
+    order = np.argsort(m, kind="stable")
+    m, crowd = m[order], crowd[order].astype(bool)
+    new = np.ones(len(m), bool)
+    new[1:] = m[1:] != m[:-1]
+    return m[new], crowd[new]
+
+
+def block_pieces(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFrame:
+    """(m, piece, block, least, most): the distinct pieces of each block, with their smallest and largest document.
+
+    ``side``: (block, doc_id, tkey, m, crowd): first texts and shared minimizers."""
+
+    def collect(docs: pa.Table, others: pa.Table) -> pa.Table:
+        block = docs["block"][0].as_py() if len(docs) else 0
+        wanted, crowd = _wanted(others)
         docs = _keep_first(docs, set(zip(*_columns(others, "doc_id", "tkey"), strict=True)))
-        ids, keys, texts = _columns(docs, "doc_id", "tkey", "body")
-        out: list[list] = [[], [], [], [], []]
-        for group, data, starts, lengths in _batched(texts, width):
-            minima, owner, place, valid = _windows(data, starts, lengths, width, k)
-            # windows over a border of documents get numbers of their own, so that runs end there
-            labels = np.where(valid, minima, -1 - owner)
-            begin = _runs(labels)
-            stop = np.append(begin[1:], len(labels))
-            hit = np.searchsorted(wanted, minima[begin])
-            ok = valid[begin] & (wanted[np.minimum(hit, len(wanted) - 1)] == minima[begin]) if len(wanted) else np.zeros(len(begin), bool)
-            raw = data.tobytes()
-            b, e = begin[ok], stop[ok] + width - 1
-            own = np.asarray(group)[owner[b]]
-            out[0] += minima[b].tolist()
-            out[1] += [ids[i] for i in own]
-            out[2] += [keys[i] for i in own]
-            out[3] += place[b].tolist()
-            out[4] += [raw[x:y] for x, y in zip(b.tolist(), e.tolist(), strict=True)]
-        kinds = [pa.int64()] * 4 + [pa.binary()]
-        return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["m", "doc_id", "tkey", "start", "piece"])
+        ids, texts = _columns(docs, "doc_id", "body")
+        found: dict[tuple[int, bytes], tuple[int, int]] = {}
+        for i, m, _, piece in _find_pieces(texts, wanted, crowd, width, k):
+            had, own = found.get((m, piece)), ids[i]
+            found[m, piece] = (min(had[0], own), max(had[1], own)) if had else (own, own)
+        n = len(found)
+        return pa.table(
+            {
+                "m": pa.array([key[0] for key in found], pa.int64()),
+                "piece": pa.array([key[1] for key in found], pa.binary()),
+                "block": pa.array([block] * n, pa.int32()),
+                "least": pa.array([v[0] for v in found.values()], pa.int64()),
+                "most": pa.array([v[1] for v in found.values()], pa.int64()),
+            }
+        )
 
     return (
         rows.groupBy("block")
         .cogroup(side.groupBy("block"))
-        .applyInArrow(cut_out, "m long, doc_id long, tkey long, start long, piece binary")
+        .applyInArrow(collect, "m long, piece binary, block int, least long, most long")
     )
 
 
-def piece_key() -> list[Column]:
-    return [F.col("m"), F.xxhash64("piece").alias("p1"), F.xxhash64("piece", "m").alias("p2")]
-
-
-def class_minima(distinct: DataFrame, width: int) -> DataFrame:
-    """(m, p1, p2, offset, length, least): per piece, runs of windows with the smallest document of their class.
-
-    ``distinct``: (m, piece, least).  Rows of one m meet in one task, in order."""
+def class_minima(pieces: DataFrame, width: int) -> DataFrame:
+    """(block, m, piece_hash, offset, length, least): for each block's pieces, the runs of windows of which it holds a
+    document above the smallest of their class."""
 
     def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        # per distinct piece: [m, piece, least, number of pieces of m so far]; per row: its piece, block, largest document
+        held: list[list] = []
+        askers: list[tuple[int, int, int]] = []
         size = 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= SHARD_BYTES and row[0] != held[-1][0]:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[1]) + 1
+            for m, piece, block, least, most in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and m == held[-1][0] and piece == held[-1][1]:
+                    held[-1][2] = min(held[-1][2], least)
+                else:
+                    if size >= SHARD_BYTES and m != held[-1][0]:
+                        yield solve(held, askers)
+                        held, askers, size = [], [], 0
+                    held.append([m, piece, least])
+                    size += len(piece) + 1
+                askers.append((len(held) - 1, block, most))
         if held:
-            yield solve(held)
-
-    def solve(held: list[tuple]) -> pa.RecordBatch:
-        s = np.frombuffer(b"\xff".join([r[1] for r in held]), np.uint8)
-        lengths = np.array([len(r[1]) for r in held])
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        owner = np.repeat(np.arange(len(held)), lengths + 1)[: len(s)]
-        room = (starts + lengths)[owner] - np.arange(len(s))
-        sa = suffix_array(s)
-        shared = np.minimum(permuted_lcp(s, sa), np.maximum(room, 0))[sa]
-        whole = room[sa] >= width
-        border = np.flatnonzero(~(whole & (shared >= width)))
-        doc = np.array([r[2] for r in held], np.int64)
-        least = np.empty(len(s), np.int64)
-        least[sa] = np.repeat(np.minimum.reduceat(doc[owner[sa]], border), np.diff(np.append(border, len(s))))
-        valid = room >= width
-        new = np.ones(len(s), bool)
-        new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]) | ~valid[:-1]
-        begin = np.flatnonzero(new & valid)
-        change = np.flatnonzero(new | ~valid)
-        stop = np.append(change, len(s))[np.searchsorted(change, begin, side="right")]
-        own = owner[begin]
-        cols = [np.array([r[i] for r in held], np.int64)[own] for i in (0, 3, 4)]
-        cols += [begin - starts[own], stop - begin, least[begin]]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["m", "p1", "p2", "offset", "length", "least"])
-
-    rows = distinct.select("m", "piece", "least", *piece_key()[1:])
-    return (
-        rows.repartition("m")
-        .sortWithinPartitions("m")
-        .mapInArrow(induce, "m long, p1 long, p2 long, offset long, length long, least long")
-    )
-
-
-def _deal_out(pieces: DataFrame, busy: DataFrame, width: int, crowded: int) -> DataFrame:
-    """Replace the pieces of crowded minimizers by single windows, keyed by their own hash: equal ones still meet."""
-    texts = pieces.join(busy, "m", "left_semi").select("m", "piece").distinct()
-    crowds = common.cut(texts.groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowded).select("m"))
-    window = F.explode(F.sequence(F.lit(0), F.length("piece") - width)).alias("i")
-    single = pieces.join(crowds, "m", "left_semi").select("doc_id", "tkey", "start", "piece", window)
-    single = single.select(
-        "doc_id", "tkey", (F.col("start") + F.col("i")).alias("start"), F.expr(f"substring(piece, i + 1, {width})").alias("piece")
-    )
-    single = single.select(F.xxhash64("piece").alias("m"), "doc_id", "tkey", "start", "piece")
-    return pieces.join(crowds, "m", "left_anti").unionByName(single)
-
-
-def covered_runs(pieces: DataFrame, width: int, crowded: int = CROWDED) -> DataFrame:
-    """(doc_id, tkey, start, end): byte runs that an earlier document also holds."""
-    busy = common.cut(pieces.groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowded).select("m"))
-    if not busy.isEmpty():
-        pieces = _deal_out(pieces, busy, width, crowded)
-    distinct = pieces.groupBy("m", "piece").agg(F.min("doc_id").alias("least"))
-    runs = class_minima(distinct, width)
-    places = pieces.select("doc_id", "tkey", "start", *piece_key())
-    hit = places.join(runs, ["m", "p1", "p2"]).filter(F.col("least") < F.col("doc_id"))
-    begin = F.col("start") + F.col("offset")
-    return hit.select("doc_id", "tkey", begin.alias("start"), (begin + F.col("length") + (width - 1)).alias("end"))
-
-
-def remove_repeats(docs: DataFrame, width: int = 50, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
+            yield solve(held, askers)
+
+    def solve(held: list[list], askers: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        m = np.array([h[0] for h in held], np.int64)
+        alone = np.ones(len(m), bool)
+        alone[1:] &= m[1:] != m[:-1]
+        alone[:-1] &= m[1:] != m[:-1]
+        own = np.flatnonzero(alone)
+        sizes = np.array([len(h[1]) for h in held], np.int64) - (width - 1)
+        runs = [np.stack([own, np.zeros(len(own), np.int64), sizes[own], np.array([held[i][2] for i in own], np.int64)], 1)]
+        several = np.flatnonzero(~alone)
+        if len(several):
+            found = _classes([held[i][1] for i in several], np.array([held[i][2] for i in several], np.int64), width)
+            found[:, 0] = several[found[:, 0]]
+            runs.append(found)
+        found = np.concatenate(runs)
+        found = found[np.lexsort((found[:, 1], found[:, 0]))]
+        first = np.searchsorted(found[:, 0], np.arange(len(held) + 1))
+        piece, block, most = (np.array(c, np.int64) for c in zip(*askers, strict=True))
+        n = np.diff(first)[piece]
+        row = np.repeat(np.arange(len(piece)), n)
+        at = np.repeat(first[piece], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        above = found[at, 3] < most[row]
+        row, at = row[above], at[above]
+        hashes = {i: _hash(held[i][1]) - (1 << 63) for i in np.unique(piece[row]).tolist()}
+        columns = [block[row].astype(np.int32), m[piece[row]], np.array([hashes[i] for i in piece[row].tolist()], np.int64), *(found[at, c] for c in (1, 2, 3))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "m", "piece_hash", "offset", "length", "least"])
+
+    rows = pieces.repartition("m").sortWithinPartitions("m", "piece")
+    return rows.mapInArrow(induce, "block int, m long, piece_hash long, offset long, length long, least long")
+
+
+def _classes(pieces: list[bytes], doc: np.ndarray, width: int) -> np.ndarray:
+    """[piece, offset, length, least]: runs of windows with the smallest document of their class."""
+    s = np.frombuffer(b"\xff".join(pieces), np.uint8)
+    lengths = np.array([len(p) for p in pieces])
+    starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
+    owner = np.repeat(np.arange(len(pieces)), lengths + 1)[: len(s)]
+    room = (starts + lengths)[owner] - np.arange(len(s))
+    sa = suffix_array(s)
+    shared = np.minimum(permuted_lcp(s, sa), np.maximum(room, 0))[sa]
+    border = np.flatnonzero(~((room[sa] >= width) & (shared >= width)))
+    least = np.empty(len(s), np.int64)
+    least[sa] = np.repeat(np.minimum.reduceat(doc[owner[sa]], border), np.diff(np.append(border, len(s))))
+    valid = room >= width
+    new = np.ones(len(s), bool)
+    new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]) | ~valid[:-1]
+    begin = np.flatnonzero(new & valid)
+    change = np.flatnonzero(new | ~valid)
+    stop = np.append(change, len(s))[np.searchsorted(change, begin, side="right")]
+    return np.stack([owner[begin], begin - starts[owner[begin]], stop - begin, least[begin]], 1)
+
+
+def remove_repeats(
+    docs: DataFrame, width: int = 50, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED
+) -> DataFrame:
     """Remove each byte covered by a ``width``-byte string that also starts in a smaller document.
 
     Returns doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans, text_hash
-    (xxhash64 of the input text), one row per input row.  Null text: empty.  A null id counts as larger than any other.
-    Rows that share an id don't remove from each other; of equal texts the smallest
-    id's stays.  Texts shorter than ``width`` are never touched.  An empty table
-    gives no rows; other columns are ignored.  Texts are UTF-8, in which byte 255
-    doesn't occur, so it separates documents.
+    (xxhash64 of the input text), one row per input row.  Null text: empty.  A null id
+    counts as larger than any other.  Rows that share an id don't remove from each
+    other; of equal texts the smallest id's stays.  Texts shorter than ``width`` are
+    never touched.  An empty table gives no rows; other columns are ignored.  Texts are
+    UTF-8, in which byte 255 doesn't occur, so it separates documents.
     """
     rows, n = blocks(docs, id_col, text_col)
     first = common.cut(first_texts(rows))
-    pieces = common.cut(pieces_of(rows, first, shared_minima(rows, first, width, gram), width, gram))
-    runs = covered_runs(pieces, width, crowded)
-    side = first.select("doc_id", "tkey", F.lit(-1).cast("long").alias("start"), F.lit(-1).cast("long").alias("end")).unionByName(runs)
-    return apply_runs(rows, side.select(block_of(n), "*"), width)
-
-
-def apply_runs(rows: DataFrame, side: DataFrame, width: int) -> DataFrame:
-    """Drop the runs from the texts; a document without any row in ``side`` is a copy of an earlier one."""
-
-    def drop(docs: pa.Table, spans: pa.Table) -> pa.Table:
-        by: dict[tuple, list] = {}
-        for i, k, a, b in zip(*_columns(spans, "doc_id", "tkey", "start", "end"), strict=True):
-            by.setdefault((i, k), []).append((a, b))
+    shared = shared_minima(rows, first, width, gram, crowded)
+    none = {"doc_id": "long", "tkey": "long", "m": "long", "crowd": "boolean", "piece_hash": "long", "offset": "long", "length": "long", "least": "long"}
+
+    def padded(df: DataFrame, names: list[str]) -> DataFrame:
+        return df.select("block", *[c if c in df.columns else F.lit(None).cast(none[c]).alias(c) for c in names])
+
+    sides = ["doc_id", "tkey", "m", "crowd"]
+    # the texts' shuffle is the same in all three joins, so Spark runs it once
+    runs = class_minima(block_pieces(rows, padded(first, sides).unionByName(padded(shared, sides)), width, gram), width)
+    answers = padded(first, list(none)).unionByName(padded(runs.withColumn("crowd", F.col("m") < 0), list(none)))
+    crowds = padded(shared.filter("crowd"), list(none))
+    return _drop_covered(rows, answers.unionByName(crowds), width, gram)
+
+
+def _drop_covered(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFrame:
+    """Find the pieces again, and drop their covered windows; a text that is not the first of its kind goes whole."""
+
+    def drop(docs: pa.Table, others: pa.Table) -> pa.Table:
+        runs: dict[tuple[int, int], list] = {}
+        told = others.filter(pc.is_valid(others["piece_hash"]))
+        for m, p, at, n, least in zip(*_columns(told, "m", "piece_hash", "offset", "length", "least"), strict=True):
+            runs.setdefault((m, p), []).append((at, n, least))
+        wanted, crowd = _wanted(_plain(others))
+        first = set(zip(*_columns(others, "doc_id", "tkey"), strict=True))
+        ids, keys, texts = _columns(docs, "doc_id", "tkey", "body")
+        whole = [(i, k) in first for i, k in zip(ids, keys, strict=True)]
+        covered: dict[int, list] = {}
+        for i, m, at, piece in _find_pieces([x if w else b"" for x, w in zip(texts, whole, strict=True)], wanted, crowd, width, k):
+            for offset, n, least in runs.get((m, _hash(piece) - (1 << 63)), ()):
+                if least < ids[i]:
+                    covered.setdefault(i, []).append((at + offset, at + offset + n + width - 1))
         out: list[list] = [[], [], [], [], [], []]
-        for i, k, body in zip(*_columns(docs, "doc_id", "tkey", "body"), strict=True):
-            found = by.get((i, k))
-            merged: list[list[int]] = []
-            if found is None and len(body) >= width:
-                merged = [[0, len(body)]]
-            for a, b in sorted(x for x in found or () if x[0] >= 0):
+        for i, (own, key, body) in enumerate(zip(ids, keys, texts, strict=True)):
+            merged: list[list[int]] = [[0, len(body)]] if not whole[i] and len(body) >= width else []
+            for a, b in sorted(covered.get(i, ())):
                 if merged and a <= merged[-1][1]:
                     merged[-1][1] = max(b, merged[-1][1])
                 else:
@@ -320,7 +371,7 @@ def apply_runs(rows: DataFrame, side: DataFrame, width: int) -> DataFrame:
                 kept.append(body[at:a])
                 at = b
             kept.append(body[at:])
-            row = (None if i == NO_ID else i, b"".join(kept), len(body), sum(b - a for a, b in merged), len(merged), k)
+            row = (None if own == NO_ID else own, b"".join(kept), len(body), sum(b - a for a, b in merged), len(merged), key)
             for c, v in zip(out, row, strict=True):
                 c.append(v)
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
@@ -334,6 +385,11 @@ def apply_runs(rows: DataFrame, side: DataFrame, width: int) -> DataFrame:
     )
 
 
+def _plain(table: pa.Table) -> pa.Table:
+    """Minimizers proper: the hashes of single windows are negative."""
+    return table.filter(pc.greater_equal(pc.fill_null(table["m"], -1), 0))
+
+
 def kept_texts(kept: DataFrame) -> DataFrame:
     """(doc_id, text_hash, text), each once: the remaining bytes as text; a cut inside a character drops its remains."""
 
