@@ -57,7 +57,7 @@ class _Inducer:
                 sa[head[chars] + rank] = at
                 head[:] += counts
 
-        to_heads(np.array([self.n - 1]))
+        to_heads(np.array([self.n - 1], np.int64))
         for c in self.symbols:
             lo = self.start[c]
             while lo < head[c]:
@@ -110,8 +110,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     small = suffix_types(s)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = small[1:] & ~small[:-1]
-    lms = np.flatnonzero(is_lms)
     inducer = _Inducer(s, small)
+    lms = np.flatnonzero(is_lms).astype(np.int64)
     sa = inducer.run(lms)
     if len(lms) < 2:
         return sa

@@ -34,7 +34,7 @@ from .induced import permuted_lcp, suffix_array
 
 GRAM = 20
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 4 << 20
 #: Windows in a piece at most; longer runs go on as several pieces.
 RUN = 512
 #: A minimizer in more documents than this sends its windows one by one, each to the shard of its own hash.
@@ -142,9 +142,8 @@ def shared_minima(rows: DataFrame, first: DataFrame, width: int, k: int, crowded
         for group, data, starts, lengths in _batched(texts, width):
             minima, owner, place, valid = _windows(data, starts, lengths, width, k)
             at = np.flatnonzero(valid & np.concatenate([[True], (minima[1:] != minima[:-1]) | (owner[1:] != owner[:-1])]))
-            # one entry a document
-            pairs = np.unique(np.stack([minima[at], np.asarray(group)[owner[at]]], 1), axis=0) if len(at) else np.empty((0, 2), np.int64)
-            found.append(pairs[:, 0])
+            # one entry a document: 40 bits of minimizer, 23 of its place among the few thousand joined
+            found.append(np.unique((minima[at] << 23) | owner[at]) >> 23)
         values, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
         source = (block << 20) + np.minimum(times, (1 << 20) - 1)
         return pa.table({"m": pa.array(values, pa.int64()), "source": pa.array(source.astype(np.int64), pa.int64())})
@@ -221,6 +220,8 @@ def block_pieces(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFr
         for i, m, _, piece in _find_pieces(texts, wanted, crowd, width, k):
             had, own = found.get((m, piece)), ids[i]
             found[m, piece] = (min(had[0], own), max(had[1], own)) if had else (own, own)
+        # a block asks for its crowded minimizers back: an empty piece stands for one
+        found |= {(m, b""): (0, 0) for m in wanted[crowd].tolist()}
         n = len(found)
         return pa.table(
             {
@@ -240,8 +241,10 @@ def block_pieces(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFr
 
 
 def class_minima(pieces: DataFrame, width: int) -> DataFrame:
-    """(block, m, piece_hash, offset, length, least): for each block's pieces, the runs of windows of which it holds a
-    document above the smallest of their class."""
+    """(block, m, crowd, piece_hash, offset, length, least): for each block's pieces, the runs of windows of which it
+    holds a document above the smallest of their class; crowded minimizers come back as they are."""
+
+    names = ["block", "m", "crowd", "piece_hash", "offset", "length", "least"]
 
     def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # per distinct piece: [m, piece, least, number of pieces of m so far]; per row: its piece, block, largest document
@@ -249,7 +252,12 @@ def class_minima(pieces: DataFrame, width: int) -> DataFrame:
         askers: list[tuple[int, int, int]] = []
         size = 0
         for batch in batches:
+            marks: list[list[int]] = [[], []]
             for m, piece, block, least, most in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not piece:
+                    marks[0].append(block)
+                    marks[1].append(m)
+                    continue
                 if held and m == held[-1][0] and piece == held[-1][1]:
                     held[-1][2] = min(held[-1][2], least)
                 else:
@@ -259,6 +267,12 @@ def class_minima(pieces: DataFrame, width: int) -> DataFrame:
                     held.append([m, piece, least])
                     size += len(piece) + 1
                 askers.append((len(held) - 1, block, most))
+            if marks[0]:
+                n = len(marks[0])
+                empty = [pa.nulls(n, pa.int64())] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(marks[0], pa.int32()), pa.array(marks[1], pa.int64()), pa.array([True] * n), *empty], names
+                )
         if held:
             yield solve(held, askers)
 
@@ -285,11 +299,12 @@ def class_minima(pieces: DataFrame, width: int) -> DataFrame:
         above = found[at, 3] < most[row]
         row, at = row[above], at[above]
         hashes = {i: _hash(held[i][1]) - (1 << 63) for i in np.unique(piece[row]).tolist()}
-        columns = [block[row].astype(np.int32), m[piece[row]], np.array([hashes[i] for i in piece[row].tolist()], np.int64), *(found[at, c] for c in (1, 2, 3))]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "m", "piece_hash", "offset", "length", "least"])
+        of = m[piece[row]]
+        columns = [block[row].astype(np.int32), of, of < 0, np.array([hashes[i] for i in piece[row].tolist()], np.int64), *(found[at, c] for c in (1, 2, 3))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     rows = pieces.repartition("m").sortWithinPartitions("m", "piece")
-    return rows.mapInArrow(induce, "block int, m long, piece_hash long, offset long, length long, least long")
+    return rows.mapInArrow(induce, "block int, m long, crowd boolean, piece_hash long, offset long, length long, least long")
 
 
 def _classes(pieces: list[bytes], doc: np.ndarray, width: int) -> np.ndarray:
@@ -328,7 +343,7 @@ def remove_repeats(
     rows, n = blocks(docs, id_col, text_col)
     first = common.cut(first_texts(rows))
     shared = shared_minima(rows, first, width, gram, crowded)
-    none = {"doc_id": "long", "tkey": "long", "m": "long", "crowd": "boolean", "piece_hash": "long", "offset": "long", "length": "long", "least": "long"}
+    none = dict.fromkeys(["doc_id", "tkey", "m", "crowd", "piece_hash", "offset", "length", "least"], "long") | {"crowd": "boolean"}
 
     def padded(df: DataFrame, names: list[str]) -> DataFrame:
         return df.select("block", *[c if c in df.columns else F.lit(None).cast(none[c]).alias(c) for c in names])
@@ -336,9 +351,7 @@ def remove_repeats(
     sides = ["doc_id", "tkey", "m", "crowd"]
     # the texts' shuffle is the same in all three joins, so Spark runs it once
     runs = class_minima(block_pieces(rows, padded(first, sides).unionByName(padded(shared, sides)), width, gram), width)
-    answers = padded(first, list(none)).unionByName(padded(runs.withColumn("crowd", F.col("m") < 0), list(none)))
-    crowds = padded(shared.filter("crowd"), list(none))
-    return _drop_covered(rows, answers.unionByName(crowds), width, gram)
+    return _drop_covered(rows, padded(first, list(none)).unionByName(padded(runs, list(none))), width, gram)
 
 
 def _drop_covered(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFrame:
