@@ -92,7 +92,8 @@ def _context_table(grams: DataFrame, k: int) -> DataFrame:
 
 def scores(urls: DataFrame, model: dict[int, DataFrame]) -> DataFrame:
     """(host, path, score) for distinct (host, path): mean log-ratio of accepted to rejected probability."""
-    rows = positions(urls.select("host", "path"))
+    # dealt out by what the mean is taken over: short rows come from few files, and grow with each character
+    rows = positions(urls.select("host", "path").repartition("host", "path"))
     for k in range(ORDER + 1):
         grams = model[k].select(f"gram_{k}", f"c_a{k}", f"c_b{k}")
         rows = rows.withColumn(f"gram_{k}", F.expr(f"right(gram, {k + 1})")).withColumn(f"context_{k}", F.expr(f"left(right(gram, {k + 1}), {k})"))
