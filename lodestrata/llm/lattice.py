@@ -7,8 +7,12 @@ log space):
     P(w) = ((c(w) - D)+ + (D * V + 1/4) * L(w)) / (N + 1/2)
 
 where L(w) is the lattice probability over the pieces, whose word-final forms make it
-sum to at most one over all words; D the discount (Ney's estimate) that pays for the lattice; the document end
-has (docs + 1/4) / (N + 1/2).  So the model is a proper distribution over texts as
+sum to at most one over all words; D the discount (Ney's estimate) that pays for the
+lattice; the document end has (docs + 1/4) / (N + 1/2).  A text's words come from an urn
+that holds these probabilities with the weight of ``weight`` tokens and gains each word
+drawn: after i tokens, c of them w, the next is w with probability
+(weight * P(w) + c) / (weight + i).  So a word repeated in a text is spelled once, the
+order of words is of no account, and the model is a proper distribution over texts as
 token sequences.
 """
 
@@ -18,6 +22,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -56,41 +61,56 @@ class Pieces:
         return [t.value for t in self.model.tokenize(spelled)]
 
 
+class Table:
+    """Strings' numbers looked up by 64-bit polynomial hash, many at a time; -1 for strings that are not held."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, numbers: dict[str, int]):
+        base, hashes = int(self.BASE), np.zeros(len(numbers), np.uint64)
+        for n, word in enumerate(numbers):
+            value = 0
+            for c in word:
+                value = (value * base + ord(c) + 1) % (1 << 64)
+            hashes[n] = value
+        ids = np.fromiter(numbers.values(), np.int32, len(numbers))
+        # a slot holds one string; those that find theirs taken go on to the next level
+        self.levels, bits, mix = [], max(16, (8 * len(ids)).bit_length()), 0xBF58476D1CE4E5B9
+        while len(ids):
+            shift, factor = np.uint64(64 - bits), np.uint64(mix)
+            slots, first = np.unique((hashes * factor) >> shift, return_index=True)
+            keys, values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+            keys[slots], values[slots] = hashes[first], ids[first]
+            self.levels.append((factor, shift, keys, values))
+            hashes, ids = np.delete(hashes, first), np.delete(ids, first)
+            bits, mix = 16, (mix * 0x94D049BB133111EB + 2) % (1 << 64) | 1
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(hashes.shape, -1, np.int32)
+        for factor, shift, keys, values in self.levels:
+            slots = ((hashes * factor) >> shift).astype(np.int64)
+            out = np.where(keys[slots] == hashes, values[slots], out)
+        return out
+
+
 class Lattice:
     """All segmentations of words under given piece scores (natural logs), many words of one length at a time."""
 
     def __init__(self, pieces: list[str], logs: np.ndarray):
-        self.inner = {p: i for i, p in enumerate(pieces) if not p.endswith(FINAL)}
-        self.final = {p.removesuffix(FINAL): i for i, p in enumerate(pieces) if p.endswith(FINAL) and p != FINAL}
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
+        inner = {p: i for i, p in enumerate(pieces) if not p.endswith(FINAL)}
+        final = {p.removesuffix(FINAL): i for i, p in enumerate(pieces) if p.endswith(FINAL) and p != FINAL}
+        self.longest = max(map(len, [*inner, *final]), default=1)
+        self.inner, self.final = Table(inner), Table(final)
         self.logs = np.append(logs, -np.inf)  # no piece: index -1
 
-    def edges(self, words: list[str], n: int) -> dict[tuple[int, int], np.ndarray]:
-        """(from, to) -> each word's piece there, where any word has one."""
-        out = {}
+    def edges(self, words: list[str], n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each end 1 .. n: the first start, and the pieces [start, word] from there to the end."""
+        letters = np.array(words, f"U{n}").view(np.uint32).reshape(len(words), n).T.astype(np.uint64) + np.uint64(1)
+        open_ = np.zeros((0, len(words)), np.uint64)
         for j in range(1, n + 1):
-            get = (self.inner if j < n else self.final).get
-            for i in range(max(0, j - self.longest), j):
-                ids = np.array([get(w[i:j], -1) for w in words])
-                if (ids >= 0).any():
-                    out[i, j] = ids
-        return out
-
-    def _sweep(self, edges: dict, count: int, order: list[int], at: int) -> dict[int, np.ndarray]:
-        """Log sums of all paths from the first of ``order`` to each place; ``at``: 1 going forward, 0 backward."""
-        by: dict[int, list] = {}
-        for key, ids in edges.items():
-            by.setdefault(key[at], []).append((key[1 - at], ids))
-        none = np.full(count, -np.inf)
-        sums = {order[0]: np.zeros(count)}
-        for place in order[1:]:
-            terms = [sums[k] + self.logs[ids] for k, ids in by.get(place, ()) if k in sums]
-            if terms:
-                top = np.maximum.reduce(terms)
-                safe = np.where(np.isfinite(top), top, 0.0)
-                with np.errstate(divide="ignore"):
-                    sums[place] = safe + np.log(np.add.reduce([np.exp(t - safe) for t in terms]))
-        return sums | ({} if order[-1] in sums else {order[-1]: none})
+            open_ = np.concatenate([open_[-self.longest + 1 :] if self.longest > 1 else open_[:0], np.zeros((1, len(words)), np.uint64)])
+            open_ = open_ * Table.BASE + letters[j - 1]
+            yield j - len(open_), (self.inner if j < n else self.final).find(open_)
 
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word, summed over its segmentations.
@@ -109,22 +129,47 @@ class Lattice:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for n in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == n)
-            for part in np.array_split(at, max(1, len(at) * n // 200_000)):
-                mine = [words[i] for i in part]
-                edges = self.edges(mine, n)
-                ahead = self._sweep(edges, len(mine), [*range(n + 1)], 1)
-                total = out[part] = ahead[n]
+            for part in np.array_split(at, max(1, len(at) * n // 100_000)):
+                ahead = np.full((n + 1, len(part)), -np.inf)
+                ahead[0] = 0
+                kept = []
+                for j, (i, ids) in enumerate(self.edges([words[w] for w in part], n), 1):
+                    ahead[j] = _log_sum(ahead[i:j] + self.logs[ids])
+                    if counts is not None:
+                        kept.append((i, ids))
+                out[part] = ahead[n]
                 if counts is not None:
-                    back = self._sweep(edges, len(mine), [*range(n, -1, -1)], 0)
-                    safe = np.where(np.isfinite(total), total, 0.0)
-                    for (i, j), ids in edges.items():
-                        if i in ahead and j in back:
-                            use = np.exp(ahead[i] + self.logs[ids] + back[j] - safe)
-                            use[~np.isfinite(total)] = 0
-                            hit = ids >= 0
-                            counts += np.bincount(ids[hit], use[hit], len(counts))
+                    self._uses(ahead, kept, counts)
         return out
 
+    def _uses(self, ahead: np.ndarray, edges: list[tuple[int, np.ndarray]], counts: np.ndarray) -> None:
+        """The backward recursion: what each piece contributes to the sums over all segmentations."""
+        back = np.full(ahead.shape, -np.inf)
+        back[-1] = np.where(np.isfinite(ahead[-1]), -ahead[-1], -np.inf)
+        for j in range(len(edges), 0, -1):
+            i, ids = edges[j - 1]
+            onward = self.logs[ids] + back[j]
+            back[i:j] = np.logaddexp(back[i:j], onward)
+            hit = ids >= 0
+            np.add.at(counts, ids[hit], np.exp(ahead[i:j][hit] + onward[hit]))
+
+
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    top = terms.max(axis=0)
+    safe = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        return safe + np.log(np.exp(terms - safe).sum(axis=0))
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Stirling's series, eight steps up.
+
+    >>> log_gamma(np.array([5.0, 0.5])).round(6).tolist()
+    [3.178054, 0.572365]
+    """
+    y = x + 8
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) - np.log(np.multiply.reduce([x + i for i in range(8)]))
+
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word binary, c, held): counts in training and held-out texts, over all documents."""
@@ -156,13 +201,13 @@ def word_counts(rows: DataFrame) -> DataFrame:
 def piece_scores(counts: DataFrame, vocabulary: str, rounds: int = 3) -> np.ndarray:
     """Natural-log scores of the vocabulary's pieces, by expectation-maximisation over the training words.
 
-    Each distinct word counts once, since the lattice speaks for words that are rare or
-    new.  The first round counts the vocabulary's own segmentation; the others the
+    The lattice speaks for words that are rare or new, so it learns from those seen once,
+    which are most like words never seen.  The first round counts the vocabulary's own segmentation; the others the
     expected uses over all segmentations.  What meets is bounded by the vocabulary.
     """
     pieces = Pieces.of(vocabulary).vocabulary
     context, size = counts.sparkSession.sparkContext, len(pieces)
-    words = counts.filter("c > 0").select("word")
+    words = counts.filter("c = 1").select("word")
     logs = None
     for _ in range(rounds):
         now = context.broadcast(logs)
@@ -187,7 +232,13 @@ def piece_scores(counts: DataFrame, vocabulary: str, rounds: int = 3) -> np.ndar
 
 
 def score_texts(
-    docs: DataFrame, vocabulary: str, folds: int = 5, held_fold: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    vocabulary: str,
+    folds: int = 5,
+    held_fold: int = 1,
+    weight: float = 2000.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Score all texts with a model of those outside the held-out fold.
 
@@ -210,7 +261,7 @@ def score_texts(
     # Ney's estimate of the discount from the words seen once and twice
     discount = min(0.95, max(0.5, (once or 0) / max(1, (once or 0) + 2 * (twice or 0))))
     spread = discount * (types or 0) + 0.25
-    end = math.log10((n_docs + 0.25) / (n + 0.5))
+    end = math.log(weight * (n_docs + 0.25) / (n + 0.5))
     base_end = math.log10((n_docs + 0.5) / (n + 0.5 * (v + 1)))
     context = docs.sparkSession.sparkContext
     scores = context.broadcast(piece_scores(counts, vocabulary))
@@ -224,7 +275,7 @@ def score_texts(
             # long words' probabilities fall below the smallest double, so the sum stays in logs
             with np.errstate(divide="ignore"):
                 seen = np.log(np.maximum(c - discount, 0))
-            own = (np.logaddexp(seen, math.log(spread) + logs) - math.log(n + 0.5)) / math.log(10)
+            own = np.logaddexp(seen, math.log(spread) + logs) - math.log(n + 0.5) + math.log(weight)
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             yield pa.RecordBatch.from_arrays([batch[0], pa.array(c > 0), pa.array(own), pa.array(base), batch[2]], ["word", "known", "own", "base", "times"])
 
@@ -235,28 +286,32 @@ def score_texts(
     )
     least = HEAD * (everything or 0)
     is_head = F.col("times") >= least
-    head = context.broadcast({bytes(r["word"]): (r["known"], r["own"], r["base"]) for r in scored.filter(is_head).collect()})
+    found = scored.filter(is_head).toPandas()
+    numbers = {bytes(w): i for i, w in enumerate(found["word"])}
+    head = context.broadcast((numbers, found[["known", "own", "base"]].to_numpy(np.float64)))
 
     def score_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = head.value
+        numbers, values = head.value
         for batch in batches:
             rare: list[list] = [[], [], []]
             sums = []
             for i, body in enumerate(batch[2].to_pylist()):
-                total = known = 0
-                own = base = 0.0
-                for w, c in Counter(body.lower().split()).items():
-                    total += c
-                    if (found := frequent.get(w)) is not None:
-                        known += c * found[0]
-                        own += c * found[1]
-                        base += c * found[2]
-                    else:
-                        rare[0].append(i)
-                        rare[1].append(w)
-                        rare[2].append(c)
+                words = Counter(body.lower().split())
+                k = np.fromiter(words.values(), np.int64, len(words))
+                at = np.fromiter((numbers.get(w, -1) for w in words), np.int64, len(words))
+                mine, uses = values[at[at >= 0]], k[at >= 0]
+                known, own, base = (uses * mine[:, 0]).sum(), mine[:, 1].sum(), (uses * mine[:, 2]).sum()
+                a, again = np.exp(mine[uses > 1, 1]), uses[uses > 1]
+                own += (log_gamma(a + again) - log_gamma(a + 1)).sum()
+                total = int(k.sum()) + 1
+                own += end + math.lgamma(weight) - math.lgamma(weight + total)
+                missing = (at < 0).tolist()
+                spelled = list(compress(words, missing))
+                rare[0] += [i] * len(spelled)
+                rare[1] += spelled
+                rare[2] += k[at < 0].tolist()
                 # a word with a space in it matches none, and keeps these rows apart
-                sums.append((b" %d" % i, total + 1, known + (n_docs > 0), own + end, base + base_end))
+                sums.append((b" %d" % i, total, int(known) + (n_docs > 0), float(own), float(base) + base_end))
             at = pa.array([*rare[0], *range(batch.num_rows)], pa.int64())
             zeros = [0] * len(rare[0])
             columns = [[*rare[1], *(s[0] for s in sums)], [*rare[2], *[0] * len(sums)], *([*zeros, *(s[k] for s in sums)] for k in (1, 2, 3, 4))]
@@ -270,14 +325,16 @@ def score_texts(
         score_docs, "doc_id long, tkey long, word binary, times long, n_tokens long, n_known long, own double, base double"
     )
     tail = scored.filter(~is_head).select("word", "known", F.col("own").alias("w_own"), F.col("base").alias("w_base"))
-    times = F.col("times")
+    times, first = F.col("times"), F.col("w_own")
+    later = F.aggregate(F.sequence(F.lit(1).cast("long"), times - 1), F.lit(0.0), lambda total, i: total + F.log(F.exp(first) + i))
+    w_own = F.when(first.isNull(), 0.0).when(times > 1, first + later).otherwise(first)
     sums = (
         parts.join(tail, "word", "left")
         .groupBy("doc_id", "tkey")
         .agg(
             F.sum("n_tokens").alias("n_tokens"),
             F.sum(F.col("n_known") + F.when(F.col("known"), times).otherwise(0)).alias("n_known"),
-            F.sum(F.col("own") + F.when(F.col("w_own").isNotNull(), times * F.col("w_own")).otherwise(0.0)).alias("own"),
+            F.sum(F.col("own") + w_own).alias("own"),
             F.sum(F.col("base") + F.when(F.col("w_base").isNotNull(), times * F.col("w_base")).otherwise(0.0)).alias("base"),
             F.sum(F.when(F.col("n_tokens") > 0, 1).otherwise(0)).alias("copies"),
         )
@@ -291,5 +348,5 @@ def score_texts(
         F.expr("n_known div copies").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"),
-        (F.col("own") / F.col("copies")).alias("score"),
+        (F.col("own") / F.col("copies") / math.log(10)).alias("score"),
     )
