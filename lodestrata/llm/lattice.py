@@ -12,8 +12,14 @@ lattice; the document end has (docs + 1/4) / (N + 1/2).  A text's words come fro
 that holds these probabilities with the weight of ``weight`` tokens and gains each word
 drawn: after i tokens, c of them w, the next is w with probability
 (weight * P(w) + c) / (weight + i).  So a word repeated in a text is spelled once, the
-order of words is of no account, and the model is a proper distribution over texts as
-token sequences.
+order of words is of no account.  Each class of training texts (their ``lang``) has an urn
+of its own, with word probabilities
+
+    P_k(w) = ((c_k(w) - D)+ + (D * V_k + 1) * P(w)) / (N_k + 1)
+
+and a text's probability sums over the classes by their shares of the training texts; the
+class of a scored text is never looked at.  So the model is a proper distribution over
+texts as token sequences.
 """
 
 from __future__ import annotations
@@ -35,6 +41,8 @@ from .tokens import byte_alphabet
 #: Words of at least this share of all tokens travel with the code; there are at most 1 / HEAD of them.
 HEAD = 1e-6
 FLUSH = 400_000
+#: Classes of training texts with word counts of their own; the others share theirs.
+CLASSES = 8
 FINAL = "</w>"
 
 
@@ -171,31 +179,38 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) - np.log(np.multiply.reduce([x + i for i in range(8)]))
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(word binary, c, held): counts in training and held-out texts, over all documents."""
+def word_counts(rows: DataFrame, classes: int) -> DataFrame:
+    """(word binary, c, c0, c1 ..., held): counts in training texts, all and by class, and in held-out texts, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        seen = [Counter() for _ in range(classes + 1)]
 
-        def flush() -> pa.RecordBatch:
-            words = list(seen[0].keys() | seen[1].keys())
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([seen[0][w] for w in words], pa.int64()), pa.array([seen[1][w] for w in words], pa.int64())],
-                ["word", "c", "held"],
-            )
-            seen[0].clear()
-            seen[1].clear()
-            return out
+        def flush() -> Iterator[pa.RecordBatch]:
+            for k, found in enumerate(seen):
+                columns = [pa.array(list(found), pa.binary()), pa.array([k] * len(found), pa.int32()), pa.array(list(found.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "k", "n"])
+                found.clear()
 
         for batch in batches:
-            for held, body in zip(batch[1].to_pylist(), batch[2].to_pylist(), strict=True):
-                seen[held].update(body.lower().split())
-                if len(seen[0]) + len(seen[1]) > FLUSH:
-                    yield flush()
-        yield flush()
+            for k, body in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+                seen[k].update(body.lower().split())
+                if len(seen[k]) * (classes + 1) > FLUSH:
+                    yield from flush()
+        yield from flush()
+
+    part = rows.mapInArrow(run, "word binary, k int, n long")
+    sums = [F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).alias(f"c{k}") for k in range(classes)]
+    held = F.coalesce(F.sum(F.when(F.col("k") == classes, F.col("n"))), F.lit(0)).alias("held")
+    return part.groupBy("word").agg(*sums, held).withColumn("c", sum(F.col(f"c{k}") for k in range(classes)))
+
 
-    part = rows.mapInArrow(run, "word binary, c long, held long")
-    return part.groupBy("word").agg(F.sum("c").alias("c"), F.sum("held").alias("held"))
+def _classes(rows: DataFrame) -> list[tuple[str | None, int]]:
+    """The most frequent classes of the training texts and their numbers of texts; all others are one more."""
+    found = rows.filter(~F.col("held_out")).groupBy("class").count()
+    total = found.agg(F.sum("count")).first()[0] or 0
+    top = [(r["class"], r["count"]) for r in found.filter("class is not null").orderBy(F.desc("count"), "class").limit(CLASSES).collect()]
+    rest = total - sum(n for _, n in top)
+    return top + ([(None, rest)] if rest or not top else [])
 
 
 def piece_scores(counts: DataFrame, vocabulary: str, rounds: int = 3) -> np.ndarray:
@@ -239,32 +254,44 @@ def score_texts(
     weight: float = 2000.0,
     id_col: str = "doc_id",
     text_col: str = "text",
+    class_col: str = "lang",
 ) -> DataFrame:
     """Score all texts with a model of those outside the held-out fold.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10
     probability), one row per input row.  Null text: empty, so its score is the end's
     alone.  A null id is never held out.  Repeated rows are scored (and learned from)
-    once each.  Without training texts all probability goes to the lattice and the
+    once each.  Null, missing or rare classes are one class.  Without training texts all probability goes to the lattice and the
     end.  An empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (common.fold(id_col, folds) == held_fold).alias("held_out"),
         common.text_or_empty(text_col).cast("binary").alias("body"),
+        (F.col(class_col) if class_col in docs.columns else F.lit(None)).cast("string").alias("class"),
     )
-    counts = common.cut(word_counts(rows.select("doc_id", F.col("held_out").cast("int"), "body")))
-    n_docs = rows.filter(~F.col("held_out")).count()
+    classes = _classes(rows)
+    size, n_docs = len(classes), sum(m for _, m in classes)
+    number = F.lit(size - 1)
+    for k, (value, _) in enumerate(classes):
+        number = F.when(F.col("class") == value, k).otherwise(number) if value is not None else number
+    counts = common.cut(word_counts(rows.select(F.when(F.col("held_out"), size).otherwise(number).alias("k"), "body"), size))
     times = [F.sum(F.when(x, 1).otherwise(0)) for x in (F.col("c") > 0, F.col("c") == 1, F.col("c") == 2)]
-    words, everything, types, once, twice = counts.agg(F.sum("c"), F.sum(F.col("c") + F.col("held")), *times).first()
-    n, v = (words or 0) + n_docs, (types or 0) + (n_docs > 0)
+    each = [F.sum(f"c{k}") for k in range(size)] + [F.sum(F.when(F.col(f"c{k}") > 0, 1).otherwise(0)) for k in range(size)]
+    words, everything, types, once, twice, *each = (x or 0 for x in counts.agg(F.sum("c"), F.sum(F.col("c") + F.col("held")), *times, *each).first())
+    n, v = words + n_docs, types + (n_docs > 0)
     # Ney's estimate of the discount from the words seen once and twice
-    discount = min(0.95, max(0.5, (once or 0) / max(1, (once or 0) + 2 * (twice or 0))))
-    spread = discount * (types or 0) + 0.25
-    end = math.log(weight * (n_docs + 0.25) / (n + 0.5))
+    discount = min(0.95, max(0.5, once / max(1, once + 2 * twice)))
+    spread = discount * types + 0.25
+    p_end = (n_docs + 0.25) / (n + 0.5)
     base_end = math.log10((n_docs + 0.5) / (n + 0.5 * (v + 1)))
+    texts = np.array([m for _, m in classes], np.float64)
+    class_n, class_spread = np.array(each[:size]) + texts + 1, discount * np.array(each[size:]) + 1
+    ends = np.log(weight * (texts + class_spread * p_end) / class_n)
+    prior = np.log((texts + 0.5) / (texts + 0.5).sum())
     context = docs.sparkSession.sparkContext
     scores = context.broadcast(piece_scores(counts, vocabulary))
+    owns = [f"own{k}" for k in range(size)]
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(vocabulary)
@@ -272,23 +299,26 @@ def score_texts(
         for batch in batches:
             c = batch[1].to_numpy().astype(np.float64)
             logs = lattice.score([pieces.spell(w) for w in batch[0].to_pylist()])
-            # long words' probabilities fall below the smallest double, so the sum stays in logs
-            with np.errstate(divide="ignore"):
-                seen = np.log(np.maximum(c - discount, 0))
-            own = np.logaddexp(seen, math.log(spread) + logs) - math.log(n + 0.5) + math.log(weight)
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-            yield pa.RecordBatch.from_arrays([batch[0], pa.array(c > 0), pa.array(own), pa.array(base), batch[2]], ["word", "known", "own", "base", "times"])
-
+            # long words' probabilities fall below the smallest double, so the sums stay in logs
+            with np.errstate(divide="ignore"):
+                whole = np.logaddexp(np.log(np.maximum(c - discount, 0)), math.log(spread) + logs) - math.log(n + 0.5)
+                own = []
+                for k in range(size):
+                    seen = np.log(np.maximum(batch[3 + k].to_numpy() - discount, 0))
+                    own.append(pa.array(np.logaddexp(seen, np.log(class_spread[k]) + whole) - np.log(class_n[k]) + math.log(weight)))
+            yield pa.RecordBatch.from_arrays([batch[0], batch[2], pa.array(c > 0), pa.array(base), *own], ["word", "times", "known", "base", *owns])
+
+    own_kinds = "".join(f", {c} double" for c in owns)
     scored = common.cut(
-        counts.select("word", "c", (F.col("c") + F.col("held")).alias("times")).mapInArrow(
-            score_words, "word binary, known boolean, own double, base double, times long"
+        counts.select("word", "c", (F.col("c") + F.col("held")).alias("times"), *[f"c{k}" for k in range(size)]).mapInArrow(
+            score_words, f"word binary, times long, known boolean, base double{own_kinds}"
         )
     )
-    least = HEAD * (everything or 0)
-    is_head = F.col("times") >= least
+    is_head = F.col("times") >= HEAD * everything
     found = scored.filter(is_head).toPandas()
     numbers = {bytes(w): i for i, w in enumerate(found["word"])}
-    head = context.broadcast((numbers, found[["known", "own", "base"]].to_numpy(np.float64)))
+    head = context.broadcast((numbers, found[["known", "base", *owns]].to_numpy(np.float64)))
 
     def score_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, values = head.value
@@ -300,47 +330,52 @@ def score_texts(
                 k = np.fromiter(words.values(), np.int64, len(words))
                 at = np.fromiter((numbers.get(w, -1) for w in words), np.int64, len(words))
                 mine, uses = values[at[at >= 0]], k[at >= 0]
-                known, own, base = (uses * mine[:, 0]).sum(), mine[:, 1].sum(), (uses * mine[:, 2]).sum()
-                a, again = np.exp(mine[uses > 1, 1]), uses[uses > 1]
-                own += (log_gamma(a + again) - log_gamma(a + 1)).sum()
+                known, base = (uses * mine[:, 0]).sum(), (uses * mine[:, 1]).sum()
+                a, again = np.exp(mine[uses > 1, 2:]), uses[uses > 1, None]
                 total = int(k.sum()) + 1
-                own += end + math.lgamma(weight) - math.lgamma(weight + total)
-                missing = (at < 0).tolist()
-                spelled = list(compress(words, missing))
+                own = mine[:, 2:].sum(axis=0) + (log_gamma(a + again) - log_gamma(a + 1)).sum(axis=0)
+                own += ends + math.lgamma(weight) - math.lgamma(weight + total)
+                spelled = list(compress(words, (at < 0).tolist()))
                 rare[0] += [i] * len(spelled)
                 rare[1] += spelled
                 rare[2] += k[at < 0].tolist()
                 # a word with a space in it matches none, and keeps these rows apart
-                sums.append((b" %d" % i, total, int(known) + (n_docs > 0), float(own), float(base) + base_end))
+                sums.append((b" %d" % i, total, int(known) + (n_docs > 0), float(base) + base_end, *own.tolist()))
             at = pa.array([*rare[0], *range(batch.num_rows)], pa.int64())
             zeros = [0] * len(rare[0])
-            columns = [[*rare[1], *(s[0] for s in sums)], [*rare[2], *[0] * len(sums)], *([*zeros, *(s[k] for s in sums)] for k in (1, 2, 3, 4))]
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            columns = [[*rare[1], *(s[0] for s in sums)], [*rare[2], *[0] * len(sums)], *([*zeros, *(s[k] for s in sums)] for k in range(1, 4 + size))]
+            kinds = [pa.binary(), *[pa.int64()] * 3, *[pa.float64()] * (1 + size)]
             yield pa.RecordBatch.from_arrays(
                 [batch[0].take(at), batch[1].take(at), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                ["doc_id", "tkey", "word", "times", "n_tokens", "n_known", "own", "base"],
+                ["doc_id", "tkey", "word", "times", "n_tokens", "n_known", "base", *owns],
             )
 
     parts = rows.select("doc_id", F.xxhash64("body").alias("tkey"), "body").mapInArrow(
-        score_docs, "doc_id long, tkey long, word binary, times long, n_tokens long, n_known long, own double, base double"
+        score_docs, f"doc_id long, tkey long, word binary, times long, n_tokens long, n_known long, base double{own_kinds}"
     )
-    tail = scored.filter(~is_head).select("word", "known", F.col("own").alias("w_own"), F.col("base").alias("w_base"))
-    times, first = F.col("times"), F.col("w_own")
-    later = F.aggregate(F.sequence(F.lit(1).cast("long"), times - 1), F.lit(0.0), lambda total, i: total + F.log(F.exp(first) + i))
-    w_own = F.when(first.isNull(), 0.0).when(times > 1, first + later).otherwise(first)
+    tail = scored.filter(~is_head).select("word", "known", F.col("base").alias("w_base"), *[F.col(c).alias(f"w_{c}") for c in owns])
+    times = F.col("times")
+
+    def drawn(column: str):
+        first = F.col(f"w_{column}")
+        later = F.aggregate(F.sequence(F.lit(1).cast("long"), times - 1), F.lit(0.0), lambda total, i: total + F.log(F.exp(first) + i))
+        return F.sum(F.col(column) + F.when(first.isNull(), 0.0).when(times > 1, first + later).otherwise(first)).alias(column)
+
     sums = (
         parts.join(tail, "word", "left")
         .groupBy("doc_id", "tkey")
         .agg(
             F.sum("n_tokens").alias("n_tokens"),
             F.sum(F.col("n_known") + F.when(F.col("known"), times).otherwise(0)).alias("n_known"),
-            F.sum(F.col("own") + w_own).alias("own"),
             F.sum(F.col("base") + F.when(F.col("w_base").isNotNull(), times * F.col("w_base")).otherwise(0.0)).alias("base"),
+            *[drawn(c) for c in owns],
             F.sum(F.when(F.col("n_tokens") > 0, 1).otherwise(0)).alias("copies"),
         )
     )
     # rows that are equal in id and text were summed together: they come apart again
     one = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    one = one.withColumn("by", F.array(*[F.col(c) / F.col("copies") + float(x) for c, x in zip(owns, prior, strict=True)]))
+    top = F.array_max("by")
     return one.select(
         "doc_id",
         (common.fold("doc_id", folds) == held_fold).alias("held_out"),
@@ -348,5 +383,5 @@ def score_texts(
         F.expr("n_known div copies").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"),
-        (F.col("own") / F.col("copies") / math.log(10)).alias("score"),
+        ((top + F.log(F.aggregate("by", F.lit(0.0), lambda total, x: total + F.exp(x - top)))) / math.log(10)).alias("score"),
     )
