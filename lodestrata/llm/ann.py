@@ -1,26 +1,23 @@
 """Approximate nearest neighbours by cross-polytope hashing with multiprobe and exact reranking.
 
 A table turns unit vectors by three rounds of random signs and a fast Hadamard
-transform and names the nearest signed axis.  Rows enter one bucket a table; queries
-probe the buckets of their nearest axes.  A bucket's candidates meet its queries in
-blocks, are ranked by exact distance in double precision, and each block returns its
-nearest only.
+transform and names the nearest signed axis.  Rows travel once, dealt into blocks; the
+stated queries go to each block, in parts.  A block files its rows in one bucket a
+table; queries probe the buckets of their nearest axes, their candidates are ranked by
+exact distance in double precision, and each block returns its nearest only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _common as common
 
-#: Rows of a bucket that meet its queries in one task.
-BLOCK = 20_000
+#: Rows, and queries, that meet in one task.
+BLOCK = 10_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -45,28 +42,11 @@ def rotate(x: np.ndarray, seed: int, table: int) -> np.ndarray:
     return y
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
-
-
-def hashed(vectors: DataFrame, tables: int, probes: int, seed: int) -> DataFrame:
-    """(id, vector, bucket): one row per table and probe; ``bucket`` numbers table and signed axis."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            x = _matrix(batch[1])
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            for t in range(tables):
-                y = rotate(x, seed, t)
-                both = np.concatenate([y, -y], axis=1)
-                top = both.argmax(axis=1)[:, None] if probes == 1 else np.argsort(-both, axis=1, kind="stable")[:, :probes]
-                axis = top.ravel().astype(np.int64) + t * both.shape[1]
-                at = pa.array(np.repeat(np.arange(len(x)), top.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch[0].take(at), batch[1].take(at), pa.array(axis)], ["id", "vector", "bucket"])
-
-    return vectors.mapInArrow(run, "id long, vector array<double>, bucket long")
+def axes(x: np.ndarray, table: int, probes: int, seed: int) -> np.ndarray:
+    """[row, probe]: the signed axes nearest to the rows in one table, nearest first."""
+    y = rotate(x / np.linalg.norm(x, axis=1, keepdims=True), seed, table)
+    both = np.concatenate([y, -y], axis=1)
+    return both.argmax(axis=1)[:, None] if probes == 1 else np.argsort(-both, axis=1, kind="stable")[:, :probes]
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -93,8 +73,8 @@ def nearest(
     null or non-finite components take no part, nor do null ids or vectors of another
     length than most; of rows with one id the first in value order counts.  Equal vectors
     share one entry that keeps their k + 1 smallest ids, which is all that can be
-    returned of them.  Queries for which the buckets give fewer than ``k`` search all
-    rows, in blocks.  An empty table gives no rows; other columns are ignored.
+    returned of them.  A query to which a block's buckets give ``k`` rows or fewer searches
+    that whole block.  An empty table gives no rows; other columns are ignored.
     """
     rows = usable(vectors, id_col, vector_col).filter(F.col("id").isNotNull())
     rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
@@ -109,37 +89,52 @@ def nearest(
     classes = common.cut(some.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("id", F.col("ids")[0]))
     queries = common.cut(rows.filter(F.col("id") % every == 0))
 
-    entries = hashed(classes.select("id", "vector"), tables, 1, seed)
-    asked = hashed(queries.select("id", "vector"), tables, probes, seed)
-    found = common.cut(_expand(_ranked(entries, asked, k), classes, k))
-    counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    short = queries.join(counts.filter(F.col("n") >= k), queries["id"] == counts["query_id"], "left_anti")
-    rest = _expand(_ranked(classes.select("id", "vector", F.lit(-1).cast("long").alias("bucket")), short.withColumn("bucket", F.lit(-1).cast("long")), k), classes, k)
-    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(rest)
+    near = _ranked(classes.select("id", "vector"), queries.select("id", "vector"), k, tables, probes, seed)
+    return _expand(near, classes, k)
+
+
+def _ranked(entries: DataFrame, asked: DataFrame, k: int, tables: int, probes: int, seed: int) -> DataFrame:
+    """(query_id, id, score): each query's k + 1 nearest of the entries it shares a bucket with."""
+    blocks, parts = (max(1, -(-df.count() // BLOCK)) for df in (entries, asked))
+
+    def dealt(n: int):
+        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
 
+    def all_of(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-def _ranked(entries: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """(query_id, id, score): each query's k + 1 nearest entries of all its buckets."""
-    # A bucket's entries are dealt into blocks by its size; its queries go to each block.
-    sizes = entries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    left = entries.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
-    right = asked.join(sizes, "bucket").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    left = entries.withColumn("block", dealt(blocks)).withColumn("part", all_of(parts))
+    right = asked.withColumn("part", dealt(parts)).withColumn("block", all_of(blocks))
 
     def meet(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if len(rows) == 0 or len(queries) == 0:
             return pd.DataFrame({"query_id": np.empty(0, np.int64), "id": np.empty(0, np.int64), "score": np.empty(0)})
         x, ids = np.stack(rows["vector"].to_numpy()), rows["id"].to_numpy()
+        vectors = np.stack(queries["vector"].to_numpy())
+        filed, probed = [], []
+        for t in range(tables):
+            own = axes(x, t, 1, seed)[:, 0]
+            order = np.argsort(own, kind="stable")
+            filed.append(np.split(order, np.searchsorted(own[order], np.arange(1, 2 << max(0, x.shape[1] - 1).bit_length()))))
+            probed.append(axes(vectors, t, probes, seed))
         out = []
-        for q, v in zip(queries["id"], queries["vector"], strict=True):
-            d = x - v
+        for i, (q, v) in enumerate(zip(queries["id"].to_numpy(), vectors, strict=True)):
+            met = np.zeros(len(x), bool)
+            for buckets, axis in zip(filed, probed, strict=True):
+                met[np.concatenate([buckets[a] for a in axis[i]])] = True
+            at = np.flatnonzero(met)
+            if len(at) <= k:
+                at = np.arange(len(x))
+            d = x[at] - v
             score = np.sqrt((d * d).sum(axis=1))
-            top = np.lexsort((ids, score))[: k + 1] if len(ids) <= 4 * k else _first(score, ids, k + 1)
-            out.append(pd.DataFrame({"query_id": q, "id": ids[top], "score": score[top]}))
+            top = _first(score, ids[at], min(k + 1, len(at)))
+            out.append(pd.DataFrame({"query_id": q, "id": ids[at][top], "score": score[top]}))
         return pd.concat(out)
 
-    near = left.groupBy("bucket", "block").cogroup(right.groupBy("bucket", "block")).applyInPandas(meet, "query_id long, id long, score double")
+    keys = ["block", "part"]
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "id")
-    return near.distinct().withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
+    return near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
 
 
 def _first(score: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
