@@ -11,6 +11,8 @@ import numpy as np
 
 #: Above this many names, a reduced string is spelled in two digits a name, which keeps buckets few.
 DIRECT_NAMES = 1024
+#: The recursion ends at so many names: what is left is ordered by doubling, without a loop over symbols.
+LAST_NAMES = 1 << 18
 BYTE_STEPS = np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)
 
 
@@ -27,63 +29,65 @@ def suffix_types(s: np.ndarray) -> np.ndarray:
 
 class _Inducer:
     def __init__(self, s: np.ndarray, small: np.ndarray):
-        self.s, self.small, self.n = s, small, len(s)
+        self.s, self.n = s, len(s)
         self.count = np.bincount(s)
         self.end = np.cumsum(self.count)
         self.start = self.end - self.count
-        self.symbols = np.flatnonzero(self.count)
+        self.symbols = np.flatnonzero(self.count).tolist()
+        # by position: whether the suffix one to the left exists and is larger, or smaller, than its next one
+        self.after_large, self.after_small = np.zeros(self.n, bool), np.zeros(self.n, bool)
+        self.after_large[1:], self.after_small[1:] = ~small[:-1], small[:-1]
 
     def _grouped(self, at: np.ndarray):
-        """``at`` ordered by symbol (stable), each element's rank among its symbol's, and the symbols' counts."""
+        """``at`` ordered by symbol (stable), its symbols, their counts and each symbol's first place among them."""
         chars = self.s[at]
-        order = np.argsort(chars, kind="stable")
+        order = chars.argsort(kind="stable")
         chars = chars[order]
         counts = np.bincount(chars, minlength=len(self.count))
-        rank = np.arange(len(at)) - (np.cumsum(counts) - counts)[chars]
-        return at[order], chars, rank, counts
+        return at[order], chars, counts, counts.cumsum() - counts
 
     def run(self, lms: np.ndarray) -> np.ndarray:
         """The suffix array that follows from leftmost-smaller suffixes given in (some) order."""
-        sa = np.full(self.n, -1, np.int64)
-        lms_sorted, lms_chars, _, lms_counts = self._grouped(lms)
-        lms_end = np.cumsum(lms_counts)
+        sa = np.zeros(self.n, np.int64)
+        lms_sorted, _, lms_counts, lms_start = self._grouped(lms)
+        numbers = np.arange(self.n, dtype=np.int64)
         head = self.start.copy()
 
-        def to_heads(before: np.ndarray) -> None:
-            before = before[before >= 0]
-            before = before[~self.small[before]]
-            if len(before):
-                at, chars, rank, counts = self._grouped(before)
-                sa[head[chars] + rank] = at
+        def to_heads(wave: np.ndarray) -> None:
+            wave = wave[self.after_large[wave]]
+            if len(wave):
+                at, chars, counts, first = self._grouped(wave - 1)
+                sa[(head - first)[chars] + numbers[: len(at)]] = at
                 head[:] += counts
 
-        to_heads(np.array([self.n - 1], np.int64))
+        last = int(self.s[-1])
+        sa[head[last]] = self.n - 1
+        head[last] += 1
         for c in self.symbols:
             lo = self.start[c]
             while lo < head[c]:
                 hi = head[c]
-                to_heads(sa[lo:hi] - 1)
+                to_heads(sa[lo:hi])
                 lo = hi
             if lms_counts[c]:
-                to_heads(lms_sorted[lms_end[c] - lms_counts[c] : lms_end[c]] - 1)
+                to_heads(lms_sorted[lms_start[c] : lms_start[c] + lms_counts[c]])
 
         tail = self.end.copy()
 
-        def to_tails(before: np.ndarray) -> None:
-            before = before[before >= 0]
-            before = before[self.small[before]]
-            if len(before):
-                at, chars, rank, counts = self._grouped(before)
-                sa[tail[chars] - 1 - rank] = at
+        def to_tails(wave: np.ndarray) -> None:
+            wave = wave[self.after_small[wave]]
+            if len(wave):
+                at, chars, counts, first = self._grouped(wave - 1)
+                sa[(tail - 1 + first)[chars] - numbers[: len(at)]] = at
                 tail[:] -= counts
 
-        for c in self.symbols[::-1]:
+        for c in reversed(self.symbols):
             hi = self.end[c]
             while tail[c] < hi:
                 lo = tail[c]
-                to_tails(sa[lo:hi][::-1] - 1)
+                to_tails(sa[lo:hi][::-1])
                 hi = lo
-            to_tails(sa[self.start[c] : head[c]][::-1] - 1)
+            to_tails(sa[self.start[c] : head[c]][::-1])
         return sa
 
 
@@ -131,7 +135,24 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return inducer.run(ordered)
 
 
+def _doubled(s: np.ndarray) -> np.ndarray:
+    """The suffix array of a short string, whose prefixes are ranked at twice the length each time."""
+    n, step, rank = len(s), 1, s.astype(np.int64)
+    while True:
+        key = rank * (max(n, int(rank.max())) + 2)
+        key[:-step] += rank[step:] + 1
+        sa = key.argsort()
+        ordered = key[sa]
+        new = ordered[1:] != ordered[:-1]
+        if new.all():
+            return sa
+        rank[sa] = np.concatenate([[0], np.cumsum(new)])
+        step *= 2
+
+
 def _order_of_names(names: np.ndarray, distinct: int, n: int) -> np.ndarray:
+    if len(names) <= LAST_NAMES:
+        return _doubled(names)
     if distinct <= DIRECT_NAMES or 2 * len(names) > 0.9 * n:
         return suffix_array(names)
     base = int(np.ceil(np.sqrt(distinct)))

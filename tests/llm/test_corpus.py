@@ -38,10 +38,11 @@ def corpus(spark):
 EMPTY = []
 
 
-def test_suffix_arrays():
+def test_suffix_arrays(monkeypatch):
     rng = random.Random(1)
-    for direct in (1024, 3):
-        induced.DIRECT_NAMES = direct
+    for direct, last in ((1024, 0), (3, 0), (3, 8), (1024, 1 << 18)):
+        monkeypatch.setattr(induced, "DIRECT_NAMES", direct)
+        monkeypatch.setattr(induced, "LAST_NAMES", last)
         for _ in range(150):
             b = bytes(rng.randrange(rng.choice([1, 2, 4, 250])) for _ in range(rng.choice([0, 1, 2, 7, 60, 200])))
             b = (b[: max(1, len(b) // 5)] * 6)[: len(b)] if rng.random() < 0.4 else b
@@ -52,7 +53,6 @@ def test_suffix_arrays():
             for r in range(1, len(b)):
                 x, y = b[sa[r] :], b[sa[r - 1] :]
                 assert lcp[sa[r]] == next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
-    induced.DIRECT_NAMES = 1024
 
 
 def brute_repeats(rows, width):
