@@ -34,7 +34,9 @@ from .induced import permuted_lcp, suffix_array
 
 GRAM = 20
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
+#: Documents are joined up to this size for their windows to be computed at once (a longer one by itself).
+JOIN_BYTES = 1 << 19
 #: Windows in a piece at most; longer runs go on as several pieces.
 RUN = 512
 #: A minimizer in more documents than this sends its windows one by one, each to the shard of its own hash.
@@ -81,13 +83,13 @@ def _runs(minima: np.ndarray) -> np.ndarray:
 
 
 def _batched(texts: list[bytes], width: int):
-    """Documents of at least ``width`` bytes, joined a few MB at a time: (their indices, bytes, starts, lengths)."""
+    """Documents of at least ``width`` bytes, joined up to JOIN_BYTES at a time: (their indices, bytes, starts, lengths)."""
     group, size = [], 0
     order = [i for i in range(len(texts)) if len(texts[i]) >= width]
     for n, i in enumerate(order):
         group.append(i)
         size += len(texts[i]) + 1
-        if size >= 2 << 20 or n == len(order) - 1:
+        if size >= JOIN_BYTES or n == len(order) - 1:
             data = np.frombuffer(b"\xff".join([texts[i] for i in group]), np.uint8)
             lengths = np.array([len(texts[i]) for i in group])
             starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
