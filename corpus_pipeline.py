@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from lodestrata.llm import _common as common
 from lodestrata.llm.langid import identify
 from lodestrata.llm.mixing import mixed_documents
+from lodestrata.llm.near_texts import near_groups
 from lodestrata.llm.packing import pack_documents
 from lodestrata.llm.queries import tokenizer_path
-from lodestrata.llm.simhash import near_duplicates
 from lodestrata.llm.suffix_dedup import kept_texts, remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -30,9 +30,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates; rows with one id stay together, rows without go."""
-    groups = near_duplicates(docs)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    """The first document of each group of texts whose 5-word shingles have a Jaccard similarity of 0.8 or more; rows with one id stay together, rows without go."""
+    kept = near_groups(docs).groupBy("group").agg(F.min("id").alias("doc_id")).select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
