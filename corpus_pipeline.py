@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm import _common as common
 from lodestrata.llm.langid import identify
 from lodestrata.llm.mixing import mixed_documents
-from lodestrata.llm.near_texts import near_groups
+from lodestrata.llm.near_texts import near_groups, text_key
 from lodestrata.llm.packing import pack_documents
 from lodestrata.llm.queries import tokenizer_path
 from lodestrata.llm.suffix_dedup import kept_texts, remove_repeats
@@ -21,6 +21,8 @@ from lodestrata.llm.suffix_dedup import kept_texts, remove_repeats
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if one language accounts for at least this share of it.
 LEAST_SHARE = 0.5
+#: Texts without an id are numbered by their hash from here on.
+UNNAMED = 1 << 62
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,19 +32,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of texts whose 5-word shingles have a Jaccard similarity of 0.8 or more; rows with one id stay together, rows without go."""
-    kept = near_groups(docs).groupBy("group").agg(F.min("id").alias("doc_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """The first document of each group of texts whose 5-word shingles have a Jaccard similarity of 0.8 or more.
+
+    First is the smallest id, null last, then the text's hash; of rows equal in id and text one stays.
+    """
+    first = near_groups(docs).groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("one"))
+    kept = first.select(F.col("one.id").alias("_id"), F.col("one.key").alias("_key"))
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    # copies meet map by map before their text travels
+    rows = docs.withColumn("_hash", text_key()).groupBy("doc_id", "_hash").agg(F.min(F.struct(*rest)).alias("_row"))
+    stay = rows.join(kept, (F.col("_hash") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return stay.select("doc_id", "_row.*").select(*COLUMNS)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 bytes or more that an earlier document holds; emptied documents go.
 
-    A cut inside a character drops that character's remains with the passage.
+    Texts without an id come after all others, each text a document of its own and kept once.  A cut inside a
+    character drops that character's remains with the passage.
     """
-    kept = kept_texts(remove_repeats(docs)).select("doc_id", F.col("text_hash").alias("_hash"), F.col("text").alias("_text"))
-    hashed = docs.withColumn("_hash", F.xxhash64(common.text_or_empty().cast("binary")))
-    out = hashed.join(kept, ["doc_id", "_hash"]).withColumn("text", F.col("_text")).filter(F.length(F.trim("text")) > 0)
+    hashed = docs.withColumn("_hash", text_key())
+    unnamed = hashed.filter("doc_id is null").groupBy("_hash").agg(F.min(F.struct(*COLUMNS)).alias("_row")).select("_row.*", "_hash")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(UNNAMED) + F.pmod("_hash", F.lit(UNNAMED - 2)))
+    rows = hashed.filter("doc_id is not null").unionByName(unnamed).withColumn("_own", own)
+    kept = kept_texts(remove_repeats(rows, id_col="_own")).select(F.col("doc_id").alias("_own"), F.col("text_hash").alias("_hash"), F.col("text").alias("_text"))
+    out = rows.join(kept, ["_own", "_hash"]).withColumn("text", F.col("_text")).filter(F.length(F.trim("text")) > 0)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
