@@ -7,6 +7,10 @@ takes the two densities that leave it few terms in a subset, and its fingerprint
 holds, for each density and subset, a hash of its sorted terms there.  Likeness is
 the share of equal hashes among the subsets of the densities that two documents have
 in common.
+
+Frequencies count distinct texts, so copies don't drive their own terms out of the band.
+A document of which the band holds a small part only (one of many near-copies, say)
+adds the same two levels over all its terms, marked ``*``.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ BAND = (0.0005, 0.05)
 TERM_BITS = 21
 #: Ids in one range of neighbours.
 RANGE = 128
+#: Under this share of terms in the band, a document adds levels over all its terms: an edited third may bring up to 1/3.
+THIN = 0.4
 
 
 def terms(body: Column) -> Column:
@@ -35,13 +41,14 @@ def _slot(term: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """One row: a bit for each hashed term (64 to a long) that tells whether its share of the documents lies in the band.
+    """One row: a bit for each hashed term (64 to a long) that tells whether its share of the distinct texts lies in the band.
 
     All rare terms of a document together add its (number of terms) / 2^21 to the mean
     share of a slot, far under the band, at any number of documents.
     """
-    n = docs.count()
-    slots = docs.select(F.explode(F.array_distinct(F.transform(terms(F.col("body")), lambda w: _slot(F.xxhash64(w))))).alias("slot"))
+    texts = docs.select(F.xxhash64("body").alias("text"), F.array_distinct(F.transform(terms(F.col("body")), lambda w: _slot(F.xxhash64(w)))).alias("slots"))
+    n = texts.select("text").distinct().count()
+    slots = texts.groupBy("text").agg(F.first("slots").alias("slots")).select(F.explode("slots").alias("slot"))
     by = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
     held = by.filter((F.col("df") >= max(2.0, band[0] * n)) & (F.col("df") <= max(2.0, band[1] * n)))
     words = held.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits"))
@@ -50,9 +57,8 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     return filled.agg(F.sort_array(F.collect_list("w")).alias("ws")).select(F.transform("ws", lambda w: w["bits"]).alias("bits"))
 
 
-def band_terms(body: Column, bits: Column) -> Column:
-    """The sorted hashes of the text's distinct terms in the lexicon."""
-    hashed = F.transform(terms(body), lambda w: F.xxhash64(w))
+def band_terms(hashed: str, bits: Column) -> Column:
+    """The sorted ones of the text's hashed terms that are in the lexicon."""
 
     def told(h: Column) -> Column:
         word = F.element_at(bits, F.shiftrightunsigned(h, 70 - TERM_BITS).cast("int") + 1)
@@ -61,6 +67,11 @@ def band_terms(body: Column, bits: Column) -> Column:
     return F.sort_array(F.filter(hashed, told))
 
 
+def thin_terms(hashed: str, kept: str) -> Column:
+    """All sorted hashed terms where few of them are in the lexicon, elsewhere none."""
+    return F.when(F.size(kept) < THIN * F.size(hashed), F.sort_array(hashed)).otherwise(F.array().cast("array<bigint>"))
+
+
 def density(kept: str) -> Column:
     """Density d keeps one term in 2^d, so that a subset holds one to two terms on average (two to four at d - 1)."""
     n = F.size(kept)
@@ -73,10 +84,14 @@ def mask(d: Column) -> Column:
 
 def fingerprint(kept: str, body: str, d: str, subsets: int = SUBSETS) -> Column:
     """``all|d:h,h,...|d-1:h,h,...``: a hash of all band terms (of all words where no word is in the band), then for two
-    densities one hash a subset (``-`` where the subset holds none of the terms)."""
+    densities one hash a subset (``-`` where the subset holds none of the terms).  Where the band is thin, two levels over
+    all terms follow: ``|*d:h,h,...|*d-1:h,h,...``."""
     whole = F.when(F.size(kept) > 0, F.hex(F.xxhash64(kept))).otherwise(F.hex(F.xxhash64(F.sort_array(terms(F.col(body))))))
     lower = F.greatest(F.col(d) - 1, F.lit(0))
-    return F.concat_ws("|", whole, _level(kept, F.col(d), f"{d}_mask", subsets), _level(kept, lower, f"{d}_mask_lower", subsets))
+    levels = [_level(kept, F.col(d), f"{d}_mask", subsets), _level(kept, lower, f"{d}_mask_lower", subsets)]
+    every, e = f"every_{kept}", f"d_every_{kept}"
+    wide = [_level(every, F.col(e), f"{e}_mask", subsets), _level(every, F.greatest(F.col(e) - 1, F.lit(0)), f"{e}_mask_lower", subsets)]
+    return F.concat_ws("|", whole, *levels, *[F.when(F.size(every) > 0, F.concat(F.lit("*"), x)) for x in wide])
 
 
 def _level(kept: str, d: Column, mask: str, subsets: int) -> Column:
@@ -99,7 +114,8 @@ def likeness(a: str, b: str) -> Column:
         same = F.substring_index(x, ":", 1) == F.substring_index(y, ":", 1)
         return F.when(same & (F.size(told) > 0), F.size(equal) / F.size(told))
 
-    found = F.greatest(*[share(left[i], right[j]) for i in (1, 2) for j in (1, 2)])
+    levels = [(i, j) for own in ((1, 2), (3, 4)) for i in own for j in own]
+    found = F.greatest(*[share(F.get(left, i), F.get(right, j)) for i, j in levels])
     return F.when(F.col(a) == F.col(b), 1.0).otherwise(F.coalesce(found, F.lit(0.0)))
 
 
@@ -141,10 +157,13 @@ def fingerprints(
     third = "cast(floor(length(body) / 3) as int)"
     edited = F.concat(F.expr(f"substring(body, 1, length(body) - {third})"), F.expr(f"substring(next_body, 1, {third})"))
     paired = rings(rows).withColumn("next_body", F.coalesce(F.lead("body").over(order), F.lit(""))).withColumn("edited", edited).withColumn("bits", bits)
-    kept = paired.select(
-        "part", "guest", "doc_id", "body", "edited", band_terms(F.col("body"), F.col("bits")).alias("kept"), band_terms(F.col("edited"), F.col("bits")).alias("kept_edited")
-    )
-    for name in ("kept", "kept_edited"):
+    kept = paired
+    for body, name in (("body", "kept"), ("edited", "kept_edited")):
+        kept = kept.withColumn(f"hashed_{name}", F.transform(terms(F.col(body)), lambda w: F.xxhash64(w)))
+        kept = kept.withColumn(name, band_terms(f"hashed_{name}", F.col("bits")))
+        kept = kept.withColumn(f"every_{name}", thin_terms(f"hashed_{name}", name))
+    kept = kept.select("part", "guest", "doc_id", "body", "edited", *[f"{x}{name}" for name in ("kept", "kept_edited") for x in ("", "every_")])
+    for name in ("kept", "kept_edited", "every_kept", "every_kept_edited"):
         # columns of their own, since lambdas would compute them anew for each term
         kept = kept.withColumn(f"d_{name}", density(name))
         kept = kept.withColumn(f"d_{name}_mask", mask(F.col(f"d_{name}")))
