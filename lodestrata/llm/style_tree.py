@@ -4,10 +4,11 @@ All pages of a host are merged into one tree whose nodes are element paths with
 classes.  A node's importance mixes two entropies: how varied the child sequences are
 with which pages present it, and how varied its texts are (a text that returns on page
 after page carries nothing).  Branches of low importance go.  Some roles are known
-beforehand: elements that HTML or common class names set aside as menus, headers,
-footers, sidebars, notices, adverts, forms or comments always go, and what an
-``article`` or ``main`` holds besides them always stays, so that an article that is
-copied over many pages of a host isn't taken for a template.
+beforehand and weigh in the score: elements that HTML sets aside as menus, headers,
+footers, sidebars, notices, adverts or forms go; those that only a class name sets
+aside go unless nothing else is left; an ``article`` or ``main`` is not itself taken for a
+template, though blocks in it are that return while it varies; and what lies outside one that is there needs more
+importance to stay.
 """
 
 from __future__ import annotations
@@ -52,6 +53,10 @@ ENDS |= {k: ("tr td th thead tbody tfoot", "table") for k in ("thead", "tbody",
 
 GAMMA = 0.9
 LEAST = 0.3
+#: Importance that a block outside a page's article needs.
+LEAST_OUTSIDE = 0.6
+#: Before a name they say that the part is absent or long, as in no-sidebar and long-form.
+NOT = frozenset("no without long".split())
 PAGES = 3
 
 
@@ -60,13 +65,14 @@ def _key(parent: int, tag: str, names: tuple[str, ...]) -> int:
 
 
 class Page:
-    """The text blocks of a page: (text, nodes from the outside in, inside an article, set aside)."""
+    """The text blocks of a page: (text, nodes from the outside in, inside an article, set aside: 1 by name only, 2 by role)."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []
+        self.blocks: list[tuple[str, tuple[int, ...], bool, int]] = []
+        self.mains: set[int] = set()
         self.children: dict[int, list[str]] = {}
         # (tag, key, in article, set aside)
-        self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
         self.text: list[str] = []
         self._read(source)
 
@@ -108,12 +114,20 @@ class Page:
         self.children.setdefault(parent, []).append(f"{tag}.{'.'.join(names)}")
         if tag in VOID:
             return
-        told = WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+        words = [WORDS.findall(x) for x in f"{found.get('class', '')} {found.get('id', '')}".lower().split()]
+        told = [w for x in words for a, w in zip(["", *x], x, strict=False) if a not in NOT]
         role = found.get("role", "").lower()
         main = tag in ("article", "main") or role in ("main", "article")
-        aside = aside or tag in ASIDE or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-        aside = aside or (not inside and (tag == "header" or "header" in told)) or (tag not in ("html", "body", "main") and not NAMES.isdisjoint(told))
-        aside = aside or "display:none" in found.get("style", "").replace(" ", "").lower()
+        # a wrapper's name doesn't set aside the article in it
+        aside = 0 if main and aside == 1 and not inside else aside
+        if tag in ASIDE or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or (not inside and tag == "header"):
+            aside = 2
+        if "display:none" in found.get("style", "").replace(" ", "").lower():
+            aside = 2
+        if (not inside and "header" in told) or (tag not in ("html", "body", "main") and not NAMES.isdisjoint(told)):
+            aside = max(aside, 1)
+        if main:
+            self.mains.add(key)
         self.stack.append((tag, key, inside or main, aside))
         if closed and tag in ("svg", "math"):
             self.stack.pop()
@@ -149,12 +163,13 @@ class Page:
 
 
 def page_features(page: Page) -> Iterator[tuple[int, int, int]]:
-    """(node, kind, feature) of a page, each once: kind 0 for texts below a node, 1 for its children's sequence."""
+    """(node, kind, feature) of a page, each once: kind 0 for texts below a node, 1 for its children's sequence, 2 for its being there."""
     seen = set()
     for text, nodes, _, aside in page.blocks:
-        if not aside:
+        if aside < 2:
             h = xxhash.xxh64_intdigest(text) >> 1
             seen.update((node, 0, h) for node in nodes)
+            seen.update((node, 2, 0) for node in nodes)
     for node, children in page.children.items():
         if node:
             seen.add((node, 1, xxhash.xxh64_intdigest(" ".join(children)) >> 1))
@@ -166,7 +181,7 @@ def host_of(url: str):
 
 
 def importance(rows: DataFrame) -> DataFrame:
-    """(host, node, pages, importance) from (host, html): the merged tree, for nodes that leave the articles aside.
+    """(host, node, pages, importance) from (host, html): the merged tree of all pages.
 
     Sums are taken over (host, node, feature) first, so a host with most of the pages
     is spread over its features."""
@@ -175,9 +190,7 @@ def importance(rows: DataFrame) -> DataFrame:
         for batch in batches:
             counts: Counter = Counter()
             for host, source in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                page = Page(source)
-                if not any(inside and not aside for _, _, inside, aside in page.blocks):
-                    counts.update((host, *x) for x in page_features(page))
+                counts.update((host, *x) for x in page_features(Page(source)))
             out = [list(c) for c in zip(*[(*k, n) for k, n in counts.items()], strict=True)] or [[], [], [], [], []]
             kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["host", "node", "kind", "feature", "c"])
@@ -189,7 +202,7 @@ def importance(rows: DataFrame) -> DataFrame:
     by = counts.groupBy("host", "node").agg(
         F.sum(F.when(style, c)).alias("presented"),
         F.sum(F.when(style, c * F.log(c))).alias("c_log_c"),
-        F.max(F.when(text, c)).alias("most"),
+        F.max(F.when(F.col("kind") == 2, c)).alias("most"),
         F.avg(F.when(text, F.log(c))).alias("log_c"),
     )
     pages = F.greatest(F.coalesce("presented", F.lit(0.0)), F.coalesce("most", F.lit(0.0)))
@@ -203,9 +216,10 @@ def extract(pages: DataFrame, least: float = LEAST, support: int = PAGES, url_co
     """The main text of every page: page_id, url, text, one row per input row.
 
     Blocks come in page order, joined by one newline; white space inside a block is one
-    space; character references are decoded.  Where a page has an ``article`` or
-    ``main``, its blocks are the text; elsewhere the blocks outside set-aside elements
-    whose branch has at least ``least`` importance on its host (nodes on fewer than
+    space; character references are decoded.  A block stays if its branch has at least
+    ``least`` importance on its host; the branch begins inside the ``article`` or ``main``
+    where that has so much, and such a block stays where that has less.  Blocks outside the article of a
+    page that has one need LEAST_OUTSIDE, on ``support`` pages at least.  Else nodes on fewer than
     ``support`` pages are kept; so is all if nothing would be left).  Null html: empty
     text.  Null URLs form one host.  Repeated rows come out alike; an empty table gives
     no rows; other columns are ignored.
@@ -214,26 +228,37 @@ def extract(pages: DataFrame, least: float = LEAST, support: int = PAGES, url_co
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")
     )
     tree = importance(rows.select("host", "html"))
-    low = tree.filter((F.col("importance") < least) & (F.col("pages") >= support)).groupBy("host").agg(F.collect_set("node").alias("low"))
+    # what is on few pages can't show its importance
+    low, unproved = (F.col("importance") < least) & (F.col("pages") >= support), (F.col("importance") < LEAST_OUTSIDE) | (F.col("pages") < support)
+    told = tree.filter(low | unproved).groupBy("host")
+    low = told.agg(F.collect_list(F.when(low, F.col("node"))).alias("low"), F.collect_list(F.when(unproved, F.col("node"))).alias("unproved"))
     # written first, so that its true size decides how it joins
     joined = rows.join(common.cut(low), "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for source, nodes in zip(batch[2].to_pylist(), batch[3].to_pylist(), strict=True):
-                texts.append("\n".join(main_blocks(Page(source), frozenset(nodes or ()))))
+            for source, nodes in zip(batch[2].to_pylist(), zip(batch[3].to_pylist(), batch[4].to_pylist(), strict=True), strict=True):
+                texts.append("\n".join(main_blocks(Page(source), *[frozenset(x or ()) for x in nodes])))
             yield pa.RecordBatch.from_arrays([batch[0], batch[1], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    chosen = joined.select("page_id", "url", "html", "low")
+    chosen = joined.select("page_id", "url", "html", "low", "unproved")
     kind = chosen.schema["page_id"].dataType.simpleString()
     return chosen.mapInArrow(run, f"page_id {kind}, url string, text string")
 
 
-def main_blocks(page: Page, low: frozenset) -> list[str]:
-    article = [text for text, _, inside, aside in page.blocks if inside and not aside]
-    if article:
-        return article
-    body = [(text, nodes) for text, nodes, _, aside in page.blocks if not aside]
-    return [text for text, nodes in body if low.isdisjoint(nodes)] or [text for text, _ in body]
+def main_blocks(page: Page, low: frozenset, unproved: frozenset) -> list[str]:
+    article = any(inside and not aside for _, _, inside, aside in page.blocks)
 
+    def stays(nodes: tuple[int, ...], inside: bool) -> bool:
+        if inside:
+            at = next(i for i, node in enumerate(nodes) if node in page.mains)
+            return nodes[at] in low or low.isdisjoint(nodes[at + 1 :])
+        return (unproved if article else low).isdisjoint(nodes[-1:] if article else nodes)
+
+    for most in (0, 1):
+        body = [(text, nodes, inside) for text, nodes, inside, aside in page.blocks if aside <= most]
+        found = [text for text, nodes, inside in body if stays(nodes, inside)] or [text for text, _, _ in body]
+        if found:
+            return found
+    return []
