@@ -16,7 +16,7 @@ from lodestrata.llm.mixing import mixed_documents
 from lodestrata.llm.near_texts import near_groups, text_key
 from lodestrata.llm.packing import pack_documents
 from lodestrata.llm.queries import tokenizer_path
-from lodestrata.llm.suffix_dedup import kept_texts, remove_repeats
+from lodestrata.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if one language accounts for at least this share of it.
@@ -51,13 +51,15 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Texts without an id come after all others, each text a document of its own and kept once.  A cut inside a
     character drops that character's remains with the passage.
     """
-    hashed = docs.withColumn("_hash", text_key())
-    unnamed = hashed.filter("doc_id is null").groupBy("_hash").agg(F.min(F.struct(*COLUMNS)).alias("_row")).select("_row.*", "_hash")
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(UNNAMED) + F.pmod("_hash", F.lit(UNNAMED - 2)))
-    rows = hashed.filter("doc_id is not null").unionByName(unnamed).withColumn("_own", own)
-    kept = kept_texts(remove_repeats(rows, id_col="_own")).select(F.col("doc_id").alias("_own"), F.col("text_hash").alias("_hash"), F.col("text").alias("_text"))
-    out = rows.join(kept, ["_own", "_hash"]).withColumn("text", F.col("_text")).filter(F.length(F.trim("text")) > 0)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    named = docs.filter("doc_id is not null").withColumn("_own", F.col("doc_id").cast("long"))
+    unnamed = docs.filter("doc_id is null").groupBy(text_key().alias("_hash")).agg(F.min(F.struct(*COLUMNS)).alias("_row"))
+    unnamed = unnamed.select("_row.*", (F.lit(UNNAMED) + F.pmod("_hash", F.lit(UNNAMED - 2))).alias("_own"))
+    rest = ("doc_id", "lang", "source")
+    found = remove_repeats(named.unionByName(unnamed), id_col="_own", keep=rest, as_text=True).filter(F.length(F.trim("kept")) > 0)
+    return found.select(
+        F.col("kept_doc_id").alias("doc_id"), F.col("kept").alias("text"), F.col("kept_lang").alias("lang"), F.col("kept_source").alias("source"),
+        F.length("kept").cast("long").alias("n_chars"),
+    )
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

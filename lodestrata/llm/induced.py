@@ -10,9 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Above this many names, a reduced string is spelled in two digits a name, which keeps buckets few.
-DIRECT_NAMES = 1024
-#: The recursion ends at so many names: what is left is ordered by doubling, without a loop over symbols.
-LAST_NAMES = 1 << 18
+DIRECT_NAMES = 64
 BYTE_STEPS = np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)
 
 
@@ -37,69 +35,101 @@ class _Inducer:
         # by position: whether the suffix one to the left exists and is larger, or smaller, than its next one
         self.after_large, self.after_small = np.zeros(self.n, bool), np.zeros(self.n, bool)
         self.after_large[1:], self.after_small[1:] = ~small[:-1], small[:-1]
+        self.numbers = np.arange(self.n, dtype=_index(self.n))
 
-    def _grouped(self, at: np.ndarray):
+    def _grouped(self, at: np.ndarray, chars: np.ndarray):
         """``at`` ordered by symbol (stable), its symbols, their counts and each symbol's first place among them."""
-        chars = self.s[at]
         order = chars.argsort(kind="stable")
-        chars = chars[order]
         counts = np.bincount(chars, minlength=len(self.count))
-        return at[order], chars, counts, counts.cumsum() - counts
+        return at[order], chars[order], counts, counts.cumsum() - counts
 
     def run(self, lms: np.ndarray) -> np.ndarray:
         """The suffix array that follows from leftmost-smaller suffixes given in (some) order."""
-        sa = np.zeros(self.n, np.int64)
-        lms_sorted, _, lms_counts, lms_start = self._grouped(lms)
-        numbers = np.arange(self.n, dtype=np.int64)
+        s, numbers = self.s, self.numbers
+        sa = np.zeros(self.n, numbers.dtype)
+        lms_sorted, _, lms_counts, lms_start = self._grouped(lms, s[lms])
+        # what precedes a leftmost-smaller suffix is larger than it
+        lms_before = lms_sorted - 1
+        lms_chars = s[lms_before]
         head = self.start.copy()
 
-        def to_heads(wave: np.ndarray) -> None:
-            wave = wave[self.after_large[wave]]
-            if len(wave):
-                at, chars, counts, first = self._grouped(wave - 1)
+        def to_heads(at: np.ndarray, chars: np.ndarray) -> None:
+            if len(at):
+                at, chars, counts, first = self._grouped(at, chars)
                 sa[(head - first)[chars] + numbers[: len(at)]] = at
                 head[:] += counts
 
-        last = int(self.s[-1])
+        last = int(s[-1])
         sa[head[last]] = self.n - 1
         head[last] += 1
         for c in self.symbols:
-            lo = self.start[c]
-            while lo < head[c]:
-                hi = head[c]
-                to_heads(sa[lo:hi])
-                lo = hi
-            if lms_counts[c]:
-                to_heads(lms_sorted[lms_start[c] : lms_start[c] + lms_counts[c]])
+            lo, a, b = self.start[c], lms_start[c], lms_start[c] + lms_counts[c]
+            while lo < head[c] or a < b:
+                wave = sa[lo : head[c]]
+                lo = head[c]
+                at = wave[self.after_large[wave]] - 1
+                chars = s[at]
+                if a < b and not (chars == c).any():
+                    # none comes back to this bucket, so the smaller suffixes follow at once
+                    at, chars, a = np.concatenate([at, lms_before[a:b]]), np.concatenate([chars, lms_chars[a:b]]), b
+                to_heads(at, chars)
 
         tail = self.end.copy()
 
-        def to_tails(wave: np.ndarray) -> None:
-            wave = wave[self.after_small[wave]]
-            if len(wave):
-                at, chars, counts, first = self._grouped(wave - 1)
+        def to_tails(at: np.ndarray, chars: np.ndarray) -> None:
+            if len(at):
+                at, chars, counts, first = self._grouped(at, chars)
                 sa[(tail - 1 + first)[chars] - numbers[: len(at)]] = at
                 tail[:] -= counts
 
         for c in reversed(self.symbols):
-            hi = self.end[c]
-            while tail[c] < hi:
-                lo = tail[c]
-                to_tails(sa[lo:hi][::-1])
-                hi = lo
-            to_tails(sa[self.start[c] : head[c]][::-1])
+            hi, rest = self.end[c], head[c] > self.start[c]
+            while tail[c] < hi or rest:
+                wave = sa[tail[c] : hi][::-1]
+                hi = tail[c]
+                at = wave[self.after_small[wave]] - 1
+                chars = s[at]
+                if rest and not (chars == c).any():
+                    large = sa[self.start[c] : head[c]][::-1]
+                    large = large[self.after_small[large]] - 1
+                    at, chars, rest = np.concatenate([at, large]), np.concatenate([chars, s[large]]), False
+                to_tails(at, chars)
         return sa
 
 
-def _same(s: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Whether s[a:a+length] equals s[b:b+length], for each element."""
-    same, live, j = np.ones(len(a), bool), np.arange(len(a)), 0
+def _index(n: int) -> type:
+    return np.int32 if n < 1 << 31 else np.int64
+
+
+def name_substrings(s: np.ndarray, small: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
+    """A number for the substring from each leftmost-smaller suffix to the next one, in their order, and how many there are.
+
+    Symbols are packed with their types into words; substrings equal so far go on to their next word.
+    """
+    n = len(s)
+    bits = (2 * int(s.max()) + 2).bit_length()
+    width = 63 // bits
+    code = np.zeros(n + width + 1, np.int64)
+    code[:n] = s
+    code[:n] = 2 * code[:n] + small + 1
+    length = np.diff(lms, append=n) + 1  # the last one meets the end, which is smaller than all
+    rank, live, at = np.zeros(len(lms), np.int64), np.arange(len(lms)), 0
     while len(live):
-        equal = s[a[live] + j] == s[b[live] + j]
-        same[live[~equal]] = False
-        j += 1
-        live = live[equal & (length[live] > j)]
-    return same
+        key, place, left = np.zeros(len(live), np.int64), lms[live] + at, length[live] - at
+        for t in range(width):
+            key <<= bits
+            key += np.where(left > t, code[np.minimum(place + t, n)], 0)
+        order = np.lexsort((key, rank[live])) if at else key.argsort(kind="stable")
+        live, key = live[order], key[order]
+        known, numbers = rank[live], np.arange(len(live))
+        group = np.append(True, known[1:] != known[:-1])
+        new = group | np.append(True, key[1:] != key[:-1])
+        rank[live] = known + np.maximum.accumulate(np.where(new, numbers, 0)) - np.maximum.accumulate(np.where(group, numbers, 0))
+        at += width
+        live = live[~(new & np.append(new[1:], True)) & (length[live] > at)]
+    taken = np.zeros(len(lms), np.int64)
+    taken[rank] = 1
+    return (np.cumsum(taken) - 1)[rank], int(taken.sum())
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -114,52 +144,41 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     small = suffix_types(s)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = small[1:] & ~small[:-1]
-    inducer = _Inducer(s, small)
-    lms = np.flatnonzero(is_lms).astype(np.int64)
-    sa = inducer.run(lms)
-    if len(lms) < 2:
-        return sa
-    ordered = sa[is_lms[sa]]
-    length = np.zeros(n, np.int64)
-    length[lms[:-1]] = np.diff(lms) + 1
-    length[lms[-1]] = 0  # runs into the end, so it equals no other
-    a, b = ordered[:-1], ordered[1:]
-    new = length[a] != length[b]
-    maybe = np.flatnonzero(~new & (length[a] > 0))
-    new[maybe] = ~_same(s, a[maybe], b[maybe], length[a][maybe])
-    names = np.concatenate([[0], np.cumsum(new)])
-    if names[-1] + 1 < len(lms):
-        name_at = np.empty(n, np.int64)
-        name_at[ordered] = names
-        ordered = lms[_order_of_names(name_at[lms], int(names[-1]) + 1, n)]
-    return inducer.run(ordered)
-
-
-def _doubled(s: np.ndarray) -> np.ndarray:
-    """The suffix array of a short string, whose prefixes are ranked at twice the length each time."""
-    n, step, rank = len(s), 1, s.astype(np.int64)
-    while True:
-        key = rank * (max(n, int(rank.max())) + 2)
-        key[:-step] += rank[step:] + 1
-        sa = key.argsort()
-        ordered = key[sa]
-        new = ordered[1:] != ordered[:-1]
-        if new.all():
-            return sa
-        rank[sa] = np.concatenate([[0], np.cumsum(new)])
-        step *= 2
+    lms = np.flatnonzero(is_lms).astype(_index(n))
+    if len(lms) > 1:
+        names, distinct = name_substrings(s, small, lms)
+        lms = lms[_order_of_names(names, distinct, n) if distinct < len(lms) else names.argsort()]
+    return _Inducer(s, small).run(lms)
 
 
 def _order_of_names(names: np.ndarray, distinct: int, n: int) -> np.ndarray:
-    if len(names) <= LAST_NAMES:
-        return _doubled(names)
-    if distinct <= DIRECT_NAMES or 2 * len(names) > 0.9 * n:
-        return suffix_array(names)
-    base = int(np.ceil(np.sqrt(distinct)))
-    digits = np.empty(2 * len(names), np.uint16 if base < 65536 else np.int64)
-    digits[0::2], digits[1::2] = np.divmod(names, base)
-    sa = suffix_array(digits)
-    return sa[sa % 2 == 0] // 2
+    """The order of the suffixes of ``names``.
+
+    A name that occurs once decides every comparison it takes part in.  So only the names that
+    occur again are sorted on, each run of them with the one that ends it.
+    """
+    again = np.bincount(names, minlength=distinct)[names] > 1
+    kept = again.copy()
+    kept[1:] |= again[:-1]
+    kept[-1] = True
+    at = np.flatnonzero(kept)
+    short = names[at]
+    if len(at) < len(names):
+        found, short = np.unique(short, return_inverse=True)
+        distinct = len(found)
+    if distinct <= DIRECT_NAMES or 2 * len(short) > 0.9 * n:
+        order = suffix_array(short)
+    else:
+        base = int(np.ceil(np.sqrt(distinct)))
+        digits = np.empty(2 * len(short), np.uint16 if base < 65536 else np.int64)
+        digits[0::2], digits[1::2] = np.divmod(short, base)
+        sa = suffix_array(digits)
+        order = sa[sa % 2 == 0] // 2
+    if len(at) == len(names):
+        return order
+    order = at[order]
+    order = np.concatenate([order[again[order]], np.flatnonzero(~again)])
+    return order[names[order].argsort(kind="stable")]
 
 
 def permuted_lcp(s: np.ndarray, sa: np.ndarray) -> np.ndarray:

@@ -14,8 +14,8 @@ Plan (``width`` bytes make a repeat):
 4. A window is covered if its class has a smaller document.  The shards answer the
    blocks, which find the pieces in their documents again and drop the covered bytes.
 
-Texts move between steps in blocks of documents (hash of the id), so no task holds
-more than a block, a shard batch or one document.
+Texts move between steps in blocks of documents (hash of id and text), so no task holds
+more than a block, a shard or one document.
 """
 
 from __future__ import annotations
@@ -39,8 +39,10 @@ SHARD_BYTES = 2 << 20
 JOIN_BYTES = 1 << 19
 #: Windows in a piece at most; longer runs go on as several pieces.
 RUN = 512
-#: A minimizer in more documents than this sends its windows one by one, each to the shard of its own hash.
-CROWDED = 100_000
+#: A minimizer whose pieces take more bytes than this sends its windows one by one, each to the shard of its own hash.
+CROWDED = SHARD_BYTES
+#: Blocks that one task handles one after the other.
+BLOCKS_A_TASK = 16
 NO_ID = (1 << 63) - 1
 
 
@@ -113,18 +115,24 @@ def _keep_first(table: pa.Table, first: set) -> pa.Table:
     return table.filter(pa.array([p in first for p in zip(ids, keys, strict=True)], pa.bool_()))
 
 
-def block_of(n: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block")
-
-
-def blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(block, doc_id, tkey, body) and the number of blocks: the texts as bytes; a null id counts as larger than any other."""
+def blocks(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(block, doc_id, tkey, body, kept_...) and the number of blocks: the texts as bytes; a null id counts as larger than any other."""
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), common.text_or_empty(text_col).cast("binary").alias("body")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        common.text_or_empty(text_col).cast("binary").alias("body"),
+        *[F.col(c).alias(f"kept_{c}") for c in keep],
     )
     total = rows.agg(F.sum(F.length("body") + 64)).first()[0] or 0
     n = max(1, round(total / BLOCK_BYTES))
-    return rows.select(block_of(n), "doc_id", F.xxhash64("body").alias("tkey"), "body"), n
+    tkey = F.xxhash64("body")
+    block = F.pmod(F.xxhash64("doc_id", tkey), F.lit(n)).cast("int")
+    return rows.select(block.alias("block"), "doc_id", tkey.alias("tkey"), "body", *[f"kept_{c}" for c in keep]), n
+
+
+def _by_block(df: DataFrame, n: int):
+    """The groups of one block each, in as many partitions as the blocks ask for."""
+    tasks = -(-n // BLOCKS_A_TASK)
+    return (df.repartition(tasks, "block") if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df).groupBy("block")
 
 
 def first_texts(rows: DataFrame) -> DataFrame:
@@ -133,39 +141,50 @@ def first_texts(rows: DataFrame) -> DataFrame:
     return by.select("one.block", "one.doc_id", "one.tkey")
 
 
-def shared_minima(rows: DataFrame, first: DataFrame, width: int, k: int, crowded: int) -> DataFrame:
-    """(block, m, crowd) for minimizers found in at least two distinct texts, and whether in very many."""
+def _merged(m: np.ndarray, *sums: np.ndarray) -> list[np.ndarray]:
+    """The distinct values of ``m`` in order, and the sums over each."""
+    order = np.argsort(m, kind="stable")
+    m = m[order]
+    starts = np.flatnonzero(np.append(True, m[1:] != m[:-1])) if len(m) else np.empty(0, np.int64)
+    return [m[starts], *(np.add.reduceat(x[order], starts) if len(m) else x for x in sums)]
+
+
+def shared_minima(rows: DataFrame, first: DataFrame, n: int, width: int, k: int, crowded: int) -> DataFrame:
+    """(block, m, crowd) for minimizers found in at least two distinct texts, and whether their pieces take very many bytes."""
 
     def seen(docs: pa.Table, firsts: pa.Table) -> pa.Table:
         docs = _keep_first(docs, set(zip(*_columns(firsts, "doc_id", "tkey"), strict=True)))
         block = docs["block"][0].as_py() if len(docs) else 0
-        ids, keys, texts = _columns(docs, "doc_id", "tkey", "body")
-        found = []
-        for group, data, starts, lengths in _batched(texts, width):
-            minima, owner, place, valid = _windows(data, starts, lengths, width, k)
-            at = np.flatnonzero(valid & np.concatenate([[True], (minima[1:] != minima[:-1]) | (owner[1:] != owner[:-1])]))
+        found = [[np.empty(0, np.int64)] * 3]
+        for _, data, starts, lengths in _batched(docs["body"].to_pylist(), width):
+            minima, owner, _, valid = _windows(data, starts, lengths, width, k)
+            # windows over a border of documents end a run
+            at = np.flatnonzero(np.append(True, (minima[1:] != minima[:-1]) | (valid[1:] != valid[:-1])))
+            size = np.diff(at, append=len(minima)) + width - 1
+            at, size = at[valid[at]], size[valid[at]]
             # one entry a document: 40 bits of minimizer, 23 of its place among the few thousand joined
-            found.append(np.unique((minima[at] << 23) | owner[at]) >> 23)
-        values, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
-        source = (block << 20) + np.minimum(times, (1 << 20) - 1)
-        return pa.table({"m": pa.array(values, pa.int64()), "source": pa.array(source.astype(np.int64), pa.int64())})
+            each, size = _merged((minima[at] << 23) | owner[at], size)
+            found.append(_merged(each >> 23, np.ones(len(each), np.int64), size))
+        m, times, size = _merged(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        return pa.table({"m": m, "source": (block << 34) | (np.minimum(times, 2) << 32) | np.minimum(size, (1 << 32) - 1)})
 
     def common_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [(b[0].to_numpy(), b[1].to_numpy()) for b in batches]
         if not got:
             return
         m, source = (np.concatenate(x) for x in zip(*got, strict=True))
+        del got
         order = np.argsort(m, kind="stable")
         m, source = m[order], source[order]
-        starts = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]])) if len(m) else np.empty(0, np.int64)
-        docs = np.add.reduceat(source & ((1 << 20) - 1), starts) if len(m) else np.empty(0, np.int64)
-        docs = np.repeat(docs, np.diff(np.append(starts, len(m))))
-        shared = docs > 1
-        columns = [pa.array((source[shared] >> 20).astype(np.int32)), pa.array(m[shared]), pa.array(docs[shared] > crowded)]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "m", "crowd"])
+        _, docs, size = _merged(m, (source >> 32) & 3, source & ((1 << 32) - 1))
+        times = np.diff(np.flatnonzero(np.append(True, m[1:] != m[:-1])), append=len(m))
+        shared = np.repeat(docs > 1, times)
+        yield pa.RecordBatch.from_arrays([(source[shared] >> 34).astype(np.int32), m[shared], np.repeat(size > crowded, times)[shared]], ["block", "m", "crowd"])
 
-    found = rows.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(seen, "m long, source long")
-    return found.repartition("m").mapInArrow(common_ones, "block int, m long, crowd boolean")
+    found = _by_block(rows, n).cogroup(_by_block(first, n)).applyInArrow(seen, "m long, source long")
+    # a block of BLOCK_BYTES has a few hundred thousand minimizers: as many go to a task
+    parts = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return found.repartition(parts, "m").mapInArrow(common_ones, "block int, m long, crowd boolean")
 
 
 def _find_pieces(texts: list[bytes], wanted: np.ndarray, crowd: np.ndarray, width: int, k: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -191,11 +210,11 @@ def _find_pieces(texts: list[bytes], wanted: np.ndarray, crowd: np.ndarray, widt
             else:
                 for w in range(x, y):
                     piece = raw[w : w + width]
-                    yield i, -1 - (_hash(piece) >> 1), at + w - x, piece
+                    yield i, -1 - abs(_hash(piece) >> 1), at + w - x, piece
 
 
 def _hash(piece: bytes) -> int:
-    return xxhash.xxh64_intdigest(piece)
+    return xxhash.xxh64_intdigest(piece) - (1 << 63)
 
 
 def _wanted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -208,107 +227,110 @@ def _wanted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return m[new], crowd[new]
 
 
-def block_pieces(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFrame:
-    """(m, piece, block, least, most): the distinct pieces of each block, with their smallest and largest document.
+def block_pieces(rows: DataFrame, side: DataFrame, n: int, width: int, k: int) -> DataFrame:
+    """(m, h, piece, block, least, most): the distinct pieces of each block and their hashes, with their smallest and largest document.
 
     ``side``: (block, doc_id, tkey, m, crowd): first texts and shared minimizers."""
+    kinds = {"m": pa.int64(), "h": pa.int64(), "piece": pa.binary(), "block": pa.int32(), "least": pa.int64(), "most": pa.int64()}
 
     def collect(docs: pa.Table, others: pa.Table) -> pa.Table:
         block = docs["block"][0].as_py() if len(docs) else 0
         wanted, crowd = _wanted(others)
         docs = _keep_first(docs, set(zip(*_columns(others, "doc_id", "tkey"), strict=True)))
         ids, texts = _columns(docs, "doc_id", "body")
-        found: dict[tuple[int, bytes], tuple[int, int]] = {}
+        found: dict[tuple[int, int], list] = {}
         for i, m, _, piece in _find_pieces(texts, wanted, crowd, width, k):
-            had, own = found.get((m, piece)), ids[i]
-            found[m, piece] = (min(had[0], own), max(had[1], own)) if had else (own, own)
+            key, own = (m, _hash(piece)), ids[i]
+            had = found.get(key)
+            if had is None:
+                found[key] = [piece, own, own]
+            elif own < had[1]:
+                had[1] = own
+            elif own > had[2]:
+                had[2] = own
         # a block asks for its crowded minimizers back: an empty piece stands for one
-        found |= {(m, b""): (0, 0) for m in wanted[crowd].tolist()}
-        n = len(found)
-        return pa.table(
-            {
-                "m": pa.array([key[0] for key in found], pa.int64()),
-                "piece": pa.array([key[1] for key in found], pa.binary()),
-                "block": pa.array([block] * n, pa.int32()),
-                "least": pa.array([v[0] for v in found.values()], pa.int64()),
-                "most": pa.array([v[1] for v in found.values()], pa.int64()),
-            }
-        )
-
-    return (
-        rows.groupBy("block")
-        .cogroup(side.groupBy("block"))
-        .applyInArrow(collect, "m long, piece binary, block int, least long, most long")
-    )
+        found |= {(m, 0): [b"", 0, 0] for m in wanted[crowd].tolist()}
+        values = found.values()
+        columns = [[key[0] for key in found], [key[1] for key in found], [v[0] for v in values], [block] * len(found), [v[1] for v in values], [v[2] for v in values]]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    return _by_block(rows, n).cogroup(_by_block(side, n)).applyInArrow(collect, "m long, h long, piece binary, block int, least long, most long")
 
 
-def class_minima(pieces: DataFrame, width: int) -> DataFrame:
+def class_minima(pieces: DataFrame, n: int, width: int) -> DataFrame:
     """(block, m, crowd, piece_hash, offset, length, least): for each block's pieces, the runs of windows of which it
     holds a document above the smallest of their class; crowded minimizers come back as they are."""
 
     names = ["block", "m", "crowd", "piece_hash", "offset", "length", "least"]
 
     def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # per distinct piece: [m, piece, least, number of pieces of m so far]; per row: its piece, block, largest document
-        held: list[list] = []
-        askers: list[tuple[int, int, int]] = []
+        held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            marks: list[list[int]] = [[], []]
-            for m, piece, block, least, most in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not piece:
-                    marks[0].append(block)
-                    marks[1].append(m)
-                    continue
-                if held and m == held[-1][0] and piece == held[-1][1]:
-                    held[-1][2] = min(held[-1][2], least)
-                else:
-                    if size >= SHARD_BYTES and m != held[-1][0]:
-                        yield solve(held, askers)
-                        held, askers, size = [], [], 0
-                    held.append([m, piece, least])
-                    size += len(piece) + 1
-                askers.append((len(held) - 1, block, most))
-            if marks[0]:
-                n = len(marks[0])
-                empty = [pa.nulls(n, pa.int64())] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(marks[0], pa.int32()), pa.array(marks[1], pa.int64()), pa.array([True] * n), *empty], names
-                )
+            for at in range(0, batch.num_rows, 8192):
+                part = batch.slice(at, 8192)
+                marks = part.filter(pc.equal(pc.binary_length(part["piece"]), 0))
+                if marks.num_rows:
+                    empty = [pa.nulls(marks.num_rows, pa.int64())] * 4
+                    yield pa.RecordBatch.from_arrays([marks["block"], marks["m"], pa.array([True] * marks.num_rows), *empty], names)
+                    part = part.filter(pc.greater(pc.binary_length(part["piece"]), 0))
+                if part.num_rows:
+                    held.append(part)
+                    size += int(pc.binary_length(part["piece"]).to_numpy()[_changes(part["m"], part["h"])].sum())
+                if size >= SHARD_BYTES:
+                    table = pa.Table.from_batches(held).combine_chunks()
+                    # what follows the last whole minimizer waits
+                    whole = int(np.searchsorted(table["m"].to_numpy(), table["m"][-1].as_py()))
+                    if whole:
+                        yield solve(table.slice(0, whole))
+                        rest = table.slice(whole)
+                        held, size = rest.to_batches(), pc.sum(pc.binary_length(rest["piece"])).as_py()
         if held:
-            yield solve(held, askers)
+            yield solve(pa.Table.from_batches(held).combine_chunks())
 
-    def solve(held: list[list], askers: list[tuple[int, int, int]]) -> pa.RecordBatch:
-        m = np.array([h[0] for h in held], np.int64)
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        starts = _changes(rows["m"], rows["h"])
+        pieces = rows.select(["m", "h", "piece"]).take(pa.array(starts))
+        doc = np.minimum.reduceat(rows["least"].to_numpy(), starts)
+        m, sizes = pieces["m"].to_numpy(), pc.binary_length(pieces["piece"]).to_numpy().astype(np.int64) - (width - 1)
         alone = np.ones(len(m), bool)
         alone[1:] &= m[1:] != m[:-1]
         alone[:-1] &= m[1:] != m[:-1]
-        own = np.flatnonzero(alone)
-        sizes = np.array([len(h[1]) for h in held], np.int64) - (width - 1)
-        runs = [np.stack([own, np.zeros(len(own), np.int64), sizes[own], np.array([held[i][2] for i in own], np.int64)], 1)]
-        several = np.flatnonzero(~alone)
+        own, several = np.flatnonzero(alone), np.flatnonzero(~alone)
+        runs = [np.stack([own, np.zeros(len(own), np.int64), sizes[own], doc[own]], 1)]
         if len(several):
-            found = _classes([held[i][1] for i in several], np.array([held[i][2] for i in several], np.int64), width)
+            found = _classes(pieces["piece"].take(pa.array(several)).to_pylist(), doc[several], width)
             found[:, 0] = several[found[:, 0]]
             runs.append(found)
         found = np.concatenate(runs)
         found = found[np.lexsort((found[:, 1], found[:, 0]))]
-        first = np.searchsorted(found[:, 0], np.arange(len(held) + 1))
-        piece, block, most = (np.array(c, np.int64) for c in zip(*askers, strict=True))
-        n = np.diff(first)[piece]
-        row = np.repeat(np.arange(len(piece)), n)
-        at = np.repeat(first[piece], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        above = found[at, 3] < most[row]
+        first = np.searchsorted(found[:, 0], np.arange(len(m) + 1))
+        # each asking row with each run of its piece
+        piece = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(rows)))
+        each = np.diff(first)[piece]
+        row = np.repeat(np.arange(len(piece)), each)
+        at = np.repeat(first[piece] - (np.cumsum(each) - each), each) + np.arange(len(row))
+        above = found[at, 3] < rows["most"].to_numpy()[row]
         row, at = row[above], at[above]
-        hashes = {i: _hash(held[i][1]) - (1 << 63) for i in np.unique(piece[row]).tolist()}
-        of = m[piece[row]]
-        columns = [block[row].astype(np.int32), of, of < 0, np.array([hashes[i] for i in piece[row].tolist()], np.int64), *(found[at, c] for c in (1, 2, 3))]
+        of, h = m[piece[row]], pieces["h"].to_numpy()[piece[row]]
+        columns = [rows["block"].to_numpy()[row], of, of < 0, h, *(found[at, c] for c in (1, 2, 3))]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    rows = pieces.repartition("m").sortWithinPartitions("m", "piece")
+    parts = max(-(-n // 2), int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = pieces.repartition(parts, "m").sortWithinPartitions("m", "h")
     return rows.mapInArrow(induce, "block int, m long, crowd boolean, piece_hash long, offset long, length long, least long")
 
 
+def _changes(*columns) -> np.ndarray:
+    """Where a row differs from the one before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        values = c.to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
 def _classes(pieces: list[bytes], doc: np.ndarray, width: int) -> np.ndarray:
     """[piece, offset, length, least]: runs of windows with the smallest document of their class."""
     s = np.frombuffer(b"\xff".join(pieces), np.uint8)
@@ -331,20 +353,29 @@ def _classes(pieces: list[bytes], doc: np.ndarray, width: int) -> np.ndarray:
 
 
 def remove_repeats(
-    docs: DataFrame, width: int = 50, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED
+    docs: DataFrame,
+    width: int = 50,
+    gram: int = GRAM,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    crowded: int = CROWDED,
+    keep: tuple[str, ...] = (),
+    as_text: bool = False,
 ) -> DataFrame:
     """Remove each byte covered by a ``width``-byte string that also starts in a smaller document.
 
     Returns doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans, text_hash
-    (xxhash64 of the input text), one row per input row.  Null text: empty.  A null id
+    (xxhash64 of the input text) and the columns of ``keep`` as ``kept_<name>``, one row per input row;
+    with ``as_text`` ``kept`` is text, and a cut inside a character drops the character's remains, too.
+    Null text: empty.  A null id
     counts as larger than any other.  Rows that share an id don't remove from each
     other; of equal texts the smallest id's stays.  Texts shorter than ``width`` are
     never touched.  An empty table gives no rows; other columns are ignored.  Texts are
     UTF-8, in which byte 255 doesn't occur, so it separates documents.
     """
-    rows, n = blocks(docs, id_col, text_col)
+    rows, n = blocks(docs, id_col, text_col, keep)
     first = common.cut(first_texts(rows))
-    shared = shared_minima(rows, first, width, gram, crowded)
+    shared = shared_minima(rows, first, n, width, gram, crowded)
     none = dict.fromkeys(["doc_id", "tkey", "m", "crowd", "piece_hash", "offset", "length", "least"], "long") | {"crowd": "boolean"}
 
     def padded(df: DataFrame, names: list[str]) -> DataFrame:
@@ -352,27 +383,31 @@ def remove_repeats(
 
     sides = ["doc_id", "tkey", "m", "crowd"]
     # the texts' shuffle is the same in all three joins, so Spark runs it once
-    runs = class_minima(block_pieces(rows, padded(first, sides).unionByName(padded(shared, sides)), width, gram), width)
-    return _drop_covered(rows, padded(first, list(none)).unionByName(padded(runs, list(none))), width, gram)
+    pieces = block_pieces(rows, padded(first, sides).unionByName(padded(shared, sides)), n, width, gram)
+    runs = class_minima(pieces, n, width)
+    return _drop_covered(rows, padded(first, list(none)).unionByName(padded(runs, list(none))), n, width, gram, as_text)
 
 
-def _drop_covered(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataFrame:
+def _drop_covered(rows: DataFrame, side: DataFrame, n: int, width: int, k: int, as_text: bool) -> DataFrame:
     """Find the pieces again, and drop their covered windows; a text that is not the first of its kind goes whole."""
+    held = [f for f in rows.schema.fields if f.name.startswith("kept_")]
+    kinds = [pa.int64(), pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "text_hash"]
 
     def drop(docs: pa.Table, others: pa.Table) -> pa.Table:
         runs: dict[tuple[int, int], list] = {}
         told = others.filter(pc.is_valid(others["piece_hash"]))
-        for m, p, at, n, least in zip(*_columns(told, "m", "piece_hash", "offset", "length", "least"), strict=True):
-            runs.setdefault((m, p), []).append((at, n, least))
+        for m, p, at, count, least in zip(*_columns(told, "m", "piece_hash", "offset", "length", "least"), strict=True):
+            runs.setdefault((m, p), []).append((at, count, least))
         wanted, crowd = _wanted(_plain(others))
         first = set(zip(*_columns(others, "doc_id", "tkey"), strict=True))
         ids, keys, texts = _columns(docs, "doc_id", "tkey", "body")
         whole = [(i, k) in first for i, k in zip(ids, keys, strict=True)]
         covered: dict[int, list] = {}
         for i, m, at, piece in _find_pieces([x if w else b"" for x, w in zip(texts, whole, strict=True)], wanted, crowd, width, k):
-            for offset, n, least in runs.get((m, _hash(piece) - (1 << 63)), ()):
+            for offset, count, least in runs.get((m, _hash(piece)), ()):
                 if least < ids[i]:
-                    covered.setdefault(i, []).append((at + offset, at + offset + n + width - 1))
+                    covered.setdefault(i, []).append((at + offset, at + offset + count + width - 1))
         out: list[list] = [[], [], [], [], [], []]
         for i, (own, key, body) in enumerate(zip(ids, keys, texts, strict=True)):
             merged: list[list[int]] = [[0, len(body)]] if not whole[i] and len(body) >= width else []
@@ -386,18 +421,16 @@ def _drop_covered(rows: DataFrame, side: DataFrame, width: int, k: int) -> DataF
                 kept.append(body[at:a])
                 at = b
             kept.append(body[at:])
-            row = (None if own == NO_ID else own, b"".join(kept), len(body), sum(b - a for a, b in merged), len(merged), key)
+            left = b"".join(kept)
+            row = (None if own == NO_ID else own, left.decode("utf-8", "ignore") if as_text else left, len(body), sum(b - a for a, b in merged), len(merged), key)
             for c, v in zip(out, row, strict=True):
                 c.append(v)
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-        names = ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "text_hash"]
-        return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
-
-    return (
-        rows.groupBy("block")
-        .cogroup(side.groupBy("block"))
-        .applyInArrow(drop, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, text_hash long")
-    )
+        columns = [pa.array(c, t) for c, t in zip(out, kinds, strict=True)]
+        return pa.table([*columns, *(docs[f.name] for f in held)], names=[*names, *(f.name for f in held)])
+
+    schema = f"doc_id long, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long, text_hash long"
+    schema = ", ".join([schema, *(f"`{f.name}` {f.dataType.simpleString()}" for f in held)])
+    return _by_block(rows, n).cogroup(_by_block(side, n)).applyInArrow(drop, schema)
 
 
 def _plain(table: pa.Table) -> pa.Table:
@@ -405,17 +438,6 @@ def _plain(table: pa.Table) -> pa.Table:
     return table.filter(pc.greater_equal(pc.fill_null(table["m"], -1), 0))
 
 
-def kept_texts(kept: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, text), each once: the remaining bytes as text; a cut inside a character drops its remains."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [x.decode("utf-8", "ignore") for x in b[2].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(texts, pa.string())], ["doc_id", "text_hash", "text"])
-
-    return kept.select("doc_id", "text_hash", "kept").mapInArrow(run, "doc_id long, text_hash long, text string").dropDuplicates(["doc_id", "text_hash"])
-
-
 def digest(kept: DataFrame) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
