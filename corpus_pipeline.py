@@ -37,12 +37,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     First is the smallest id, null last, then the text's hash; of rows equal in id and text one stays.
     """
     first = near_groups(docs).groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("one"))
-    kept = first.select(F.col("one.id").alias("_id"), F.col("one.key").alias("_key"))
-    rest = [c for c in COLUMNS if c != "doc_id"]
-    # copies meet map by map before their text travels
-    rows = docs.withColumn("_hash", text_key()).groupBy("doc_id", "_hash").agg(F.min(F.struct(*rest)).alias("_row"))
-    stay = rows.join(kept, (F.col("_hash") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return stay.select("doc_id", "_row.*").select(*COLUMNS)
+    keys = {"_hash": F.col("one.key"), "_none": F.col("one.none"), "_id": F.coalesce("one.id", F.lit(0).cast("long"))}
+    own = {"_hash": text_key(), "_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
+    stay = docs.withColumns(own).join(first.select(*[c.alias(k) for k, c in keys.items()]), list(keys), "left_semi")
+    rest = [c for c in COLUMNS if c != "text"]
+    one = stay.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.min("text").alias("text"))
+    return one.select("_row.*", "text").select(*COLUMNS)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,20 +26,24 @@ def _small_star(links: DataFrame) -> DataFrame:
     return out.unionByName(near.select("u", F.col("least").alias("v"))).distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node has one link, to a node that has none itself."""
+    each = links.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    each = each.unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    by = each.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return by.filter("out > 1 or (out > 0 and into > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``links`` (u, v long): the smallest node reachable.
 
     Each round points nodes at their smallest neighbour's neighbours (two shuffles on
     the node, with map-side minima, so a hub costs no task more than its share) and is
-    written to the shared folder.  It ends when a round changes nothing; links between
-    equal nodes are ignored.
+    written to the shared folder.  It ends when all links are stars around the smallest nodes;
+    links between equal nodes are ignored.
     """
-    links = common.cut(links.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u <> v").distinct())
-    state = None
-    while True:
+    down = links.select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
+    links = common.cut(down.filter("u <> v").distinct())
+    while not _are_stars(links):
         links = common.cut(_small_star(_large_star(links)))
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == state:
-            break
-        state = tuple(now)
     return links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))

@@ -3,9 +3,11 @@
 A text is the set of its ``SIZE``-word shingles; two texts link where the sets' Jaccard
 similarity is 0.8 or more.  At 0.8 a SimHash bit differs with a chance of about 0.15
 (0.19 for a handful of shingles), of unrelated texts of 0.5, so of 256 bits a radius of 70
-loses next to no pair and nominates next to no stranger.  Sets within 0.8 also differ by no
-more than that in size, so texts are filed by size, and tiles of fingerprints meet
-the tiles of their own and the next size only.  What is nominated is dealt out by
+loses next to no pair and nominates next to no stranger.  Fingerprints are compared in
+tiles; a tile holds texts that agree on all ``ROWS`` minima of one of ``BANDS`` groups of
+hash functions over their shingles, which two texts of similarity 0.8 do on some band
+with a chance of 1 - (1 - 0.8^ROWS)^BANDS, all but three in a million.  So the work
+follows the number of texts and the sizes of their groups.  What is nominated is dealt out by
 candidate group, in parts of bounded size, with the sets themselves.
 """
 
@@ -27,8 +29,11 @@ SIZE = 5
 #: Differing bits of 256 up to which a pair is nominated.
 RADIUS = 70
 LANES = 4
+BANDS, ROWS = 24, 4
 #: Fingerprints in a tile; texts, and shingles, in a part of a candidate group.
 TILE = 1024
+#: Fingerprints that meet in one task; larger buckets go out as pairs of parts.
+BUCKET = 8 * TILE
 PART_SHINGLES = 1 << 21
 
 
@@ -64,6 +69,21 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band: a hash of the minima of ``ROWS`` hash functions over the set."""
+    rng = np.random.default_rng(17)
+    odd, flip = rng.integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64)
+    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        part = (hashes[at : at + 2048, None] ^ flip) * (odd * np.uint64(2) + np.uint64(1))
+        least = np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0))
+    out = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for row in least.reshape(BANDS, ROWS).T:
+        out = (out ^ row) * np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(31)
+    return out.view(np.int64)
+
+
 def nominated(fp: np.ndarray, n: np.ndarray, fp2: np.ndarray, n2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs within the radius whose sizes allow a Jaccard of 0.8."""
     near = np.zeros((len(fp), len(fp2)), np.uint16)
@@ -73,46 +93,94 @@ def nominated(fp: np.ndarray, n: np.ndarray, fp2: np.ndarray, n2: np.ndarray) ->
     return np.nonzero((near <= RADIUS) & sizes)
 
 
-def _tile(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, sizes, fingerprints) of a tile packed as list<struct>."""
-    flat = column.flatten() if isinstance(column, pa.ListArray) else column
-    lanes = np.stack([flat.field(f"f{i}").to_numpy(zero_copy_only=False) for i in range(LANES)], 1).view(np.uint64)
-    return flat.field("key").to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False), lanes
+def bucket_pairs(tile: np.ndarray, own: np.ndarray, n: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of one tile that are nominated; rows come ordered by tile, then bit count.
+
+    In a tile of two parts (``own``) only texts of different parts are looked at."""
+    pop = np.bitwise_count(fp).sum(axis=1, dtype=np.int64)
+    last = np.append(np.flatnonzero(tile[1:] != tile[:-1]), len(tile) - 1)
+    size = np.diff(np.append(-1, last))
+    first = last - size + 1
+    mixed = np.repeat(np.maximum.reduceat(own, first) != np.minimum.reduceat(own, first), size)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    # small tiles: neighbours at distance d, all tiles at once, while a tile is that long
+    to_end = np.repeat(last, size) - np.arange(len(tile))
+    live, d = np.flatnonzero(np.repeat(size <= 64, size) & (to_end > 0)), 1
+    while len(live):
+        live = live[pop[live + d] - pop[live] <= RADIUS]
+        sizes = (5 * n[live] >= 4 * n[live + d]) & (5 * n[live + d] >= 4 * n[live]) & (~mixed[live] | (own[live] != own[live + d]))
+        at = live[sizes]
+        at = at[np.bitwise_count(fp[at] ^ fp[at + d]).sum(axis=1) <= RADIUS]
+        left.append(at)
+        right.append(at + d)
+        d += 1
+        live = live[to_end[live] >= d]
+    for a, m in zip(first[size > 64].tolist(), size[size > 64].tolist(), strict=True):
+        for x in range(a, a + m, TILE):
+            xe = min(x + TILE, a + m)
+            for y in range(x, a + m, TILE):
+                if pop[y] - pop[xe - 1] > RADIUS:
+                    break
+                ye = min(y + TILE, a + m)
+                i, j = nominated(fp[x:xe], n[x:xe], fp[y:ye], n[y:ye])
+                i, j = i + x, j + y
+                ok = (i < j) & (~mixed[i] | (own[i] != own[j]))
+                left.append(i[ok])
+                right.append(j[ok])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _lanes(table: pa.Table) -> np.ndarray:
+    return np.stack([table[f"f{i}"].to_numpy() for i in range(LANES)], 1).view(np.uint64)
+
+
+def _star(keys: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(u, v): each key that is not the smallest of its root's, and that smallest one."""
+    least = keys.copy()
+    np.minimum.at(least, root, keys)
+    linked = np.flatnonzero(least[root] != keys)
+    return keys[linked], least[root[linked]]
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        keys = table["key"].to_numpy()
+        i, j = bucket_pairs(table["tile"].to_numpy(), table["own"].to_numpy(), table["n"].to_numpy(), _lanes(table))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _star(keys, _spanning(len(keys), i, j))], ["u", "v"])
+
     for batch in batches:
-        for r in range(batch.num_rows):
-            row = batch.slice(r, 1)
-            (ka, na, fa), (kb, nb, fb) = _tile(row["xs"]), _tile(row["ys"])
-            i, j = nominated(fa, na, fb, nb)
-            keys = np.concatenate([ka, kb])
-            root = _spanning(len(keys), i, j + len(ka))
-            linked = np.flatnonzero(keys[root] != keys)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[linked], pa.int64()), pa.array(keys[root[linked]], pa.int64())], ["u", "v"])
+        held.append(batch)
+        size += batch.num_rows
+        if size >= 4 * BUCKET:
+            table = pa.Table.from_batches(held).combine_chunks()
+            # a batch may end inside a tile: what follows the last whole tile waits
+            whole = int(np.searchsorted(table["tile"].to_numpy(), table["tile"][-1].as_py()))
+            if whole:
+                yield solve(table.slice(0, whole))
+            held, size = table.slice(whole).to_batches(), table.num_rows - whole
+    if size:
+        yield solve(pa.Table.from_batches(held).combine_chunks())
+
+
+def _in_parts(df: DataFrame, group: str) -> DataFrame:
+    """Deal each group's rows into ``parts`` (``own``), and a row for each pair of parts (``tile``) that one takes part in."""
+    dealt = df.withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return each.withColumn("tile", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other"))).drop("other")
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(u, v): links that join all nominated pairs of ``nodes`` (key, n, f0..f3)."""
-    spark = nodes.sparkSession
-    # level k holds sizes from 1.25^k; the margin keeps a whole power from falling below its level
-    level = F.when(F.col("n") == 0, -1).otherwise(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9)).cast("long")
-    filed = nodes.withColumn("k", level)
-    parts = filed.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("parts"))
-    filed = filed.join(F.broadcast(parts), "k").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("parts")))
-    one = F.struct("key", "n", *[f"f{i}" for i in range(LANES)])
-    tiles = common.cut(filed.groupBy("k", "tile").agg(F.collect_list(one).alias("xs")))
-    a = tiles.select("k", F.col("tile").alias("x"))
-    b = tiles.select(F.col("k").alias("l"), F.col("tile").alias("y"))
-    beside = a.join(b, (F.col("k") == F.col("l")) & (F.col("x") <= F.col("y")))
-    above = a.join(b, F.col("k") + 1 == F.col("l"))
-    pairs = beside.unionByName(above)
-    met = pairs.join(tiles.withColumnRenamed("tile", "x"), ["k", "x"]).join(
-        tiles.select(F.col("k").alias("l"), F.col("tile").alias("y"), F.col("xs").alias("ys")), ["l", "y"]
-    )
-    return met.select("k", "x", "l", "y", "xs", "ys").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k", "x", "l", "y").select(
-        "xs", "ys"
-    ).mapInArrow(_meet, "u long, v long")
+    """(u, v): links that join all nominated pairs of ``nodes`` (key, n, f0..f3, bands)."""
+    lanes = [f"f{i}" for i in range(LANES)]
+    rows = nodes.select("key", F.explode("bands").alias("bucket"))
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("parts"), F.count(F.lit(1)).alias("size"))
+    met = rows.join(sizes.filter("size > 1").drop("size"), "bucket").join(nodes.select("key", "n", *lanes), "key")
+    pop = sum(F.bit_count(x) for x in lanes)
+    tiles = _in_parts(met, "bucket").select("tile", "own", "key", "n", *lanes, pop.alias("pop"))
+    return tiles.repartition("tile").sortWithinPartitions("tile", "pop", "key").drop("pop").mapInArrow(_meet, "u long, v long").distinct()
 
 
 def confirmed(sets: list[np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -143,8 +211,7 @@ def confirmed(sets: list[np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarra
 
 def _confirm(table: pa.Table) -> pa.Table:
     keys = table["key"].to_numpy()
-    part, n = table["own"].to_numpy(), table["n"].to_numpy()
-    fp = np.stack([table[f"f{i}"].to_numpy() for i in range(LANES)], 1).view(np.uint64)
+    part, n, fp = table["own"].to_numpy(), table["n"].to_numpy(), _lanes(table)
     sets = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
     left, right = [], []
     here, there = np.flatnonzero(part == part.min()), np.flatnonzero(part == part.max())
@@ -156,9 +223,8 @@ def _confirm(table: pa.Table) -> pa.Table:
             right.append(ys[j])
     i, j = np.concatenate(left), np.concatenate(right)
     once = (i < j) | (part[i] != part[j])
-    root = confirmed(sets, n, i[once], j[once])
-    linked = np.flatnonzero(root != np.arange(len(keys)))
-    return pa.table({"u": pa.array(keys[linked], pa.int64()), "v": pa.array(keys[root[linked]], pa.int64())})
+    u, v = _star(keys, confirmed(sets, n, i[once], j[once]))
+    return pa.table({"u": u, "v": v})
 
 
 def near_groups(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,36 +239,38 @@ def near_groups(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, fps = [], []
+            n, fps, keys = [], [], []
             for body in b[2].to_pylist():
                 h = shingles(body, size)
                 n.append(len(h))
                 fps.append(wide_fingerprint(h))
+                keys.append(bands(h))
             fp = np.array(fps, np.uint64).reshape(-1, LANES).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(n, pa.int64()), *[pa.array(fp[:, x]) for x in range(LANES)]], ["id", "key", "n", *lanes])
+            filed = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([*keys, np.empty(0, np.int64)])), BANDS).cast(pa.list_(pa.int64()))
+            columns = [b[0], b[1], pa.array(n, pa.int64()), *[pa.array(fp[:, x]) for x in range(LANES)], filed]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "n", *lanes, "bands"])
 
-    told = rows.mapInArrow(features, "id long, key long, n long, " + ", ".join(f"{x} long" for x in lanes))
-    nodes = common.cut(told.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", *lanes)]))
-    found = components(candidates(nodes.select("key", "n", *lanes))).select(F.col("node").alias("key"), F.col("component").alias("near"))
+    told = rows.mapInArrow(features, "id long, key long, n long, " + ", ".join(f"{x} long" for x in lanes) + ", bands array<long>")
+    nodes = common.cut(told.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", *lanes, "bands")]))
+    found = components(candidates(nodes.select("key", "n", *lanes, "bands"))).select(F.col("node").alias("key"), F.col("component").alias("near"))
     # a group's first text is not among its nodes
     members = found.unionByName(found.select(F.col("near").alias("key"), "near")).distinct()
-    held = common.cut(nodes.drop("id").join(members, "key"))
+    held = common.cut(nodes.drop("id", "bands").join(members, "key"))
     sizes = held.groupBy("near").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n") / PART_SHINGLES)).cast("int").alias("parts")
     )
-    held = common.cut(held.join(sizes, "near").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")))
+    held = common.cut(held.join(sizes, "near"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = pa.array([shingles(x, size).tobytes() for x in b.column("body").to_pylist()], pa.binary())
-            names = ["key", "near", "parts", "own", "n", *lanes]
+            names = ["key", "near", "parts", "n", *lanes]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], sets], [*names, "hashes"])
 
     # copies meet map by map before their text travels
     texts = rows.groupBy("key").agg(F.first("body").alias("body")).join(held, "key")
-    kinds = "key long, near long, parts int, own int, n long, " + ", ".join(f"{x} long" for x in lanes) + ", hashes binary"
-    sets = texts.mapInArrow(hashed, kinds).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = sets.withColumn("part", F.xxhash64("near", F.least("own", "other"), F.greatest("own", "other")))
-    links = dealt.groupBy("part").applyInArrow(_confirm, "u long, v long")
+    kinds = "key long, near long, parts int, n long, " + ", ".join(f"{x} long" for x in lanes) + ", hashes binary"
+    sets = _in_parts(texts.mapInArrow(hashed, kinds), "near")
+    links = sets.drop("near", "parts").groupBy("tile").applyInArrow(_confirm, "u long, v long")
     named = components(links)
     return nodes.join(named, nodes["key"] == named["node"], "left").select("key", "id", F.coalesce("component", "key").alias("group"))

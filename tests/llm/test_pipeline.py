@@ -6,7 +6,8 @@ import zlib
 import corpus_pipeline
 from lodestrata.llm.queries import tokenizer_path
 
-from test_corpus import brute_groups, brute_repeats, corpus, slow_fingerprint  # noqa: F401
+from test_corpus import brute_repeats, corpus  # noqa: F401
+from test_near_texts import brute
 
 KINDS = "doc_id long, text string, lang string, source string, n_chars long, body string"
 
@@ -35,12 +36,13 @@ def test_stages(spark, corpus, tmp_path):  # noqa: F811
     assert {i for i in range(60) if len(corpus[i][1]) > 100} <= {i for i, _ in told}
 
     before = kept["language"]
-    groups, least = brute_groups([slow_fingerprint(r["text"]) for r in before], 2), {}
-    for r, g in zip(before, groups, strict=True):
-        if r["doc_id"] is not None:
-            least[g] = min(least.get(g, r["doc_id"]), r["doc_id"])
-    stay = {i for i in least.values()}
-    assert sorted(r["doc_id"] for r in kept["near_dedup"]) == sorted(r["doc_id"] for r in before if r["doc_id"] in stay)
+    least = {}
+    # within a group the smallest id stays, null last; of rows equal in id and text one
+    for r, g in zip(before, brute([r["text"] for r in before]), strict=True):
+        key = (r["doc_id"] is None, r["doc_id"] or 0, r["text"])
+        least[g] = min(least.get(g, key), key)
+    stay = {i for _, i, _ in least.values()}
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept["near_dedup"]) == sorted(str((None if none else i, t)) for none, i, t in least.values())
     assert not {200, 201, 300, 301, 302, 303, 304} & stay
 
     texts = [(r["doc_id"], r["text"]) for r in kept["near_dedup"]]
