@@ -5,7 +5,9 @@ probability of a character after a context of up to ``ORDER`` characters interpo
 the orders (Witten-Bell): P_k = (c + t * P_(k-1)) / (n + t) with c the count of the
 character there, n of the context, t its distinct followers.  A URL's score is its
 mean log-ratio a character; the cut is calibrated where accepted and rejected
-training URLs are parted with the least balanced error.  DataFrame functions only.
+URLs of a fold kept from training are parted with the least balanced error.  The models have
+one number for each of the 37^4 grams, whatever the table's size, so they are held as
+an array in which a URL's characters are looked up where the URL is.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -26,8 +28,11 @@ RULES = (
     ("com", "/de/", "block"),
 )
 ORDER = 3
-#: Symbols the models tell apart: letters, digits as one, and the punctuation of URLs; all else is one symbol.
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0-._~/%:"
+#: Symbols the models tell apart: start, end, letters, digits as one, the punctuation of URLs; all else is one symbol.
+SYMBOLS = "^$*abcdefghijklmnopqrstuvwxyz0-._~/%:"
+SIZE = len(SYMBOLS)
+#: One in so many of the URLs that a rule judges calibrates the cut instead of training the models.
+FOLDS = 5
 
 
 def host_and_path(url: str) -> tuple[Column, Column]:
@@ -53,75 +58,84 @@ def rule_of(rules: tuple = RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def symbols(text: Column) -> Column:
-    """The text in the models' alphabet, with a start context before it and an end mark after it."""
-    folded = F.regexp_replace(F.translate(F.lower(text), "123456789", "000000000"), f"[^{SYMBOLS[:26]}0\\-._~/%:]", "*")
-    return F.concat(F.lit("^" * ORDER), folded, F.lit("$"))
+def symbols(host: str = "host", path: str = "path") -> Column:
+    """The numbers of the URL's symbols, with a start context before them and an end mark after them."""
+    folded = F.regexp_replace(F.translate(F.lower(F.concat(host, path)), "123456789", "000000000"), r"[^a-z0\-._~/%:]", "*")
+    numbers = [SYMBOLS.find(chr(i)) for i in range(128)]
+    codes = F.transform(F.filter(F.split(folded, ""), lambda c: c != ""), lambda c: F.element_at(F.lit(numbers), F.ascii(c) + 1))
+    start, end = F.array(*[F.lit(SYMBOLS.index("^"))] * ORDER), F.array(F.lit(SYMBOLS.index("$")))
+    return F.concat(start, codes, end)
 
 
-def positions(urls: DataFrame) -> DataFrame:
-    """One row per scored character: the row's columns and ``gram`` (context and character)."""
-    text = urls.withColumn("_s", symbols(F.concat("host", "path")))
-    each = text.withColumn("_i", F.explode(F.sequence(F.lit(ORDER + 1), F.length("_s"))))
-    return each.withColumn("gram", F.expr(f"substring(_s, _i - {ORDER}, {ORDER + 1})")).drop("_s", "_i")
+def _numbers(codes: str) -> Column:
+    """The number, in base SIZE, of each gram of ORDER + 1 symbols."""
+    at = F.sequence(F.lit(0), F.size(codes) - ORDER - 1)
+    return F.transform(at, lambda i: sum(F.get(F.col(codes), i + j) * F.lit(SIZE ** (ORDER - j)) for j in range(ORDER + 1)).cast("long"))
 
 
-def train(urls: DataFrame) -> dict[int, DataFrame]:
-    """Per order k: (gram_k, c_a, c_b, n_a, t_a, n_b, t_b) from (host, path, verdict, times) of the training URLs.
+def positions(urls: DataFrame, *keep: str) -> DataFrame:
+    """One row per scored character: the columns of ``keep`` and the number of its gram."""
+    coded = urls.select(*keep, symbols().alias("_codes"))
+    return coded.select(*keep, F.explode(_numbers("_codes")).alias("gram"))
 
-    A gram of k + 1 of the model's symbols: at most 36^(k+1) rows an order.
+
+def train(urls: DataFrame) -> DataFrame:
+    """One row, ``scores``: for each gram, by its first symbol and the rest, the log-ratio of accepted to rejected probability.
+
+    ``urls``: (host, path, verdict).  At most SIZE^(ORDER + 1) grams meet.
     """
-    grams = positions(urls.filter(F.col("verdict").isNotNull())).groupBy("gram", "verdict").agg(F.sum("times").alias("n"))
-    full = grams.groupBy("gram").agg(*[F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(f"c_{k}") for k, v in (("a", "allow"), ("b", "block"))])
-    full = common.cut(full)
-    out = {}
+    spark = urls.sparkSession
+    told = positions(urls, "verdict").groupBy("gram").agg(
+        *[F.sum(F.when(F.col("verdict") == v, 1).otherwise(0)).alias(f"c_{m}") for m, v in (("a", "allow"), ("b", "block"))]
+    )
+    told = common.cut(told)
+    lower = None
     for k in range(ORDER + 1):
-        own = full.groupBy(F.expr(f"right(gram, {k + 1})").alias(f"gram_{k}")).agg(F.sum("c_a").alias(f"c_a{k}"), F.sum("c_b").alias(f"c_b{k}"))
-        of = Window.partitionBy(F.expr(f"left(gram_{k}, {k})"))
+        below = SIZE**k
+        own = told.groupBy((F.col("gram") % (below * SIZE)).alias("gram")).agg(F.sum("c_a").alias("c_a"), F.sum("c_b").alias("c_b"))
+        sums = [(F.sum(f"c_{m}").alias(f"n_{m}"), F.sum(F.when(F.col(f"c_{m}") > 0, 1).otherwise(0)).alias(f"t_{m}")) for m in "ab"]
+        context = own.groupBy(F.expr(f"gram div {SIZE}").alias("context")).agg(*[x for both in sums for x in both])
+        every = spark.range(below * SIZE).select(F.col("id").alias("gram"), F.expr(f"id div {SIZE}").alias("context"), (F.col("id") % below).alias("rest"))
+        every = every.join(own, "gram", "left").join(context, "context", "left")
+        if lower is None:
+            every = every.withColumns({f"q_{m}": F.lit(1.0 / SIZE) for m in "ab"})
+        else:
+            every = every.join(F.broadcast(lower), "rest")  # SIZE^ORDER rows at most
+        p = []
         for m in "ab":
-            c = F.col(f"c_{m}{k}")
-            own = own.withColumn(f"n_{m}{k}", F.sum(c).over(of)).withColumn(f"t_{m}{k}", F.sum(F.when(c > 0, 1).otherwise(0)).over(of))
-        out[k] = own
-    return out
-
+            c, n, t = (F.coalesce(F.col(f"{x}_{m}"), F.lit(0)) for x in "cnt")
+            p.append(F.when(n > 0, (c + t * F.col(f"q_{m}")) / (n + t)).otherwise(F.col(f"q_{m}")).alias(f"q_{m}"))
+        lower = every.select(F.col("gram").alias("rest"), *p)
+    rows = lower.select(F.col("rest").alias("gram"), (F.log("q_a") - F.log("q_b")).cast("float").alias("score"))
+    first = F.expr(f"gram div {SIZE**ORDER}")
+    rows = rows.groupBy(first.alias("first")).agg(F.sort_array(F.collect_list(F.struct("gram", "score"))).alias("of"))
+    rows = rows.select(F.struct("first", F.col("of.score").alias("scores")).alias("row"))
+    return common.cut(rows.agg(F.sort_array(F.collect_list("row")).alias("rows")).select(F.col("rows.scores").alias("scores")))
 
-def _context_table(grams: DataFrame, k: int) -> DataFrame:
-    cols = [f"{s}_{m}{k}" for m in "ab" for s in "nt"]
-    return grams.groupBy(F.expr(f"left(gram_{k}, {k})").alias(f"context_{k}")).agg(*[F.first(c).alias(c) for c in cols])
 
-
-def scores(urls: DataFrame, model: dict[int, DataFrame]) -> DataFrame:
-    """(host, path, score) for distinct (host, path): mean log-ratio of accepted to rejected probability."""
-    # dealt out by what the mean is taken over: short rows come from few files, and grow with each character
-    rows = positions(urls.select("host", "path").repartition("host", "path"))
-    for k in range(ORDER + 1):
-        grams = model[k].select(f"gram_{k}", f"c_a{k}", f"c_b{k}")
-        rows = rows.withColumn(f"gram_{k}", F.expr(f"right(gram, {k + 1})")).withColumn(f"context_{k}", F.expr(f"left(right(gram, {k + 1}), {k})"))
-        rows = rows.join(grams, f"gram_{k}", "left").join(_context_table(model[k], k), f"context_{k}", "left")
-    p = {}
-    for m in "ab":
-        p[m] = F.lit(1.0 / (len(SYMBOLS) + 2))
-        for k in range(ORDER + 1):
-            c, n, t = (F.coalesce(F.col(f"{s}_{m}{k}"), F.lit(0)) for s in "cnt")
-            p[m] = F.when(n > 0, (c + t * p[m]) / (n + t)).otherwise(p[m])
-    return rows.withColumn("ratio", F.log(p["a"]) - F.log(p["b"])).groupBy("host", "path").agg(F.avg("ratio").alias("score"))
+def scores(urls: DataFrame, model: DataFrame, key: str) -> DataFrame:
+    """(key, score): each URL's mean log-ratio of accepted to rejected probability."""
+    of_first = F.element_at(model.scalar(), (F.expr(f"gram div {SIZE**ORDER}") + 1).cast("int"))
+    ratio = F.element_at(of_first, (F.col("gram") % SIZE**ORDER + 1).cast("int"))
+    return positions(urls, key).groupBy(key).agg(F.avg(ratio).alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:
-    """The score at which accepted and rejected training URLs are parted with the least balanced error.
+    """The score at which accepted and rejected URLs are parted with the least balanced error.
 
-    ``scored``: (score, verdict, times).  Candidates are a fixed grid of scores, so what
-    meets is bounded.  Without both kinds: minus infinity (all pass).
+    ``scored``: (score, verdict, held).  URLs of the held fold count, or all if that lacks a kind.  Candidates
+    are a fixed grid of scores, so what meets is bounded.  Without both kinds: minus infinity (all pass).
     """
-    grid = scored.groupBy(F.round("score", 2).alias("cut")).agg(
-        *[F.sum(F.when(F.col("verdict") == v, F.col("times")).otherwise(0)).alias(k) for k, v in (("a", "allow"), ("b", "block"))]
-    )
+    kinds = [(f"{m}{h}", (F.col("verdict") == v) & (F.col("held") | F.lit(bool(h)))) for m, v in (("a", "allow"), ("b", "block")) for h in (0, 1)]
+    grid = scored.groupBy(F.round("score", 2).alias("cut")).agg(*[F.sum(F.when(x, 1).otherwise(0)).alias(k) for k, x in kinds]).filter("cut is not null")
+    total = grid.agg(*[F.sum(k) for k, _ in kinds]).first()
+    a0, a1, b0, b1 = (x or 0 for x in total)
+    h, a, b = (0, a0, b0) if a0 and b0 else (1, a1, b1)
+    if not (a and b):
+        return float("-inf")
     below = Window.orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    error = F.sum("a").over(below) / F.sum("a").over(whole) + 1 - F.sum("b").over(below) / F.sum("b").over(whole)
-    both = (F.sum("a").over(whole) > 0) & (F.sum("b").over(whole) > 0)
-    found = grid.filter("cut is not null").withColumn("error", F.when(both, error)).filter("error is not null").orderBy("error", "cut").select("cut").first()
-    return float(found[0]) + 0.005 if found else float("-inf")
+    error = F.sum(f"a{h}").over(below) / a + 1 - F.sum(f"b{h}").over(below) / b
+    return float(grid.withColumn("error", error).orderBy("error", "cut").select("cut").first()[0]) + 0.005
 
 
 def judge(pages: DataFrame, rules: tuple = RULES, url_col: str = "url", id_col: str = "page_id") -> DataFrame:
@@ -129,23 +143,19 @@ def judge(pages: DataFrame, rules: tuple = RULES, url_col: str = "url", id_col:
 
     A rule decides where one fits; else the model does: allow if the score reaches the
     calibrated cut.  A null URL, or one without ``://``, has empty host and path and is
-    scored as such.  Equal (host, path) pairs are scored once.  If the rules allow none
+    scored as such.  If the rules allow none
     or block none of the rows, the model allows all.  An empty table gives no rows;
     other columns are ignored.
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("_url"))
     host, path = host_and_path("_url")
-    rows = rows.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(rules)
-    judged = rows.withColumn("rule", rule).withColumn("verdict", verdict)
-    distinct = common.cut(judged.groupBy("host", "path", "verdict").agg(F.count(F.lit(1)).alias("times")))
-    scored = common.cut(distinct.join(scores(distinct, train(distinct)), ["host", "path"]))
+    rows = rows.select("page_id", host.alias("host"), path.alias("path")).withColumn("rule", rule).withColumn("verdict", verdict)
+    held = F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS)) == 0
+    # written, so that a row's number stays
+    rows = common.cut(rows.withColumn("held", held).withColumn("row", F.monotonically_increasing_id()))
+    model = train(rows.filter(F.col("verdict").isNotNull() & ~F.col("held")))
+    scored = common.cut(rows.join(scores(rows, model, "row"), "row"))
     cut_at = calibrate(scored.filter(F.col("verdict").isNotNull()))
-    return judged.join(scored.select("host", "path", "score"), ["host", "path"], "left").select(
-        "page_id",
-        "host",
-        "path",
-        "rule",
-        F.coalesce("verdict", F.when(F.col("score") >= F.lit(cut_at), "allow").otherwise("block")).alias("verdict"),
-        "score",
-    )
+    told = F.coalesce("verdict", F.when(F.col("score") >= F.lit(cut_at), "allow").otherwise("block")).alias("verdict")
+    return scored.select("page_id", "host", "path", "rule", told, "score")
