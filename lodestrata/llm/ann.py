@@ -1,23 +1,25 @@
 """Approximate nearest neighbours by cross-polytope hashing with multiprobe and exact reranking.
 
 A table turns unit vectors by three rounds of random signs and a fast Hadamard
-transform and names the nearest signed axis.  Rows travel once, dealt into blocks; the
-stated queries go to each block, in parts.  A block files its rows in one bucket a
-table; queries probe the buckets of their nearest axes, their candidates are ranked by
-exact distance in double precision, and each block returns its nearest only.
+transform and names the nearest signed axis.  Every row's number is filed under (table,
+axis); every query probes its nearest axes in each table, and the two meet in a join on (table,
+axis).  Rows that a query meets in ``votes`` tables are its candidates.  They are sent to the
+blocks that hold the rows' vectors, once each, where exact distances in double precision rank them.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _common as common
 
-#: Rows, and queries, that meet in one task.
-BLOCK = 10_000
+#: Vectors in a block, as a power of two.
+BLOCK_BITS = 11
+#: Rows of whose numbers a query's hits are counted at once.
+COUNTED = 1 << 20
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -44,11 +46,30 @@ def rotate(x: np.ndarray, seed: int, table: int) -> np.ndarray:
 
 def axes(x: np.ndarray, table: int, probes: int, seed: int) -> np.ndarray:
     """[row, probe]: the signed axes nearest to the rows in one table, nearest first."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # the squares of large components must not overflow
     y = rotate(x / np.linalg.norm(x, axis=1, keepdims=True), seed, table)
     both = np.concatenate([y, -y], axis=1)
     return both.argmax(axis=1)[:, None] if probes == 1 else np.argsort(-both, axis=1, kind="stable")[:, :probes]
 
 
+def _matrix(column) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1) if len(flat) else np.empty((0, 0))
+
+
+def filed(rows: DataFrame, key: str, tables: int, probes: int, seed: int) -> DataFrame:
+    """(bucket, key): the rows (key, vector) under the ``probes`` nearest axes of each table."""
+
+    def run(batches):
+        for batch in batches:
+            x = _matrix(batch[1])
+            for t in range(tables if len(x) else 0):
+                found = axes(x, t, probes, seed).astype(np.int64) + (t << 32)
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), pa.array(np.repeat(batch[0].to_numpy(), found.shape[1]))], ["bucket", key])
+
+    return rows.select(key, "vector").mapInArrow(run, f"bucket long, {key} long")
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) as doubles, without vectors that are null, zero, or hold null or non-finite components."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -60,8 +81,9 @@ def nearest(
     vectors: DataFrame,
     every: int = 100,
     k: int = 10,
-    tables: int = 16,
-    probes: int = 10,
+    tables: int = 40,
+    probes: int = 6,
+    votes: int = 4,
     seed: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -73,8 +95,9 @@ def nearest(
     null or non-finite components take no part, nor do null ids or vectors of another
     length than most; of rows with one id the first in value order counts.  Equal vectors
     share one entry that keeps their k + 1 smallest ids, which is all that can be
-    returned of them.  A query to which a block's buckets give ``k`` rows or fewer searches
-    that whole block.  An empty table gives no rows; other columns are ignored.
+    returned of them.  Where fewer than k + 1 rows have ``votes`` hits, rows with fewer hits are
+    candidates, too; where all tables together give fewer, as in a tiny table, all rows are.
+    An empty table gives no rows; other columns are ignored.
     """
     rows = usable(vectors, id_col, vector_col).filter(F.col("id").isNotNull())
     rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
@@ -89,50 +112,57 @@ def nearest(
     classes = common.cut(some.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("id", F.col("ids")[0]))
     queries = common.cut(rows.filter(F.col("id") % every == 0))
 
-    near = _ranked(classes.select("id", "vector"), queries.select("id", "vector"), k, tables, probes, seed)
+    near = _ranked(classes.select("id", "vector"), queries.select("id", "vector"), k, tables, probes, votes, seed)
     return _expand(near, classes, k)
 
 
-def _ranked(entries: DataFrame, asked: DataFrame, k: int, tables: int, probes: int, seed: int) -> DataFrame:
-    """(query_id, id, score): each query's k + 1 nearest of the entries it shares a bucket with."""
-    blocks, parts = (max(1, -(-df.count() // BLOCK)) for df in (entries, asked))
-
-    def dealt(n: int):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-
-    def all_of(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = entries.withColumn("block", dealt(blocks)).withColumn("part", all_of(parts))
-    right = asked.withColumn("part", dealt(parts)).withColumn("block", all_of(blocks))
-
-    def meet(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) == 0 or len(queries) == 0:
-            return pd.DataFrame({"query_id": np.empty(0, np.int64), "id": np.empty(0, np.int64), "score": np.empty(0)})
-        x, ids = np.stack(rows["vector"].to_numpy()), rows["id"].to_numpy()
-        vectors = np.stack(queries["vector"].to_numpy())
-        filed, probed = [], []
-        for t in range(tables):
-            own = axes(x, t, 1, seed)[:, 0]
-            order = np.argsort(own, kind="stable")
-            filed.append(np.split(order, np.searchsorted(own[order], np.arange(1, 2 << max(0, x.shape[1] - 1).bit_length()))))
-            probed.append(axes(vectors, t, probes, seed))
-        out = []
-        for i, (q, v) in enumerate(zip(queries["id"].to_numpy(), vectors, strict=True)):
-            met = np.zeros(len(x), bool)
-            for buckets, axis in zip(filed, probed, strict=True):
-                met[np.concatenate([buckets[a] for a in axis[i]])] = True
-            at = np.flatnonzero(met)
-            if len(at) <= k:
-                at = np.arange(len(x))
+def _ranked(entries: DataFrame, asked: DataFrame, k: int, tables: int, probes: int, votes: int, seed: int) -> DataFrame:
+    """(query_id, id, score): each query's k + 1 nearest of its candidates."""
+    # a row's number tells its block and its place there
+    entries = common.cut(entries.withColumn("slot", F.monotonically_increasing_id()))
+    asked = asked.withColumnRenamed("id", "query_id")
+    sizes = entries.groupBy(F.shiftright("slot", 33).alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row a task
+    blocks = np.array([(r["task"] << (33 - BLOCK_BITS)) + b for r in sizes for b in range(-(-r["n"] >> BLOCK_BITS))], np.int64)
+    shares = max(1, -(-sum(r["n"] for r in sizes) // COUNTED))
+
+    share = F.pmod(F.xxhash64("slot"), F.lit(shares)).cast("int").alias("share")
+    buckets = filed(entries, "slot", tables, 1, seed).groupBy("bucket", share).agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    probed = filed(asked, "query_id", tables, probes, seed)
+    met = probed.join(buckets, "bucket").select("query_id", "share", "slots")
+    turns = asked.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+
+    def vote(hits: pa.Table, query: pa.Table) -> pa.Table:
+        found, times = np.unique(hits["slots"].combine_chunks().flatten().to_numpy(), return_counts=True) if len(hits) else (np.empty(0, np.int64),) * 2
+        least = votes
+        while least > 1 and np.count_nonzero(times >= least) <= k:
+            least -= 1
+        found = found[times >= least]
+        at, starts = np.unique(found >> BLOCK_BITS, return_index=True)
+        slots = np.split(found, starts[1:]) if len(found) > k else [None] * len(blocks)
+        at = at if len(found) > k else blocks
+        n = len(at) if len(query) else 0
+        columns = [pa.array(at[:n]), pa.array([query["query_id"][0].as_py()] * n, pa.int64()), query["vector"].take(pa.array([0] * n)), pa.array(slots[:n], pa.list_(pa.int64()))]
+        return pa.table(columns, names=["block", "query_id", "vector", "slots"])
+
+    asking = ["query_id", "share"]
+    candidates = met.groupBy(*asking).cogroup(turns.groupBy(*asking)).applyInArrow(vote, "block long, query_id long, vector array<double>, slots array<long>")
+
+    def rank(rows: pa.Table, asking: pa.Table) -> pa.Table:
+        x, ids = _matrix(rows["vector"]), rows["id"].to_numpy()
+        row_of = np.zeros(1 << BLOCK_BITS, np.int64)
+        row_of[rows["slot"].to_numpy() & ((1 << BLOCK_BITS) - 1)] = np.arange(len(ids))
+        out = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+        for q, v, slots in zip(asking["query_id"].to_pylist(), _matrix(asking["vector"]), asking["slots"], strict=True):
+            at = row_of[slots.values.to_numpy() & ((1 << BLOCK_BITS) - 1)] if slots.is_valid else np.arange(len(ids))
             d = x[at] - v
             score = np.sqrt((d * d).sum(axis=1))
             top = _first(score, ids[at], min(k + 1, len(at)))
-            out.append(pd.DataFrame({"query_id": q, "id": ids[at][top], "score": score[top]}))
-        return pd.concat(out)
+            for c, part in zip(out, (np.full(len(top), q), ids[at][top], score[top]), strict=True):
+                c.append(part)
+        return pa.table([np.concatenate(c) for c in out], names=["query_id", "id", "score"])
 
-    keys = ["block", "part"]
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, id long, score double")
+    placed = entries.withColumn("block", F.shiftright("slot", BLOCK_BITS))
+    near = placed.groupBy("block").cogroup(candidates.groupBy("block")).applyInArrow(rank, "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "id")
     return near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
 
