@@ -14,7 +14,7 @@ def test_recall_and_share(spark, monkeypatch):
     # few numbers counted at once, and small blocks, give several shares and blocks
     monkeypatch.setattr(ann, "COUNTED", 700)
     monkeypatch.setattr(ann, "BLOCK_BITS", 8)
-    x = np.random.default_rng(3).normal(size=(3000, 32))
+    x = np.random.default_rng(3).normal(size=(3000, 64))
     got = ann.nearest(table(spark, x)).toPandas()
     hit = 0
     for q in range(0, 3000, 100):
@@ -28,7 +28,7 @@ def test_recall_and_share(spark, monkeypatch):
     for t in range(40):
         own, asked = ann.axes(x, t, 1, 5)[:, 0], ann.axes(x[::100], t, 6, 5)
         hits += (own[None, None, :] == asked[:, :, None]).sum(axis=1)
-    assert (hits >= 4).mean() < 0.35  # 32 dimensions have 64 axes only
+    assert (hits >= 4).mean() < 0.2
 
 
 def test_few_rows_are_all_ranked(spark):
