@@ -2,8 +2,8 @@
 
 A document's terms are its distinct lower-cased words.  Terms in a band of document
 frequency (relative to the number of documents) form the lexicon; randomised
-subsets of it are drawn by hashing, in nested densities 1, 1/2, 1/4, ...  A document
-takes the two densities that leave it few terms in a subset, and its fingerprint
+subsets of it are drawn by bits of the terms' hashes, disjoint at one density, in densities 1, 1/2,
+1/4, ...  A document takes the two densities that leave it few terms in a subset, and its fingerprint
 holds, for each density and subset, a hash of its sorted terms there.  Likeness is
 the share of equal hashes among the subsets of the densities that two documents have
 in common.
@@ -25,15 +25,16 @@ SUBSETS = 16
 BAND = (0.0005, 0.05)
 #: Terms are told apart by a hash of so many bits, which bounds the lexicon at any corpus size.
 TERM_BITS = 21
-#: Ids in one range of neighbours.
-RANGE = 128
+#: Rows in one range of neighbours, and ranges at most: their bounds are read by the driver.
+RANGE, RANGES = 128, 4096
 #: Under this share of terms in the band, a document adds levels over all its terms: an edited third may bring up to 1/3.
 THIN = 0.4
 
 
 def terms(body: Column) -> Column:
-    """Distinct lower-cased words of the text."""
-    return F.array_distinct(F.filter(F.split(common.lower_ascii(body), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    """Hashes of the distinct lower-cased words of the text."""
+    words = F.array_remove(F.split(F.lower(body), r"[\x20\x09-\x0D]+"), "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def _slot(term: Column) -> Column:
@@ -46,7 +47,7 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     All rare terms of a document together add its (number of terms) / 2^21 to the mean
     share of a slot, far under the band, at any number of documents.
     """
-    texts = docs.select(F.xxhash64("body").alias("text"), F.array_distinct(F.transform(terms(F.col("body")), lambda w: _slot(F.xxhash64(w)))).alias("slots"))
+    texts = docs.select(F.xxhash64("body").alias("text"), F.array_distinct(F.transform(terms(F.col("body")), _slot)).alias("slots"))
     n = texts.select("text").distinct().count()
     slots = texts.groupBy("text").agg(F.first("slots").alias("slots")).select(F.explode("slots").alias("slot"))
     by = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
@@ -57,14 +58,14 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     return filled.agg(F.sort_array(F.collect_list("w")).alias("ws")).select(F.transform("ws", lambda w: w["bits"]).alias("bits"))
 
 
-def band_terms(hashed: str, bits: Column) -> Column:
-    """The sorted ones of the text's hashed terms that are in the lexicon."""
+def band_terms(hashed: Column, bits: Column) -> Column:
+    """The sorted ones of each text's hashed terms that are in the lexicon; ``hashed``: an array of texts."""
 
     def told(h: Column) -> Column:
         word = F.element_at(bits, F.shiftrightunsigned(h, 70 - TERM_BITS).cast("int") + 1)
         return F.call_function("shiftrightunsigned", word, _slot(h).bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1).cast("long")) == 1
 
-    return F.sort_array(F.filter(hashed, told))
+    return F.transform(hashed, lambda one: F.sort_array(F.filter(one, told)))
 
 
 def thin_terms(hashed: str, kept: str) -> Column:
@@ -82,11 +83,11 @@ def mask(d: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), d) - 1
 
 
-def fingerprint(kept: str, body: str, d: str, subsets: int = SUBSETS) -> Column:
+def fingerprint(kept: str, d: str, subsets: int = SUBSETS) -> Column:
     """``all|d:h,h,...|d-1:h,h,...``: a hash of all band terms (of all words where no word is in the band), then for two
     densities one hash a subset (``-`` where the subset holds none of the terms).  Where the band is thin, two levels over
     all terms follow: ``|*d:h,h,...|*d-1:h,h,...``."""
-    whole = F.when(F.size(kept) > 0, F.hex(F.xxhash64(kept))).otherwise(F.hex(F.xxhash64(F.sort_array(terms(F.col(body))))))
+    whole = F.when(F.size(kept) > 0, F.hex(F.xxhash64(kept))).otherwise(F.hex(F.xxhash64(F.sort_array(f"hashed_{kept}"))))
     lower = F.greatest(F.col(d) - 1, F.lit(0))
     levels = [_level(kept, F.col(d), f"{d}_mask", subsets), _level(kept, lower, f"{d}_mask_lower", subsets)]
     every, e = f"every_{kept}", f"d_every_{kept}"
@@ -95,8 +96,9 @@ def fingerprint(kept: str, body: str, d: str, subsets: int = SUBSETS) -> Column:
 
 
 def _level(kept: str, d: Column, mask: str, subsets: int) -> Column:
+    drawn = F.filter(kept, lambda t: t.bitwiseAND(F.col(mask)) < subsets)
     inside = F.transform(
-        F.sequence(F.lit(1), F.lit(subsets)), lambda r: F.filter(kept, lambda t: F.xxhash64(t, r).bitwiseAND(F.col(mask)) == 0)
+        F.sequence(F.lit(0).cast("long"), F.lit(subsets - 1).cast("long")), lambda r: F.filter(drawn, lambda t: t.bitwiseAND(F.col(mask)) == r)
     )
     hashes = F.transform(inside, lambda a: F.when(F.size(a) > 0, F.substring(F.hex(F.xxhash64(a)), 1, 8)).otherwise("-"))
     return F.concat(d.cast("string"), F.lit(":"), F.array_join(hashes, ","))
@@ -119,24 +121,49 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.col(a) == F.col(b), 1.0).otherwise(F.coalesce(found, F.lit(0.0)))
 
 
+def _bounds(docs: DataFrame) -> tuple[list[int], list[int], int]:
+    """Ids that cut the table into ranges of about RANGE rows, how many ranges begin with each, and ranges for null ids."""
+    n, known = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    ranges = min(RANGES, -(-known // RANGE))
+    found = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 8 * RANGES)).first()[0] if ranges > 1 else []
+    bounds = sorted(set(found or []))
+    return bounds, [found.count(b) for b in bounds], min(RANGES, -(-(n - known) // RANGE))
+
+
+def part_of(bounds: list[int], times: list[int], unknown: int) -> Column:
+    """The range of (doc_id, tie): ranges are numbered as they ascend, null ids first; an id that fills several is split by ``tie``."""
+    at, tie = F.lit(0), F.shiftright("tie", 32)
+
+    def share(of: Column) -> Column:
+        return F.shiftright(tie * of, 31)
+
+    if bounds:
+        ids = F.lit(bounds)
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(bounds).bit_length()))])
+        at = F.aggregate(steps, F.lit(0), lambda had, step: F.when(F.get(ids, had + step - 1) <= F.col("doc_id"), had + step).otherwise(had))
+    at = at.cast("long")
+    first = F.lit(False) if not bounds else F.coalesce(F.get(F.lit(bounds), at.cast("int") - 1) == F.col("doc_id"), F.lit(False))
+    many = F.lit(1) if not bounds else F.coalesce(F.get(F.lit(times), at.cast("int") - 1), F.lit(1))
+    known = F.shiftleft(2 * at + 2, 20) + F.when(first, share(many.cast("long"))).otherwise(F.lit(1 << 20))
+    return F.when(F.col("doc_id").isNull(), share(F.lit(max(1, unknown)).cast("long"))).otherwise(known)
+
+
 def rings(docs: DataFrame) -> DataFrame:
-    """(part, doc_id, body, guest): documents in ranges of ids, each with the first document of the next range below as a guest.
+    """(part, doc_id, tie, body, guest): documents in ranges of ids, each with the first document of the next range below as a guest.
 
-    ``docs``: (doc_id, body).  Read by descending id, guest last, a range holds every
-    document's successor; below the lowest range comes the highest.  Null ids form a
-    range below all others.
+    ``docs``: (doc_id, body).  Read by descending id and ``tie`` (a hash of the text), guest last, a range holds every
+    document's successor; below the lowest range comes the highest.  Null ids are below
+    all others.  Rows equal in id and text stay in one range.
     """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
-    # wide enough that a range holds about RANGE ids where ids are spread evenly
-    width = max(1, (high - low + 1) * RANGE // max(1, n))
-    rows = docs.withColumn("part", F.coalesce(F.floor((F.col("doc_id") - low) / width), F.lit(-1)).cast("long"))
-    first = F.max(F.struct(F.coalesce("doc_id", F.lit(low - 1)).alias("i"), "body")).alias("first")
-    firsts = common.cut(rows.groupBy("part").agg(first).select("part", "first.body"))
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    above = firsts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(whole)).alias("to"))
-    guests = firsts.join(above, "part").select(F.col("to").alias("part"), F.lit(None).cast("long").alias("doc_id"), "body", F.lit(1).alias("guest"))
-    return rows.select("part", "doc_id", "body", F.lit(0).alias("guest")).unionByName(guests)
+    tied = docs.withColumn("tie", F.shiftrightunsigned(F.xxhash64("body"), 1))
+    rows = tied.withColumn("part", part_of(*_bounds(docs)))
+    top = F.max(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "tie")).alias("top")
+    firsts = sorted((r["part"], r["top"]["tie"]) for r in rows.groupBy("part").agg(top).collect())  # a few thousand ranges at most
+    above = [(part, firsts[(i + 1) % len(firsts)][0], tie) for i, (part, tie) in enumerate(firsts)]
+    guests = docs.sparkSession.createDataFrame(above, "part long, to long, tie long")
+    found = rows.join(F.broadcast(guests), ["part", "tie"]).groupBy("to").agg(F.first("body").alias("body"))
+    guest = found.select(F.col("to").alias("part"), F.lit(None).cast("long").alias("doc_id"), F.lit(-1).cast("long").alias("tie"), "body", F.lit(1).alias("guest"))
+    return rows.select("part", "doc_id", "tie", "body", F.lit(0).alias("guest")).unionByName(guest)
 
 
 def fingerprints(
@@ -148,35 +175,35 @@ def fingerprints(
     near_edited, near_next.  The edited text has its last floor(n/3) code points
     replaced by the first as many (or all) of the next document's, by descending id;
     after the last comes the first.  Null text: empty.  Null ids come last; rows with
-    one id follow each other by descending text.  An empty table gives no rows; other
+    one id follow each other by descending hash of the text.  An empty table gives no rows; other
     columns are ignored.  Texts are dealt out once; all else happens where they are.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("body"))
     bits = common.cut(lexicon(rows, band)).scalar()
-    order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("body").desc())
+    order = Window.partitionBy("part").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
     third = "cast(floor(length(body) / 3) as int)"
     edited = F.concat(F.expr(f"substring(body, 1, length(body) - {third})"), F.expr(f"substring(next_body, 1, {third})"))
-    paired = rings(rows).withColumn("next_body", F.coalesce(F.lead("body").over(order), F.lit(""))).withColumn("edited", edited).withColumn("bits", bits)
-    kept = paired
-    for body, name in (("body", "kept"), ("edited", "kept_edited")):
-        kept = kept.withColumn(f"hashed_{name}", F.transform(terms(F.col(body)), lambda w: F.xxhash64(w)))
-        kept = kept.withColumn(name, band_terms(f"hashed_{name}", F.col("bits")))
-        kept = kept.withColumn(f"every_{name}", thin_terms(f"hashed_{name}", name))
-    kept = kept.select("part", "guest", "doc_id", "body", "edited", *[f"{x}{name}" for name in ("kept", "kept_edited") for x in ("", "every_")])
-    for name in ("kept", "kept_edited", "every_kept", "every_kept_edited"):
-        # columns of their own, since lambdas would compute them anew for each term
-        kept = kept.withColumn(f"d_{name}", density(name))
-        kept = kept.withColumn(f"d_{name}_mask", mask(F.col(f"d_{name}")))
-        kept = kept.withColumn(f"d_{name}_mask_lower", mask(F.greatest(F.col(f"d_{name}") - 1, F.lit(0))))
-    told = kept.select(
-        "part",
-        "guest",
-        "doc_id",
+    paired = rings(rows).withColumn("next_body", F.coalesce(F.lead("body").over(order), F.lit(""))).withColumn("edited", edited)
+    own = ["part", "guest", "doc_id", "tie"]
+    hashed = paired.select(
+        *own,
         F.length("body").cast("long").alias("n_chars"),
         F.when(F.col("guest") == 0, F.sha2(F.col("edited").cast("binary"), 256)).alias("edited_sha256"),
-        fingerprint("kept", "body", "d_kept", subsets).alias("fingerprint"),
-        fingerprint("kept_edited", "edited", "d_kept_edited", subsets).alias("edited_fingerprint"),
-        F.col("body").alias("body"),
+        F.array(terms(F.col("body")), terms(F.col("edited"))).alias("hashed"),
+        bits.alias("bits"),
+    )
+    # the lexicon is named once, so that no row carries it
+    kept = hashed.withColumn("in_band", band_terms(F.col("hashed"), F.col("bits"))).drop("bits")
+    names = ("kept", "kept_edited")
+    for i, name in enumerate(names):
+        kept = kept.withColumn(name, F.col("in_band")[i]).withColumn(f"hashed_{name}", F.col("hashed")[i])
+    kept = kept.drop("in_band", "hashed").withColumns({f"every_{name}": thin_terms(f"hashed_{name}", name) for name in names})
+    levels = [f"{x}{name}" for name in names for x in ("", "every_")]
+    # columns of their own, since lambdas would compute them anew for each term
+    kept = kept.withColumns({f"d_{name}": density(name) for name in levels})
+    kept = kept.withColumns({f"d_{name}_mask": mask(F.col(f"d_{name}")) for name in levels} | {f"d_{name}_mask_lower": mask(F.greatest(F.col(f"d_{name}") - 1, F.lit(0))) for name in levels})
+    told = kept.select(
+        *own, "n_chars", "edited_sha256", fingerprint("kept", "d_kept", subsets).alias("fingerprint"), fingerprint("kept_edited", "d_kept_edited", subsets).alias("edited_fingerprint")
     )
     near = told.withColumn("next_fingerprint", F.lead("fingerprint").over(order)).filter("guest = 0")
     return near.select(
