@@ -1,25 +1,20 @@
 """Unigram scoring over subword lattices.
 
-Vocabulary: the trained words plus the pieces of a public subword vocabulary; the
-pieces' unigram scores come from expectation-maximisation over the training words.  A word's probability sums over all its segmentations (forward recursion in
-log space):
-
-    P(w) = ((c(w) - D)+ + (D * V + 1/4) * L(w)) / (N + 1/2)
-
-where L(w) is the lattice probability over the pieces, whose word-final forms make it
-sum to at most one over all words; D the discount (Ney's estimate) that pays for the
-lattice; the document end has (docs + 1/4) / (N + 1/2).  A text's words come from an urn
-that holds these probabilities with the weight of ``weight`` tokens and gains each word
-drawn: after i tokens, c of them w, the next is w with probability
-(weight * P(w) + c) / (weight + i).  So a word repeated in a text is spelled once, the
-order of words is of no account.  Each class of training texts (their ``lang``) has an urn
-of its own, with word probabilities
-
-    P_k(w) = ((c_k(w) - D)+ + (D * V_k + 1) * P(w)) / (N_k + 1)
-
-and a text's probability sums over the classes by their shares of the training texts; the
+Vocabulary: the pieces of a public subword vocabulary and, as pieces of their own, the words of the training
+texts.  The pieces' unigram scores come from expectation-maximisation over all training words, each word
+once.  A word's probability sums over all its segmentations, by a forward recursion in
+log space; the whole word is one of them:
+
+    P_k(w) = ((c_k(w) - D_k)+ + (D_k * V_k + 1/4) * (f_k * G(w) + (1 - f_k) * L_k(w))) / (N_k + 1/2)
+
+L_k(w) is the sum over subword pieces, whose word-final forms make it
+sum to at most one over all words; D_k the discount (Ney's estimate) that pays for it; G the
+distribution of all training words, and f_k the share of words seen once in k that were seen elsewhere; the document end
+has (docs_k + 1/4) / (N_k + 1/2).  There is a component k for each frequent class of training texts
+(their ``lang``), and one for all training texts together.  A text's probability is the product over its words and
+the end, summed over the components by their shares; the
 class of a scored text is never looked at.  So the model is a proper distribution over
-texts as token sequences.
+texts as token sequences, and a text's score marginalises segmentations and components.
 """
 
 from __future__ import annotations
@@ -41,7 +36,7 @@ from .tokens import byte_alphabet
 #: Words of at least this share of all tokens travel with the code; there are at most 1 / HEAD of them.
 HEAD = 1e-6
 FLUSH = 400_000
-#: Classes of training texts with word counts of their own; the others share theirs.
+#: Classes of training texts with a component of their own, the most frequent ones; the component of all texts speaks for the others.
 CLASSES = 8
 FINAL = "</w>"
 
@@ -102,14 +97,15 @@ class Table:
 
 
 class Lattice:
-    """All segmentations of words under given piece scores (natural logs), many words of one length at a time."""
+    """All segmentations of words under given piece scores (natural logs; a column for each component), many words of one length at a time."""
 
     def __init__(self, pieces: list[str], logs: np.ndarray):
         inner = {p: i for i, p in enumerate(pieces) if not p.endswith(FINAL)}
         final = {p.removesuffix(FINAL): i for i, p in enumerate(pieces) if p.endswith(FINAL) and p != FINAL}
         self.longest = max(map(len, [*inner, *final]), default=1)
         self.inner, self.final = Table(inner), Table(final)
-        self.logs = np.append(logs, -np.inf)  # no piece: index -1
+        logs = np.asarray(logs, np.float64).reshape(len(pieces), -1)
+        self.logs = np.append(logs, np.full((1, logs.shape[1]), -np.inf), axis=0)  # no piece: index -1
 
     def edges(self, words: list[str], n: int) -> Iterator[tuple[int, np.ndarray]]:
         """For each end 1 .. n: the first start, and the pieces [start, word] from there to the end."""
@@ -121,24 +117,27 @@ class Lattice:
             yield j - len(open_), (self.inner if j < n else self.final).find(open_)
 
     def score(self, words: list[str]) -> np.ndarray:
-        """Log probability of each word, summed over its segmentations.
+        """[word, component]: log probability, summed over the word's segmentations.
 
-        >>> Lattice(["a", "b</w>", "ab</w>"], np.log([.5, .2, .1])).score(["ab", "b", "ba"]).round(3).tolist()
+        >>> Lattice(["a", "b</w>", "ab</w>"], np.log([.5, .2, .1])).score(["ab", "b", "ba"])[:, 0].round(3).tolist()
         [-1.609, -1.609, -inf]
         """
-        return self._by_length(words, None)
+        return self._by_length(words, None, None)
 
-    def expect(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """Score the words and add each piece's expected number of uses to ``counts``."""
-        return self._by_length(words, counts)
+    def expect(self, words: list[str], used: np.ndarray) -> np.ndarray:
+        """[piece, component]: the pieces' expected uses in the words, each under the components for which ``used`` [word, component] is set."""
+        counts = np.zeros((len(self.logs) - 1, self.logs.shape[1]))
+        self._by_length(words, used, counts)
+        return counts
 
-    def _by_length(self, words: list[str], counts: np.ndarray | None) -> np.ndarray:
-        out = np.full(len(words), -np.inf)
+    def _by_length(self, words: list[str], used: np.ndarray | None, counts: np.ndarray | None) -> np.ndarray:
+        width = self.logs.shape[1]
+        out = np.full((len(words), width), -np.inf)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for n in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == n)
-            for part in np.array_split(at, max(1, len(at) * n // 100_000)):
-                ahead = np.full((n + 1, len(part)), -np.inf)
+            for part in np.array_split(at, max(1, len(at) * n * width // 200_000)):
+                ahead = np.full((n + 1, len(part), width), -np.inf)
                 ahead[0] = 0
                 kept = []
                 for j, (i, ids) in enumerate(self.edges([words[w] for w in part], n), 1):
@@ -147,13 +146,13 @@ class Lattice:
                         kept.append((i, ids))
                 out[part] = ahead[n]
                 if counts is not None:
-                    self._uses(ahead, kept, counts)
+                    self._uses(ahead, kept, used[part], counts)
         return out
 
-    def _uses(self, ahead: np.ndarray, edges: list[tuple[int, np.ndarray]], counts: np.ndarray) -> None:
+    def _uses(self, ahead: np.ndarray, edges: list[tuple[int, np.ndarray]], used: np.ndarray, counts: np.ndarray) -> None:
         """The backward recursion: what each piece contributes to the sums over all segmentations."""
         back = np.full(ahead.shape, -np.inf)
-        back[-1] = np.where(np.isfinite(ahead[-1]), -ahead[-1], -np.inf)
+        back[-1] = np.where(np.isfinite(ahead[-1]) & used, -ahead[-1], -np.inf)
         for j in range(len(edges), 0, -1):
             i, ids = edges[j - 1]
             onward = self.logs[ids] + back[j]
@@ -169,21 +168,13 @@ def _log_sum(terms: np.ndarray) -> np.ndarray:
         return safe + np.log(np.exp(terms - safe).sum(axis=0))
 
 
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    """Stirling's series, eight steps up.
-
-    >>> log_gamma(np.array([5.0, 0.5])).round(6).tolist()
-    [3.178054, 0.572365]
-    """
-    y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) - np.log(np.multiply.reduce([x + i for i in range(8)]))
-
-
 def word_counts(rows: DataFrame, classes: int) -> DataFrame:
-    """(word binary, c, c0, c1 ..., held): counts in training texts, all and by class, and in held-out texts, over all documents."""
+    """(word binary, c0, c1 ..., c, held): counts in the training texts of each class, in all of them, and in held-out texts, over all documents.
+
+    ``rows``: (k, body); k below ``classes``: a class, ``classes``: another training text, above: held out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [Counter() for _ in range(classes + 1)]
+        seen = [Counter() for _ in range(classes + 2)]
 
         def flush() -> Iterator[pa.RecordBatch]:
             for k, found in enumerate(seen):
@@ -194,64 +185,97 @@ def word_counts(rows: DataFrame, classes: int) -> DataFrame:
         for batch in batches:
             for k, body in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 seen[k].update(body.lower().split())
-                if len(seen[k]) * (classes + 1) > FLUSH:
+                if len(seen[k]) * (classes + 2) > FLUSH:
                     yield from flush()
         yield from flush()
 
     part = rows.mapInArrow(run, "word binary, k int, n long")
-    sums = [F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).alias(f"c{k}") for k in range(classes)]
-    held = F.coalesce(F.sum(F.when(F.col("k") == classes, F.col("n"))), F.lit(0)).alias("held")
-    return part.groupBy("word").agg(*sums, held).withColumn("c", sum(F.col(f"c{k}") for k in range(classes)))
 
+    def total(of):
+        return F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0))
+
+    sums = [total(F.col("k") == k).alias(f"c{k}") for k in range(classes)]
+    return part.groupBy("word").agg(*sums, total(F.col("k") <= classes).alias("c"), total(F.col("k") > classes).alias("held"))
 
-def _classes(rows: DataFrame) -> list[tuple[str | None, int]]:
-    """The most frequent classes of the training texts and their numbers of texts; all others are one more."""
+
+def _classes(rows: DataFrame) -> tuple[list[str], list[int], int]:
+    """The most frequent classes of the training texts, their numbers of texts, and the number of all training texts."""
     found = rows.filter(~F.col("held_out")).groupBy("class").count()
     total = found.agg(F.sum("count")).first()[0] or 0
-    top = [(r["class"], r["count"]) for r in found.filter("class is not null").orderBy(F.desc("count"), "class").limit(CLASSES).collect()]
-    rest = total - sum(n for _, n in top)
-    return top + ([(None, rest)] if rest or not top else [])
+    top = found.filter("class is not null").orderBy(F.desc("count"), "class").limit(CLASSES).collect()
+    return [r["class"] for r in top], [r["count"] for r in top], total
 
 
-def piece_scores(counts: DataFrame, vocabulary: str, rounds: int = 3) -> np.ndarray:
-    """Natural-log scores of the vocabulary's pieces, by expectation-maximisation over the training words.
+def piece_scores(counts: DataFrame, vocabulary: str, classes: int, rounds: int = 2) -> np.ndarray:
+    """[piece, component]: natural-log scores of the vocabulary's pieces, by expectation-maximisation over all training words.
 
-    The lattice speaks for words that are rare or new, so it learns from those seen once,
-    which are most like words never seen.  The first round counts the vocabulary's own segmentation; the others the
+    Each word counts once for each component that has seen it, since the pieces speak for words that are rare or new.
+    The first step counts the vocabulary's own segmentation, ``rounds`` more the
     expected uses over all segmentations.  What meets is bounded by the vocabulary.
     """
     pieces = Pieces.of(vocabulary).vocabulary
-    context, size = counts.sparkSession.sparkContext, len(pieces)
-    words = counts.filter("c = 1").select("word")
+    context, size, width = counts.sparkSession.sparkContext, len(pieces), classes + 1
+    names = [*(f"c{k}" for k in range(classes)), "c"]
+    words = counts.filter("c > 0").select("word", *names)
     logs = None
-    for _ in range(rounds):
+    for _ in range(rounds + 1):
         now = context.broadcast(logs)
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            pieces, uses = Pieces.of(vocabulary), np.zeros(size)
+            pieces, uses = Pieces.of(vocabulary), np.zeros((size, width))
             lattice = Lattice(pieces.vocabulary, now.value) if now.value is not None else None
             for batch in batches:
                 spelled = [pieces.spell(w) for w in batch[0].to_pylist()]
+                used = np.stack([c.to_numpy() > 0 for c in batch.columns[1:]], 1)
                 if lattice:
-                    lattice.expect(spelled, uses)
+                    uses += lattice.expect(spelled, used)
                 else:
-                    uses += np.bincount([pieces.at[p] for s in spelled for p in pieces.segment(s)], minlength=size)
-            at = np.flatnonzero(uses)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(uses[at])], ["piece", "uses"])
-
-        got = words.mapInArrow(run, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toPandas()
-        total = np.full(size, 1e-3)
-        total[got["piece"].to_numpy(np.int64)] += got["uses"].to_numpy(np.float64)
-        logs = np.log(total / total.sum())
+                    cut = [[pieces.at[p] for p in pieces.segment(s)] for s in spelled]
+                    flat = np.fromiter((p for c in cut for p in c), np.int64)
+                    each = np.repeat(used, [len(c) for c in cut], axis=0)
+                    for k in range(width):
+                        uses[:, k] += np.bincount(flat[each[:, k]], minlength=size)
+            at, k = np.nonzero(uses)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(k), pa.array(uses[at, k])], ["piece", "k", "uses"])
+
+        got = words.mapInArrow(run, "piece long, k long, uses double").groupBy("piece", "k").agg(F.sum("uses").alias("uses")).toPandas()
+        total = np.full((size, width), 1e-3)
+        total[got["piece"].to_numpy(np.int64), got["k"].to_numpy(np.int64)] += got["uses"].to_numpy(np.float64)
+        logs = np.log(total / total.sum(axis=0))
     return logs
 
 
+class Components:
+    """The components' figures from their counts (arrays over the components, the last one of all training texts)."""
+
+    def __init__(self, tokens, types, once, twice, elsewhere, texts):
+        tokens, types, once, twice, elsewhere, texts = (np.asarray(x, np.float64) for x in (tokens, types, once, twice, elsewhere, texts))
+        # Ney's estimate of the discount from the words seen once and twice
+        self.discount = np.clip(once / np.maximum(1, once + 2 * twice), 0.5, 0.95)
+        self.total = tokens + texts + 0.5
+        spread = self.discount * types + 0.25
+        share = (elsewhere + 0.5) / (once + 1)
+        share[-1] = 0
+        known = tokens[-1] - self.discount[-1] * types[-1]
+        self.general = spread * share / known if known > 0 else np.zeros(len(spread))
+        self.spelled = np.log(spread * (1 - share if known > 0 else 1.0))
+        self.end = np.log(texts + 0.25) - np.log(self.total)
+        shares = np.append(texts[:-1], texts[-1] - texts[:-1].sum() + 1)
+        with np.errstate(divide="ignore"):
+            self.prior = np.log(shares / shares.sum())
+
+    def words(self, c: np.ndarray, logs: np.ndarray) -> np.ndarray:
+        """[word, component]: log probabilities from counts and the sums over subword pieces; they stay in logs, as long words' fall below the smallest double."""
+        seen = np.maximum(c - self.discount, 0) + self.general * np.maximum(c[:, -1:] - self.discount[-1], 0)
+        with np.errstate(divide="ignore"):
+            return np.logaddexp(np.log(seen), self.spelled + logs) - np.log(self.total)
+
+
 def score_texts(
     docs: DataFrame,
     vocabulary: str,
     folds: int = 5,
     held_fold: int = 1,
-    weight: float = 2000.0,
     id_col: str = "doc_id",
     text_col: str = "text",
     class_col: str = "lang",
@@ -259,10 +283,12 @@ def score_texts(
     """Score all texts with a model of those outside the held-out fold.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10
-    probability), one row per input row.  Null text: empty, so its score is the end's
+    probability) and pooled_score (that of the component of all training texts alone), one row per input row.  Null text:
+    empty, so its score is the end's
     alone.  A null id is never held out.  Repeated rows are scored (and learned from)
-    once each.  Null, missing or rare classes are one class.  Without training texts all probability goes to the lattice and the
-    end.  An empty table gives no rows; other columns are ignored.
+    once each.  Texts of null, missing or rare classes are learned by the component of all texts.  Without training texts all
+    probability goes to the lattice and the end.  A word costs a step of a loop for each character, so very long ones are slow.
+    An empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -270,53 +296,50 @@ def score_texts(
         common.text_or_empty(text_col).cast("binary").alias("body"),
         (F.col(class_col) if class_col in docs.columns else F.lit(None)).cast("string").alias("class"),
     )
-    classes = _classes(rows)
-    size, n_docs = len(classes), sum(m for _, m in classes)
-    number = F.lit(size - 1)
-    for k, (value, _) in enumerate(classes):
-        number = F.when(F.col("class") == value, k).otherwise(number) if value is not None else number
-    counts = common.cut(word_counts(rows.select(F.when(F.col("held_out"), size).otherwise(number).alias("k"), "body"), size))
-    times = [F.sum(F.when(x, 1).otherwise(0)) for x in (F.col("c") > 0, F.col("c") == 1, F.col("c") == 2)]
-    each = [F.sum(f"c{k}") for k in range(size)] + [F.sum(F.when(F.col(f"c{k}") > 0, 1).otherwise(0)) for k in range(size)]
-    words, everything, types, once, twice, *each = (x or 0 for x in counts.agg(F.sum("c"), F.sum(F.col("c") + F.col("held")), *times, *each).first())
-    n, v = words + n_docs, types + (n_docs > 0)
-    # Ney's estimate of the discount from the words seen once and twice
-    discount = min(0.95, max(0.5, once / max(1, once + 2 * twice)))
-    spread = discount * types + 0.25
-    p_end = (n_docs + 0.25) / (n + 0.5)
+    classes, texts, n_docs = _classes(rows)
+    size = len(classes)
+    number = F.lit(size)
+    for k, value in enumerate(classes):
+        number = F.when(F.col("class") == value, k).otherwise(number)
+    counts = common.cut(word_counts(rows.select(F.when(F.col("held_out"), size + 1).otherwise(number).alias("k"), "body"), size))
+    names = [*(f"c{k}" for k in range(size)), "c"]
+
+    def each(of) -> list:
+        return [F.sum(of(F.col(c))) for c in names]
+
+    def number_of(test) -> list:
+        return each(lambda c: F.when(test(c), 1).otherwise(0))
+
+    figures = [each(lambda c: c), number_of(lambda c: c > 0), number_of(lambda c: c == 1), number_of(lambda c: c == 2)]
+    figures.append(number_of(lambda c: (c == 1) & (F.col("c") > 1)))
+    flat = counts.agg(*[x for part in figures for x in part], F.sum(F.col("c") + F.col("held"))).first()
+    flat, everything = [x or 0 for x in flat[:-1]], flat[-1] or 0
+    parts = [flat[i : i + size + 1] for i in range(0, len(flat), size + 1)]
+    model = Components(*parts, [*texts, n_docs])
+    n, v = parts[0][-1] + n_docs, parts[1][-1] + (n_docs > 0)
     base_end = math.log10((n_docs + 0.5) / (n + 0.5 * (v + 1)))
-    texts = np.array([m for _, m in classes], np.float64)
-    class_n, class_spread = np.array(each[:size]) + texts + 1, discount * np.array(each[size:]) + 1
-    ends = np.log(weight * (texts + class_spread * p_end) / class_n)
-    prior = np.log((texts + 0.5) / (texts + 0.5).sum())
     context = docs.sparkSession.sparkContext
-    scores = context.broadcast(piece_scores(counts, vocabulary))
-    owns = [f"own{k}" for k in range(size)]
+    scores = context.broadcast(piece_scores(counts, vocabulary, size))
+    owns = [f"own{k}" for k in range(size + 1)]
+    own_kinds = "".join(f", {c} double" for c in owns)
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(vocabulary)
         lattice = Lattice(pieces.vocabulary, scores.value)
         for batch in batches:
-            c = batch[1].to_numpy().astype(np.float64)
-            logs = lattice.score([pieces.spell(w) for w in batch[0].to_pylist()])
-            base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-            # long words' probabilities fall below the smallest double, so the sums stay in logs
-            with np.errstate(divide="ignore"):
-                whole = np.logaddexp(np.log(np.maximum(c - discount, 0)), math.log(spread) + logs) - math.log(n + 0.5)
-                own = []
-                for k in range(size):
-                    seen = np.log(np.maximum(batch[3 + k].to_numpy() - discount, 0))
-                    own.append(pa.array(np.logaddexp(seen, np.log(class_spread[k]) + whole) - np.log(class_n[k]) + math.log(weight)))
-            yield pa.RecordBatch.from_arrays([batch[0], batch[2], pa.array(c > 0), pa.array(base), *own], ["word", "times", "known", "base", *owns])
+            c = np.stack([x.to_numpy().astype(np.float64) for x in batch.columns[2:]], 1)
+            own = model.words(c, lattice.score([pieces.spell(w) for w in batch[0].to_pylist()]))
+            base = np.log10((c[:, -1] + 0.5) / (n + 0.5 * (v + 1)))
+            columns = [batch[0], batch[1], pa.array(c[:, -1] > 0), pa.array(base), *(pa.array(x) for x in own.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "times", "known", "base", *owns])
 
-    own_kinds = "".join(f", {c} double" for c in owns)
     scored = common.cut(
-        counts.select("word", "c", (F.col("c") + F.col("held")).alias("times"), *[f"c{k}" for k in range(size)]).mapInArrow(
+        counts.select("word", (F.col("c") + F.col("held")).alias("times"), *names).mapInArrow(
             score_words, f"word binary, times long, known boolean, base double{own_kinds}"
         )
     )
     is_head = F.col("times") >= HEAD * everything
-    found = scored.filter(is_head).toPandas()
+    found = scored.filter(is_head).toPandas()  # 1 / HEAD words at most
     numbers = {bytes(w): i for i, w in enumerate(found["word"])}
     head = context.broadcast((numbers, found[["known", "base", *owns]].to_numpy(np.float64)))
 
@@ -329,22 +352,17 @@ def score_texts(
                 words = Counter(body.lower().split())
                 k = np.fromiter(words.values(), np.int64, len(words))
                 at = np.fromiter((numbers.get(w, -1) for w in words), np.int64, len(words))
-                mine, uses = values[at[at >= 0]], k[at >= 0]
-                known, base = (uses * mine[:, 0]).sum(), (uses * mine[:, 1]).sum()
-                a, again = np.exp(mine[uses > 1, 2:]), uses[uses > 1, None]
-                total = int(k.sum()) + 1
-                own = mine[:, 2:].sum(axis=0) + (log_gamma(a + again) - log_gamma(a + 1)).sum(axis=0)
-                own += ends + math.lgamma(weight) - math.lgamma(weight + total)
+                mine = k[at >= 0] @ values[at[at >= 0]]
                 spelled = list(compress(words, (at < 0).tolist()))
                 rare[0] += [i] * len(spelled)
                 rare[1] += spelled
                 rare[2] += k[at < 0].tolist()
                 # a word with a space in it matches none, and keeps these rows apart
-                sums.append((b" %d" % i, total, int(known) + (n_docs > 0), float(base) + base_end, *own.tolist()))
+                sums.append((b" %d" % i, int(k.sum()) + 1, int(mine[0]) + (n_docs > 0), mine[1] + base_end, *(mine[2:] + model.end).tolist()))
             at = pa.array([*rare[0], *range(batch.num_rows)], pa.int64())
             zeros = [0] * len(rare[0])
-            columns = [[*rare[1], *(s[0] for s in sums)], [*rare[2], *[0] * len(sums)], *([*zeros, *(s[k] for s in sums)] for k in range(1, 4 + size))]
-            kinds = [pa.binary(), *[pa.int64()] * 3, *[pa.float64()] * (1 + size)]
+            columns = [[*rare[1], *(s[0] for s in sums)], [*rare[2], *[0] * len(sums)], *([*zeros, *(s[k] for s in sums)] for k in range(1, 5 + size))]
+            kinds = [pa.binary(), *[pa.int64()] * 3, *[pa.float64()] * (2 + size)]
             yield pa.RecordBatch.from_arrays(
                 [batch[0].take(at), batch[1].take(at), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                 ["doc_id", "tkey", "word", "times", "n_tokens", "n_known", "base", *owns],
@@ -353,13 +371,11 @@ def score_texts(
     parts = rows.select("doc_id", F.xxhash64("body").alias("tkey"), "body").mapInArrow(
         score_docs, f"doc_id long, tkey long, word binary, times long, n_tokens long, n_known long, base double{own_kinds}"
     )
-    tail = scored.filter(~is_head).select("word", "known", F.col("base").alias("w_base"), *[F.col(c).alias(f"w_{c}") for c in owns])
+    tail = scored.filter(~is_head).select("word", "known", *[F.col(c).alias(f"w_{c}") for c in ("base", *owns)])
     times = F.col("times")
 
-    def drawn(column: str):
-        first = F.col(f"w_{column}")
-        later = F.aggregate(F.sequence(F.lit(1).cast("long"), times - 1), F.lit(0.0), lambda total, i: total + F.log(F.exp(first) + i))
-        return F.sum(F.col(column) + F.when(first.isNull(), 0.0).when(times > 1, first + later).otherwise(first)).alias(column)
+    def summed(column: str):
+        return F.sum(F.col(column) + F.coalesce(times * F.col(f"w_{column}"), F.lit(0.0))).alias(column)
 
     sums = (
         parts.join(tail, "word", "left")
@@ -367,14 +383,13 @@ def score_texts(
         .agg(
             F.sum("n_tokens").alias("n_tokens"),
             F.sum(F.col("n_known") + F.when(F.col("known"), times).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + F.when(F.col("w_base").isNotNull(), times * F.col("w_base")).otherwise(0.0)).alias("base"),
-            *[drawn(c) for c in owns],
+            *[summed(c) for c in ("base", *owns)],
             F.sum(F.when(F.col("n_tokens") > 0, 1).otherwise(0)).alias("copies"),
         )
     )
     # rows that are equal in id and text were summed together: they come apart again
     one = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    one = one.withColumn("by", F.array(*[F.col(c) / F.col("copies") + float(x) for c, x in zip(owns, prior, strict=True)]))
+    one = one.withColumn("by", F.array(*[F.col(c) / F.col("copies") + float(x) for c, x in zip(owns, model.prior, strict=True)]))
     top = F.array_max("by")
     return one.select(
         "doc_id",
@@ -384,4 +399,5 @@ def score_texts(
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"),
         ((top + F.log(F.aggregate("by", F.lit(0.0), lambda total, x: total + F.exp(x - top)))) / math.log(10)).alias("score"),
+        (F.col(owns[-1]) / F.col("copies") / math.log(10)).alias("pooled_score"),
     )

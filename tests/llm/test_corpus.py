@@ -167,18 +167,6 @@ def test_scores(spark, corpus):
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 and r["train_tokens"] == n for r in got)
 
 
-def test_lattice_sums_all_segmentations():
-    pieces = ["a", "b", "ab", "ba", "a</w>", "b</w>", "ab</w>", "aba</w>"]
-    p = dict(zip(pieces, np.random.default_rng(1).dirichlet(np.ones(len(pieces))), strict=True))
-
-    def total(w):
-        return p.get(w + "</w>", 0) + sum(p.get(w[:i], 0) * total(w[i:]) for i in range(1, len(w)))
-
-    words = ["aba", "ab", "b", "abab", "bbbb", "ababbaab", "c"]
-    got = lattice.Lattice(pieces, np.log([p[x] for x in pieces])).score(words)
-    assert np.allclose(np.exp(got), [total(w) for w in words])
-
-
 def test_mixing(spark, corpus):
     got = mixing.mixing_report(docs(spark, corpus)).collect()
     assert len(got) == len(corpus)
