@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="lodestrata-")
         sc.setCheckpointDir(path)
     return path
@@ -32,7 +34,8 @@ def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder as Parquet and read it back.
 
     A lost executor costs only the tasks that read it, never a recomputation of
-    what came before, and a second use doesn't recompute either.
+    what came before, and a second use doesn't recompute either.  The files stay until the
+    folder is cleared.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestrata-{uuid.uuid4().hex}"

@@ -23,6 +23,7 @@ from . import _common as common
 
 BUCKETS = 1 << 16
 SEGMENT = 64
+PIECE = 1 << 20
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -33,6 +34,14 @@ def _trigrams(data: np.ndarray) -> np.ndarray:
     return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
+def _pieces(data: np.ndarray, at: int = 0, end: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(start, buckets) of the data from ``at`` to ``end``, a million positions at a time."""
+    end = len(data) if end is None else end
+    for a in range(at, end, PIECE):
+        b = min(a + PIECE, end)
+        yield a, _trigrams(data[a : b + 2])[: b - a]
+
+
 def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
 
@@ -46,7 +55,8 @@ def train(rows: DataFrame, floor: float = 0.5) -> tuple[list[str], np.ndarray]:
             for lang, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 if text:
                     mine = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                    mine += np.bincount(_trigrams(_bytes(text)), minlength=BUCKETS)
+                    for _, buckets in _pieces(_bytes(text)):
+                        mine += np.bincount(buckets, minlength=BUCKETS)
         for lang, c in counts.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(c[at])], ["lang", "bucket", "c"])
@@ -69,7 +79,12 @@ def segment_scores(text: str, table: np.ndarray) -> np.ndarray:
     at = np.searchsorted(spaces, want)
     cuts = np.where(at < len(spaces), spaces[np.minimum(at, len(spaces) - 1)], len(data)) if len(spaces) else want
     starts = np.unique(np.concatenate([[0], cuts[cuts < len(data)]]))
-    return np.add.reduceat(table[_trigrams(data)], starts, axis=0)
+    out = np.zeros((len(starts), table.shape[1]))
+    for a, buckets in _pieces(data):
+        # the segment that began last goes on in this piece
+        first, last = np.searchsorted(starts, a, side="right"), np.searchsorted(starts, a + len(buckets))
+        out[first - 1 : last] += np.add.reduceat(table[buckets], np.append(a, starts[first:last]) - a, axis=0)
+    return out
 
 
 def proportions(scores: np.ndarray, rounds: int = 30) -> np.ndarray:

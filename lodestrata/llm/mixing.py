@@ -59,40 +59,34 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """How often the mix takes each document: all input columns, then ``_size``, ``_source_size``, ``_target``, ``_copies``.
+    """How often the mix takes each document: ``row`` (a struct of all input columns), size, source_size, target, copies.
 
     A source's rate is target / size; a document comes floor(rate) times, plus once
     more if a draw seeded by its id falls below the fraction.  Null text has size 0;
     null sources are one source; a null id draws as the text "null"; repeated rows
     draw alike; an empty table gives no rows; a source of size 0 has target 0 and no
-    copies.  The per-source figures join on the source; a source that holds much of
+    copies.  The per-source figures, one row a source, join on the source; a source that holds much of
     the table is split by adaptive skew handling or broadcast by size.
     """
-    sized = docs.withColumn("_size", word_count(text_col))
-    targets = source_targets(sized.select(F.col(source_col).alias("source"), F.col("_size").alias("size")), weights, most)
-    targets = targets.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
-    joined = sized.join(targets, sized[source_col].eqNullSafe(targets["_source"]), "left").drop("_source")
-    rate = F.coalesce(F.try_divide("_target", "_source_size"), F.lit(0.0))
-    copies = F.floor(rate) + F.when(draw(id_col, seed) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("_copies", copies.cast("long"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    sized = docs.select(whole, F.col(source_col).alias("source"), word_count(text_col).alias("size"))
+    targets = source_targets(sized, weights, most).withColumnRenamed("source", "of")
+    joined = sized.join(targets, sized["source"].eqNullSafe(targets["of"]), "left")
+    rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    copies = F.floor(rate) + F.when(draw(f"row.`{id_col}`", seed) < rate - F.floor(rate), 1).otherwise(0)
+    return joined.select("row", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row as many times as it is taken, with the input's columns."""
-    mixed = mix(docs, **options)
-    again = mixed.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return again.select(*docs.columns)
-
-
-def mixing_report(docs: DataFrame, **options) -> DataFrame:
-    mixed = mix(docs, **options)
-    return mixed.select(
-        F.col("doc_id"),
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("_size") * F.col("_copies")).alias("taken"),
-    )
+    again = mix(docs, **options).filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return again.select("row.*")
+
+
+def mixing_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    mixed = mix(docs, id_col=id_col, **options)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select(F.col(f"row.`{id_col}`").alias("doc_id"), "size", "source_size", "target", taken)
 
 
 #: The same rows in DuckDB.  The level is found as the smallest stop at which the share fits.

@@ -192,14 +192,10 @@ def near_duplicates(docs: DataFrame, radius: int = 2, size: int = 3, id_col: str
     other columns are ignored.
     """
     rows = common.cut(fingerprints(docs, size, id_col, text_col))
-    # Equal fingerprints are one node, named by its smallest id, so copies never make links.
-    nodes = common.cut(rows.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    links = links_within(nodes.select("fp"), radius).distinct()
-    name = F.coalesce("node", F.lit((1 << 63) - 1) - F.pmod("fp", F.lit(1 << 40)))
-    named = nodes.select("fp", name.alias("name"), "node")
-    a = named.select(F.col("fp").alias("a"), F.col("name").alias("u"))
-    b = named.select(F.col("fp").alias("b"), F.col("name").alias("v"))
-    found = components(links.join(a, "a").join(b, "b").select("u", "v"))
-    joined = named.join(found, named["name"] == found["node"], "left").select("fp", F.coalesce("component", "name").alias("least"))
-    least = F.when(F.col("least") < F.lit((1 << 63) - 1) - F.lit(1 << 40), F.col("least"))
-    return rows.join(joined, "fp").select("doc_id", "fp", least.alias("component_id"))
+    # Equal fingerprints are one node, so copies never make links.
+    nodes = common.cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(links_within(nodes.select("fp"), radius).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    group = F.coalesce("component", "fp").alias("group")
+    joined = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", group)
+    named = joined.groupBy("group").agg(F.min("least").alias("component_id"))
+    return rows.join(joined.select("fp", "group").join(named, "group"), "fp").select("doc_id", "fp", "component_id")
