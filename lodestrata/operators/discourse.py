@@ -45,14 +45,14 @@ def speaker_party(speeches: DataFrame, memberships: DataFrame) -> DataFrame:
     """
     last = Window.partitionBy("id").orderBy(F.col("pos").desc())
     by_id = memberships.withColumn("_n", F.row_number().over(last)).filter("_n = 1").select(F.col("id").alias("speaker_id"), F.col("on_behalf_of_id").alias("_by_id"))
-    out = speeches.join(by_id, "speaker_id", "left")
-    terms = memberships.select(F.col("person_id").alias("_p"), "pos", F.to_date("start_date").alias("_a"), F.to_date("end_date").alias("_b"), F.col("on_behalf_of_id").alias("_party"))
+    # a person's terms are one row, so speeches are not multiplied
+    term = F.struct("pos", F.to_date("start_date").alias("a"), F.to_date("end_date").alias("b"), F.col("on_behalf_of_id").alias("party"))
+    terms = memberships.groupBy("person_id").agg(F.sort_array(F.collect_list(term)).alias("_terms"))
+    out = speeches.join(by_id, "speaker_id", "left").join(terms, "person_id", "left")
     day = F.to_date("date")
-    hit = speeches.filter(F.col("speaker_id").isNull()).select("speech_id", "person_id", day.alias("_d"))
-    first = hit.join(terms, (hit["person_id"] == terms["_p"]) & (F.col("_d") >= F.col("_a")) & (F.col("_d") <= F.col("_b")))
-    first = first.groupBy("speech_id").agg(F.min_by("_party", "pos").alias("_by_person"))
-    party = F.when(F.col("speaker_id").isNotNull(), F.col("_by_id")).otherwise(F.col("_by_person"))
-    return out.join(first, "speech_id", "left").withColumn("party", party).drop("_by_id", "_by_person")
+    by_person = F.get(F.filter("_terms", lambda t: (day >= t["a"]) & (day <= t["b"])), F.lit(0))["party"]
+    party = F.when(F.col("speaker_id").isNotNull(), F.col("_by_id")).otherwise(by_person)
+    return out.withColumn("party", party).drop("_by_id", "_terms")
 
 
 def length_bucket(df: DataFrame, text: str = "text", tol: float = 0.1) -> DataFrame:
@@ -70,8 +70,10 @@ def count_per_year(df: DataFrame, year: Column, start: int, end: int) -> DataFra
     return years.join(counts, "year", "left").select("year", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+def value_counts(df: DataFrame, col: str, order: str = "count") -> DataFrame:
+    """Rows of each value but null, the most frequent first or (``order="key"``) by value."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(col) if order == "key" else counts.orderBy(F.desc("n"), col)
 
 
 def shares(hits: DataFrame, all_rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,6 +83,14 @@ def shares(hits: DataFrame, all_rows: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys).withColumn("share", F.try_divide("hits", "total"))
 
 
+def share_per_year(hits: DataFrame, all_rows: DataFrame) -> DataFrame:
+    return shares(hits, all_rows, ["year"]).orderBy("year")
+
+
+def share_per_party(hits: DataFrame, all_rows: DataFrame) -> DataFrame:
+    return shares(hits, all_rows, ["party"]).orderBy(F.desc("total"), "party")
+
+
 def split_sentences(df: DataFrame, owner: str, text: str = "text") -> DataFrame:
     return df.select(owner, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
 

@@ -63,10 +63,11 @@ def date_range(df: DataFrame, col: str = "announced_on") -> DataFrame:
     return df.agg(F.min(col).alias("first_date"), F.max(col).alias("last_date"))
 
 
-def org_funding(rounds: DataFrame, start: str | None = None, end: str | None = None, per_round: bool = False) -> DataFrame:
+def org_funding(rounds: DataFrame, start: str | None = None, end: str | None = None, per_round: bool = False, more: tuple[Column, ...] = ()) -> DataFrame:
     """Grant and other totals and counts per company, dates inclusive; every company of ``rounds`` has a row.
 
     A row per round and investor counts a round once for each; ``per_round`` counts it once.
+    ``more``: aggregates to take in the same pass.
     """
     inside = F.lit(True)
     if start:
@@ -86,6 +87,7 @@ def org_funding(rounds: DataFrame, start: str | None = None, end: str | None = N
         F.count(F.when(grant & inside, F.col("funding_round_id"))).alias("num_grants"),
         total(~grant).alias("total_rounds"),
         F.count(F.when(~grant & inside, F.col("funding_round_id"))).alias("num_rounds"),
+        *more,
     )
     return out.withColumn("total_funding", F.col("total_grants") + F.col("total_rounds"))
 
@@ -112,7 +114,7 @@ def investment_flags(
     return orgs.withColumns(
         {
             "investment_metric": metric,
-            "potential_investment_opp": small & at_home & (total < least),
+            "potential_investment_opp": small & at_home & F.coalesce(F.col("total_funding") < least, F.lit(False)),
             "investment_opp": F.when(small & at_home & (total >= least), metric).otherwise(zero),
             "interesting_foreign_opp": F.when(small & F.coalesce(F.col("country_code").isin(*scope), F.lit(False)) & active, metric).otherwise(zero),
         }
@@ -126,9 +128,9 @@ def has_smart_money(orgs: DataFrame, rounds: DataFrame) -> DataFrame:
 
 def is_smart_money(orgs: DataFrame, rounds: DataFrame, relevant: DataFrame) -> DataFrame:
     """Companies that are smart investors: curated ones, and those by type among the relevant ids."""
-    manual = rounds.filter("smart_manual").select(F.col("investor_id").alias("id"))
-    auto = rounds.filter("smart_auto").select(F.col("investor_id").alias("id")).join(relevant.select("id"), "id", "left_semi")
-    ids = manual.union(auto).distinct().withColumn("_hit", F.lit(True))
+    by = rounds.groupBy(F.col("investor_id").alias("id")).agg(F.max("smart_manual").alias("_manual"), F.max("smart_auto").alias("_auto"))
+    by = by.filter("_manual or _auto").join(relevant.select("id", F.lit(True).alias("_relevant")).distinct(), "id", "left")
+    ids = by.filter("_manual or _relevant").select("id", F.lit(True).alias("_hit"))
     return orgs.join(ids, "id", "left").withColumn("smart_money_investor", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
@@ -167,5 +169,18 @@ def conditional_counts(flags: DataFrame, by: str, names: list[str]) -> DataFrame
     return rows.groupBy(by).agg(F.count(F.lit(1)).alias("total"), *[F.sum(F.col(n).cast("long")).alias(f"total_{n}") for n in names])
 
 
+def attach_topic_labels(orgs: DataFrame, labels: DataFrame) -> DataFrame:
+    return orgs.join(labels.select("id", "topic_labels"), "id", "left")
+
+
+def attach_taxonomy(rows: DataFrame, taxonomy: DataFrame, by: str) -> DataFrame:
+    """The category of each row's subcategory (``by``); null where the taxonomy lacks it."""
+    return rows.join(taxonomy.select(F.col("Subcategory").alias(by), F.col("Category").alias("category")), by, "left")
+
+
+def topic_summary(flags: DataFrame, taxonomy: DataFrame, by: str, names: list[str]) -> DataFrame:
+    return attach_taxonomy(conditional_counts(flags, by, names), taxonomy, by).orderBy("category", by)
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_keywords, sentences
@@ -52,13 +52,13 @@ def general_terms_filter(hits: DataFrame, mode: str = "last") -> DataFrame:
     Of several such topics the last in order that has hits decides (``mode="any"``: any
     does); a mission without such hits is not filtered.
     """
-    general = hits.filter(F.contains(F.lower("topic"), F.lit("general terms")))
-    if mode == "last":
-        last = general.groupBy("mission").agg(F.max("topic").alias("topic"))
-        general = general.join(last, ["mission", "topic"], "left_semi")
-    filtered = general.select("mission").distinct()
-    kept = hits.join(general.select("mission", "id").distinct(), ["mission", "id"], "left_semi")
-    return kept.select("id", "mission", "topic").unionByName(hits.join(filtered, "mission", "left_anti").select("id", "mission", "topic"))
+    general = F.contains(F.lower("topic"), F.lit("general terms"))
+    # one row a mission, whatever the texts
+    last = hits.filter(general).groupBy("mission").agg(F.max("topic").alias("_last"))
+    told = hits.join(last, "mission", "left")
+    decides = (F.col("topic") == F.col("_last")) if mode == "last" else general
+    hit = F.max(decides).over(Window.partitionBy("mission", "id"))
+    return told.withColumn("_hit", hit).filter("_last is null or _hit").select("id", "mission", "topic")
 
 
 def collapse_labels(hits: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def apply_classifiers(df: DataFrame, models: dict[str, PipelineModel]) -> DataFr
 
 
 def topics(df: DataFrame, k: int = 5, vocabulary: int = 2000) -> DataFrame:
-    """Most probable topic of each text and its probability."""
+    """Most probable topic of each text and its probability; the ``vocabulary`` most frequent words count."""
     stages = [
         RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"\W+"),
         StopWordsRemover(inputCol="_words", outputCol="_kept"),
@@ -85,18 +85,20 @@ def topics(df: DataFrame, k: int = 5, vocabulary: int = 2000) -> DataFrame:
     return out.select("id", (F.array_position("_p", best) - 1).cast("int").alias("topic"), best.alias("probability"))
 
 
-def knn_classify(train: DataFrame, rows: DataFrame, k: int = 5, block: int = 512) -> DataFrame:
+def knn_classify(train: DataFrame, rows: DataFrame, k: int = 5, block: int = 512, asked: int = 4096) -> DataFrame:
     """Majority label among the ``k`` nearest training vectors (ties: the smaller label).
 
-    The training set is a hand-labelled table; it is dealt into blocks, each row meets
-    every block, and a block returns its ``k`` nearest only.
+    The training set is a hand-labelled table.  It is dealt into blocks and the rows to classify into parts of ``asked``;
+    each part meets each block, which returns its ``k`` nearest only.
     """
     import numpy as np
     import pandas as pd
 
     n = max(1, -(-train.count() // block))
     left = train.select(F.col("id").alias("n_id"), "embedding", "label", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("part"))
-    right = rows.select("id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"))
+    turns = max(1, -(-rows.count() // asked))
+    left = left.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    right = rows.select("id", "embedding", F.pmod(F.xxhash64("id"), F.lit(turns)).cast("int").alias("turn"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"))
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
@@ -109,7 +111,7 @@ def knn_classify(train: DataFrame, rows: DataFrame, k: int = 5, block: int = 512
             out.append(pd.DataFrame({"id": i, "n_id": ids[top], "label": a["label"].to_numpy()[top], "d": d[top]}))
         return pd.concat(out)
 
-    near = left.groupBy("part").cogroup(right.groupBy("part")).applyInPandas(meet, "id long, n_id long, label int, d double")
+    near = left.groupBy("part", "turn").cogroup(right.groupBy("part", "turn")).applyInPandas(meet, "id long, n_id long, label int, d double")
     w = Window.partitionBy("id").orderBy("d", "n_id")
     votes = near.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).groupBy("id", "label").agg(F.count(F.lit(1)).alias("v"))
     return votes.groupBy("id").agg(F.max_by("label", F.struct("v", -F.col("label"))).alias("pred"))

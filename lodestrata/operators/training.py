@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import sample_key
@@ -35,9 +35,39 @@ def upsert(store: DataFrame, new: DataFrame, key: str = "id", order: str = "pos"
     return both.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n", "_batch")
 
 
+def upsert_debates(old: DataFrame | None, new: DataFrame, reset: bool = False) -> DataFrame:
+    """Speeches by ``speech_id``, new before old; ``reset`` replaces all that was there."""
+    return upsert(new.limit(0) if reset or old is None else old, new, "speech_id")
+
+
+def stamp_labels(df: DataFrame, label_type: str, dataset: str, ts: Column | None = None) -> DataFrame:
+    """How and for what the labels were made, and when (``ts``; now if not given)."""
+    stamp = F.date_format(F.current_timestamp() if ts is None else ts, "yyyyMMdd-HHmm")
+    return df.withColumns({"label_type": F.lit(label_type), "dataset": F.lit(dataset), "label_date": stamp})
+
+
+def _cut_at(df: DataFrame, n: int | None, seed: int, id_col: str, frac: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` rows (or ``frac`` of all) in a repeatable random order, and the others.
+
+    Counts by the first digits of the key (65,536 at most) tell in which of these parts the cut
+    lies; only that part's rows are ranked, so nothing is sorted as a whole.
+    """
+    rows = df.withColumn("_key", sample_key(F.col(id_col), seed)).withColumn("_part", F.substring("_key", 1, 4))
+    counts = sorted((r["_part"], r["count"]) for r in rows.groupBy("_part").count().collect())
+    left, at = int(sum(c for _, c in counts) * frac) if n is None else n, ""
+    for at, count in counts:
+        if count >= left:
+            break
+        left -= count
+    ranked = rows.filter(F.col("_part") == at).withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("_key", id_col)))
+    drop = ["_key", "_part"]
+    first = rows.filter(F.col("_part") < at).drop(*drop).unionByName(ranked.filter(F.col("_n") <= left).drop("_n", *drop))
+    return first, rows.filter(F.col("_part") > at).drop(*drop).unionByName(ranked.filter(F.col("_n") > left).drop("_n", *drop))
+
+
 def sample_n(df: DataFrame, n: int, seed: int, id_col: str = "id") -> DataFrame:
-    """Exactly ``n`` rows in a repeatable random order."""
-    return df.orderBy(sample_key(F.col(id_col), seed), id_col).limit(n)
+    """Exactly ``n`` rows, the first in a repeatable random order (all, if there are fewer)."""
+    return _cut_at(df, n, seed, id_col)[0]
 
 
 def sample_per_bucket(df: DataFrame, bucket: str, n: int, seed: int, id_col: str = "id") -> DataFrame:
@@ -50,8 +80,7 @@ def train_val_split(df: DataFrame, seed: int, frac: float = 0.8, id_col: str = "
     if approx:
         u = F.conv(F.substring(sample_key(F.col(id_col), seed), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
         return df.filter(u < frac), df.filter(u >= frac)
-    train = sample_n(df, int(df.count() * frac), seed, id_col)
-    return train, df.join(train.select(id_col), id_col, "left_anti")
+    return _cut_at(df, None, seed, id_col, frac)
 
 
 def negative_sample(df: DataFrame, n: int, seed: int) -> DataFrame:

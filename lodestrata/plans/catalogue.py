@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 
 def _modules() -> list:
-    from . import companies, texts
+    from . import companies, files, texts
 
-    return [companies, texts]
+    return [companies, files, texts]
 
 
 def queries() -> dict[str, Callable]:

@@ -36,9 +36,11 @@ RATES = """SELECT CASE n WHEN 0 THEN 'GBP' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR' E
 
 def rates(spark, d):
     """Sparse rates (a supplier gives a currency's rate on a day); of one day's the highest counts."""
-    load(spark, d, "supplier").createOrReplaceTempView("_fx_supplier")
-    load(spark, d, "orders").createOrReplaceTempView("_fx_orders")
-    rows = spark.sql(RATES.replace("FROM supplier", "FROM _fx_supplier").replace("JOIN orders", "JOIN _fx_orders"))
+    suppliers, orders = load(spark, d, "supplier"), load(spark, d, "orders")
+    first = orders.join(suppliers, F.col("o_custkey") == F.col("s_suppkey")).groupBy("s_suppkey").agg(F.min(F.col("o_orderdate").cast("date")).alias("rate_date"))
+    n = F.col("s_suppkey") % 3
+    currency = F.when(n == 0, "GBP").when(n == 1, "USD").otherwise("EUR").alias("currency")
+    rows = first.select(currency, "rate_date", F.when(n == 2, 1.0).otherwise((100 + n * 7 + F.col("s_suppkey") % 13) / 100.0).alias("units_per_eur"))
     return rows.groupBy("currency", "rate_date").agg(F.max("units_per_eur").cast("double").alias("units_per_eur"))
 
 
@@ -57,9 +59,11 @@ def funded(spark, d):
 
 
 def flagged(spark, d):
-    orgs = O.investment_flags(funded(spark, d), SCOPE)
+    """One pass over rounds and investors for each company's figures, one for each investor's."""
     links = rounds_inv(spark, d)
-    orgs = O.has_smart_money(orgs, links)
+    orgs = load(spark, d, ORGS).withColumn("employees", S.employee_max(F.col("employee_count")))
+    orgs = O.attach_funding(orgs, O.org_funding(links, more=(F.max("smart_money").alias("has_smart_money"),)))
+    orgs = O.investment_flags(orgs, SCOPE).withColumn("has_smart_money", F.coalesce("has_smart_money", F.lit(False)))
     orgs = O.is_smart_money(orgs, links, load(spark, d, ORGS).filter(F.col("id") % 2 == 0))
     return O.org_flags(orgs, SCOPE)
 
@@ -83,7 +87,7 @@ Q_FUNDED = f"""(SELECT o.*, {Q_EMP} AS employees, total_grants, num_grants, tota
  FROM {sql(ORGS)} o LEFT JOIN {Q_FUNDING} f ON f.org_id = o.id)"""
 Q_METRIC = "round(CASE WHEN coalesce(total_funding, 0) <= 10000 THEN 1.0 ELSE exp(ln(0.1) / 10000 * (coalesce(total_funding, 0) - 10000)) END, 3)"
 Q_OPP = f"""(SELECT *, {Q_METRIC} AS investment_metric,
- employees <= 100 AND country_code = 'GBR' AND coalesce(total_funding, 0) < 1000 AS potential_investment_opp,
+ employees <= 100 AND country_code = 'GBR' AND coalesce(total_funding < 1000, false) AS potential_investment_opp,
  CASE WHEN employees <= 100 AND country_code = 'GBR' AND coalesce(total_funding, 0) >= 1000 THEN {Q_METRIC} ELSE 0.0 END AS investment_opp,
  CASE WHEN employees <= 100 AND country_code IN ('GBR','FRA','DEU','ROM') AND coalesce(num_rounds > 0 OR num_grants > 0, false) THEN {Q_METRIC} ELSE 0.0 END
    AS interesting_foreign_opp FROM {Q_FUNDED})"""
@@ -226,11 +230,14 @@ def b22(spark, d):
     return rows.select("id", S.preds_to_label({"AHL": "p2", "ASF": "p3", "AFS": "p5"}).alias("label"))
 
 
-@query("B23_stamp_labels")
+@query(
+    "B23_stamp_labels",
+    f"""SELECT id, short_description, 'model' AS label_type, 'companies' AS dataset, (SELECT strftime(max(o_orderdate), '%Y%m%d-%H%M') FROM orders) AS label_date
+ FROM {sql(ORGS)}""",
+)
 def b23(spark, d):
-    rows = load(spark, d, ORGS).select("id", "short_description")
-    stamp = F.date_format(F.current_timestamp(), "yyyyMMdd-HHmm")
-    return rows.withColumns({"label_type": F.lit("model"), "dataset": F.lit("companies"), "label_date": stamp})
+    at = load(spark, d, "orders").agg(F.max("o_orderdate").cast("timestamp")).scalar()
+    return T.stamp_labels(load(spark, d, ORGS).select("id", "short_description"), "model", "companies", at)
 
 
 @query("C1_org_rounds", f"SELECT o.id AS org_id, o.name AS org_name, r.* EXCLUDE (org_id) FROM {sql(ORGS)} o LEFT JOIN {Q_ROUNDS} r ON r.org_id = o.id")
@@ -271,13 +278,15 @@ def c6(spark, d):
     return O.is_smart_money(orgs, rounds_inv(spark, d), orgs.filter(F.col("id") % 2 == 0)).select("id", "smart_money_investor")
 
 
-@query("C7_attach_topic_labels", f"SELECT o.id, o.name, x.description AS topic_labels FROM {sql(ORGS)} o LEFT JOIN (SELECT * FROM {sql(DESCRIPTIONS)} WHERE id % 2 = 0) x ON x.id = o.id")
+TOPICS = ("supplier", "s_suppkey AS id", "s_name AS topic_labels")
+
+
+@query("C7_attach_topic_labels", f"SELECT o.id, o.name, x.topic_labels FROM {sql(ORGS)} o LEFT JOIN {sql(TOPICS)} x ON x.id = o.id")
 def c7(spark, d):
-    labels = load(spark, d, DESCRIPTIONS).filter("id % 2 = 0").withColumnRenamed("description", "topic_labels")
-    return load(spark, d, ORGS).select("id", "name").join(labels, "id", "left")
+    return O.attach_topic_labels(load(spark, d, ORGS).select("id", "name"), load(spark, d, TOPICS))
 
 
-Q_TAX = "(SELECT DISTINCT p_type AS \"Subcategory\", split_part(p_type, ' ', 1) AS \"Category\" FROM part)"
+Q_TAX = "(SELECT p_type AS \"Subcategory\", min(p_brand) AS \"Category\" FROM part WHERE p_size < 25 GROUP BY 1)"
 
 
 @query(
@@ -286,8 +295,8 @@ Q_TAX = "(SELECT DISTINCT p_type AS \"Subcategory\", split_part(p_type, ' ', 1)
 )
 def c9(spark, d):
     parts = load(spark, d, "part")
-    tax = parts.select("p_type", F.split("p_type", " ")[0].alias("category")).distinct()
-    return parts.groupBy("p_type").agg(F.count(F.lit(1)).alias("n")).join(tax, "p_type", "left")
+    tax = parts.filter("p_size < 25").groupBy(F.col("p_type").alias("Subcategory")).agg(F.min("p_brand").alias("Category"))
+    return O.attach_taxonomy(parts.groupBy("p_type").agg(F.count(F.lit(1)).alias("n")), tax, "p_type")
 
 
 @query(
@@ -329,15 +338,21 @@ def d7(spark, d):
     return O.conditional_counts(flagged(spark, d), "mission_labels", FLAGS)
 
 
+Q_SEGMENTS = """(SELECT c_mktsegment AS "Subcategory", min(r_name) AS "Category" FROM customer JOIN nation ON n_nationkey = c_nationkey
+ JOIN region ON r_regionkey = n_regionkey WHERE c_mktsegment < 'M' GROUP BY 1)"""
+
+
 @query(
     "D8_topic_summary",
-    f"""SELECT s.*, CASE WHEN short_description < 'H' THEN 'early' ELSE 'late' END AS category FROM
- ({_summary('short_description')} FROM (SELECT * REPLACE (coalesce(short_description, '') AS short_description) FROM {Q_FLAGS}) GROUP BY 1) s""",
+    f"""SELECT s.*, t."Category" AS category FROM
+ ({_summary('short_description')} FROM (SELECT * REPLACE (coalesce(short_description, '') AS short_description) FROM {Q_FLAGS}) GROUP BY 1) s
+ LEFT JOIN {Q_SEGMENTS} t ON t."Subcategory" = s.short_description""",
 )
 def d8(spark, d):
-    out = O.conditional_counts(flagged(spark, d), "short_description", FLAGS)
-    tax = out.select("short_description", F.when(F.col("short_description") < "H", "early").otherwise("late").alias("category"))
-    return out.join(tax, "short_description", "left").orderBy("category", "short_description")
+    nations = load(spark, d, "nation").join(load(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    tax = load(spark, d, "customer").filter("c_mktsegment < 'M'").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    tax = tax.groupBy(F.col("c_mktsegment").alias("Subcategory")).agg(F.min("r_name").alias("Category"))
+    return O.topic_summary(flagged(spark, d), tax, "short_description", FLAGS)
 
 
 @query("D17_org_categories", "SELECT DISTINCT p_brand AS category_group, unnest(string_split(p_name, ' ')) AS category FROM part")

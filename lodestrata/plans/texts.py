@@ -399,7 +399,12 @@ def d9(spark, d):
 
 @query("D10_value_counts", f"SELECT party, count(*) AS n FROM {sql(SPEECHES)} WHERE party IS NOT NULL GROUP BY 1 ORDER BY n DESC, party")
 def d10(spark, d):
-    return D.value_counts(load(spark, d, SPEECHES), "party").orderBy(F.desc("n"), "party")
+    return D.value_counts(load(spark, d, SPEECHES), "party")
+
+
+@query("D10_value_counts_by_key", f"SELECT year, count(*) AS n FROM {sql(SPEECHES)} WHERE year IS NOT NULL GROUP BY 1 ORDER BY year")
+def d10b(spark, d):
+    return D.value_counts(load(spark, d, SPEECHES), "year", "key")
 
 
 def _share(keys: str) -> str:
@@ -409,7 +414,12 @@ def _share(keys: str) -> str:
 
 @query("D11_share_per_party", _share("party").format(sql(SPEECHES)))
 def d11(spark, d):
-    return D.shares(*_said(spark, d), ["party"]).withColumn("share", F.round("share", 9))
+    return D.share_per_party(*_said(spark, d)).withColumn("share", F.round("share", 9))
+
+
+@query("D11_share_per_year", _share("year").format(sql(SPEECHES)))
+def d11b(spark, d):
+    return D.share_per_year(*_said(spark, d)).withColumn("share", F.round("share", 9))
 
 
 Q_TERMED = f"(SELECT *, {TERM.format('make_date(year, 7, 1)').replace(chr(39) + '2', 'DATE ' + chr(39) + '2')} AS term FROM {sql(SPEECHES)})"
@@ -601,9 +611,9 @@ def h5(spark, d):
 # --- pyspark.ml jobs: no SQL equivalent
 
 
-def labelled(spark, d):
+def labelled(spark, d, label="quality"):
     rows = load(spark, d, "documents").join(load(spark, d, "labels"), "doc_id")
-    return rows.selectExpr("doc_id AS id", "text", "quality AS relevant")
+    return rows.selectExpr("doc_id AS id", "text", f"CAST({label} AS INT) AS relevant")
 
 
 @query("H1_add_embeddings")
@@ -617,7 +627,7 @@ def h1(spark, d):
 def h2(spark, d):
     from ..operators.learning import add_embeddings, fit_linear_grid
 
-    _, scores = fit_linear_grid(add_embeddings(labelled(spark, d)), folds=3)
+    _, scores = fit_linear_grid(add_embeddings(labelled(spark, d)))
     return spark.createDataFrame([(i, float(s)) for i, s in enumerate(scores)], "setting int, accuracy double")
 
 
@@ -625,26 +635,26 @@ def h2(spark, d):
 def h3(spark, d):
     from ..operators.learning import add_embeddings, fit_linear_grid, svc_predict
 
-    rows = add_embeddings(labelled(spark, d))
-    model, _ = fit_linear_grid(rows, grid=(0.01,), folds=2)
-    return svc_predict(rows, model).select("id", "predictions", "prediction_model")
+    train, rest = T.train_val_split(add_embeddings(labelled(spark, d)), 13)
+    model, _ = fit_linear_grid(train)
+    return svc_predict(rest, model).select("id", "predictions", "prediction_model")
 
 
 @query("H4_fit_logistic")
 def h4(spark, d):
     from ..operators.learning import add_embeddings, fit_logistic, svc_predict
 
-    rows = add_embeddings(labelled(spark, d))
-    return svc_predict(rows.withColumnRenamed("prediction", "given"), fit_logistic(rows), "logistic").select("id", "predictions", "prediction_model")
+    train, rest = T.train_val_split(add_embeddings(labelled(spark, d)), 13)
+    return svc_predict(rest, fit_logistic(train), "logistic").select("id", "predictions", "prediction_model")
 
 
 @query("H6_apply_classifiers")
 def h6(spark, d):
     from ..operators.learning import apply_classifiers, fit_text_classifier
 
-    rows = labelled(spark, d)
-    model, _ = fit_text_classifier(rows, grid=(0.01,))
-    return apply_classifiers(rows.select("id", "text"), {"ahl": model, "asf": model, "afs": model}).drop("text")
+    labels = {"ahl": "quality", "asf": "toxic", "afs": "lang = 'en'"}
+    models = {name: fit_text_classifier(labelled(spark, d, label))[0] for name, label in labels.items()}
+    return apply_classifiers(load(spark, d, TEXTS).filter("text is not null").select("id", "text"), models).drop("text")
 
 
 @query("H7_fit_text_classifier")

@@ -53,13 +53,13 @@ def parse_files(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, ROWS)
 
 
-def debates(rows: DataFrame, strict: bool = False) -> DataFrame:
-    """Speeches with headings, date and year."""
+def debates(rows: DataFrame, strict: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Speeches with headings, date and year, and the columns of ``keep``."""
     named = rows.withColumn("text", clean_lines(F.col("text")))
     out = headings(named, strict).withColumn("date", date_from_path(F.col("path")))
     return out.select(
         F.col("id").alias("speech_id"), "speakername", F.col("speakerid").alias("speaker_id"), "person_id", F.col("text").alias("speech"),
-        "date", F.substring("date", 1, 4).alias("year"), "major_heading", "minor_heading",
+        "date", F.substring("date", 1, 4).alias("year"), "major_heading", "minor_heading", *keep,
     )
 
 

@@ -130,6 +130,15 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     writer.format(kind).save(path)
 
 
+def export_csv(df: DataFrame, path: str) -> None:
+    """The table as CSV with a header and no index, replacing what is there."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def export_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
 def validate_geojson(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of a known ``type``, and the others."""
     if "type" not in df.columns:
@@ -159,6 +168,10 @@ def incremental_files(spark: SparkSession, manifest: str, root: str, done: DataF
     return out if done is None else out.join(done.select("name"), "name", "left_anti")
 
 
+def all_debate_files(spark: SparkSession, root: str) -> DataFrame:
+    return list_files(spark, root, "*.xml")
+
+
 def year_of_file(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, r"debates(\d{4})-", 1), F.lit(""))
 

@@ -1,7 +1,13 @@
-"""Incremental enrichment of debate files with Structured Streaming."""
+"""Incremental enrichment of debate files with Structured Streaming.
+
+A store is a folder of generations; a generation is what a rebuild wrote plus a folder for
+each stream batch since.  A batch writes its own rows only, and running it again writes
+the same folder; readers merge by key, the newest file's row last.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +16,11 @@ from pyspark.sql import functions as F
 from ..operators.keywords import collapse_labels, keyword_match
 from ..operators.training import upsert
 from ..sources.debates import debates, parse_files
-from ..sources.tables import exists
+from ..sources.tables import exists, list_dirs
 
 BINARY = "path string, modificationTime timestamp, length long, content binary"
+KEYS = {"debates": "speech_id", "keyword_labels": "id", "ml_labels": "id"}
+BASE = "batch=base"
 
 
 def stream_debates(spark: SparkSession, root: str) -> DataFrame:
@@ -20,50 +28,72 @@ def stream_debates(spark: SparkSession, root: str) -> DataFrame:
     return spark.readStream.format("binaryFile").schema(BINARY).option("pathGlobFilter", "*.xml").option("recursiveFileLookup", True).load(root)
 
 
-def _replace(df: DataFrame, store: str, batch: int) -> None:
-    """Write a new version of a keyed store beside the old ones; the highest version is the store."""
-    df.write.mode("overwrite").parquet(f"{store}/version={batch:012d}")
+def all_files(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(root)
+
+
+def _generation(spark: SparkSession, store: str) -> int:
+    """The newest generation whose base was written to the end; 0 (which needs none) if there is no such."""
+    found = [int(d.removeprefix("generation=")) for d in (list_dirs(spark, store) if exists(spark, store) else []) if d.startswith("generation=")]
+    return max((g for g in found if exists(spark, f"{store}/generation={g:06d}/{BASE}/_SUCCESS")), default=0)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame | None:
-    if not exists(spark, store):
+    """The store's rows, each key's newest; None if there are none yet."""
+    folder = f"{store}/generation={_generation(spark, store):06d}"
+    if not exists(spark, folder):
         return None
-    rows = spark.read.parquet(store)
-    return rows.filter(F.col("version") == rows.agg(F.max("version")).first()[0]).drop("version")
+    key = KEYS[store.rstrip("/").rsplit("/", 1)[-1]]
+    rows = spark.read.option("mergeSchema", True).parquet(folder).drop("batch")
+    return upsert(rows.limit(0), rows, key, "stamp").drop("stamp")
 
 
 def enrich(speeches: DataFrame, dictionary: DataFrame) -> DataFrame:
-    texts = speeches.select(F.col("speech_id").alias("id"), F.col("speech").alias("text"))
+    texts = speeches.select(F.col("speech_id").alias("id"), F.col("speech").alias("text"), "stamp")
     return collapse_labels(keyword_match(texts, dictionary)).join(texts, "id")
 
 
+def _tables(files: DataFrame, dictionary: DataFrame, models: Callable[[DataFrame], DataFrame] | None) -> dict[str, DataFrame]:
+    """The rows that files bring to each store; of a speech that several files hold the newest counts."""
+    # a file's time orders its rows against other files', its place those within it
+    stamps = files.select("path", F.col("modificationTime").alias("time"))
+    rows = parse_files(files).join(stamps, "path")
+    all_rows = debates(rows, keep=("path", "pos", "time")).withColumn("stamp", F.struct("time", "path", "pos")).drop("path", "pos", "time")
+    speeches = upsert(all_rows.limit(0), all_rows, "speech_id", "stamp")
+    out = {"debates": speeches, "keyword_labels": enrich(speeches, dictionary)}
+    if models:
+        texts = speeches.select(F.col("speech_id").alias("id"), F.col("speech").alias("text"), "stamp")
+        out["ml_labels"] = models(texts)
+    return out
+
+
 def stream_enrich(files: DataFrame, dictionary: DataFrame, stores: str, checkpoint: str, models: Callable[[DataFrame], DataFrame] | None = None):
-    """Parse, label and upsert each batch of files; running a batch again writes the same versions.
+    """Parse, label and upsert each batch of files; running a batch again writes the same folders.
 
-    ``models`` adds prediction columns to (id, text) rows.
+    ``models`` adds prediction columns to (id, text, stamp) rows.  Another checkpoint's batches have folders of their own.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        speeches = debates(parse_files(df)).withColumn("pos", F.lit(number))
-        labels = enrich(speeches, dictionary).withColumn("pos", F.lit(number))
-        parts = {"debates": (speeches, "speech_id"), "keyword_labels": (labels, "id")}
-        if models:
-            rows = speeches.select(F.col("speech_id").alias("id"), F.col("speech").alias("text"))
-            parts["ml_labels"] = (models(rows).withColumn("pos", F.lit(number)), "id")
-        for name, (new, key) in parts.items():
-            old = read_store(spark, f"{stores}/{name}")
-            old = old.filter(F.col("pos") < number) if old is not None else new.limit(0)
-            _replace(upsert(old, new, key), f"{stores}/{name}", number + 1)
+        for name, new in _tables(df, dictionary, models).items():
+            store = f"{stores}/{name}"
+            new.write.mode("overwrite").parquet(f"{store}/generation={_generation(spark, store):06d}/batch={run}-{number:012d}")
 
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def full_rebuild(spark: SparkSession, root: str, dictionary: DataFrame, stores: str) -> None:
-    """All files at once, replacing the stores."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(root)
-    speeches = debates(parse_files(files)).withColumn("pos", F.lit(0))
-    last = upsert(speeches.limit(0), speeches, "speech_id")
-    last.write.mode("overwrite").parquet(f"{stores}/debates/version={0:012d}")
-    labels = enrich(last, dictionary).withColumn("pos", F.lit(0))
-    labels.write.mode("overwrite").parquet(f"{stores}/keyword_labels/version={0:012d}")
+def full_rebuild(spark: SparkSession, root: str, dictionary: DataFrame, stores: str, models: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """All files at once, replacing the stores: a new generation, which counts from when it is whole."""
+    for name, rows in _tables(all_files(spark, root), dictionary, models).items():
+        store = f"{stores}/{name}"
+        rows.write.mode("overwrite").parquet(f"{store}/generation={_generation(spark, store) + 1:06d}/{BASE}")
+
+
+def update(spark: SparkSession, root: str, dictionary: DataFrame, stores: str, checkpoint: str, models: Callable[[DataFrame], DataFrame] | None = None, full: bool = False) -> None:
+    """New files only, or all of them if that is asked for or both label stores are empty."""
+    held = [read_store(spark, f"{stores}/{name}") for name in ("keyword_labels", "ml_labels")]
+    if full or all(s is None or s.isEmpty() for s in held):
+        full_rebuild(spark, root, dictionary, stores, models)
+    else:
+        stream_enrich(stream_debates(spark, root), dictionary, stores, checkpoint, models).awaitTermination()
