@@ -23,7 +23,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import compress
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -122,16 +122,23 @@ class Lattice:
         >>> Lattice(["a", "b</w>", "ab</w>"], np.log([.5, .2, .1])).score(["ab", "b", "ba"])[:, 0].round(3).tolist()
         [-1.609, -1.609, -inf]
         """
-        return self._by_length(words, None, None)
+        return self._by_length(words, self.logs, None)
 
     def expect(self, words: list[str], used: np.ndarray) -> np.ndarray:
         """[piece, component]: the pieces' expected uses in the words, each under the components for which ``used`` [word, component] is set."""
         counts = np.zeros((len(self.logs) - 1, self.logs.shape[1]))
-        self._by_length(words, used, counts)
+        # words of the same components go together, through these only
+        kind = used @ (1 << np.arange(used.shape[1]))
+        for value in np.unique(kind).tolist():
+            at, columns = np.flatnonzero(kind == value), [k for k in range(used.shape[1]) if value >> k & 1]
+            if columns:
+                part = np.zeros((len(counts), len(columns)))
+                self._by_length([words[w] for w in at.tolist()], self.logs[:, columns], part)
+                counts[:, columns] += part
         return counts
 
-    def _by_length(self, words: list[str], used: np.ndarray | None, counts: np.ndarray | None) -> np.ndarray:
-        width = self.logs.shape[1]
+    def _by_length(self, words: list[str], logs: np.ndarray, counts: np.ndarray | None) -> np.ndarray:
+        width = logs.shape[1]
         out = np.full((len(words), width), -np.inf)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for n in np.unique(lengths).tolist():
@@ -141,24 +148,32 @@ class Lattice:
                 ahead[0] = 0
                 kept = []
                 for j, (i, ids) in enumerate(self.edges([words[w] for w in part], n), 1):
-                    ahead[j] = _log_sum(ahead[i:j] + self.logs[ids])
+                    ahead[j] = _log_sum(ahead[i:j] + logs[ids])
                     if counts is not None:
                         kept.append((i, ids))
                 out[part] = ahead[n]
                 if counts is not None:
-                    self._uses(ahead, kept, used[part], counts)
+                    _uses(ahead, kept, logs, counts)
         return out
 
-    def _uses(self, ahead: np.ndarray, edges: list[tuple[int, np.ndarray]], used: np.ndarray, counts: np.ndarray) -> None:
-        """The backward recursion: what each piece contributes to the sums over all segmentations."""
-        back = np.full(ahead.shape, -np.inf)
-        back[-1] = np.where(np.isfinite(ahead[-1]) & used, -ahead[-1], -np.inf)
-        for j in range(len(edges), 0, -1):
-            i, ids = edges[j - 1]
-            onward = self.logs[ids] + back[j]
-            back[i:j] = np.logaddexp(back[i:j], onward)
-            hit = ids >= 0
-            np.add.at(counts, ids[hit], np.exp(ahead[i:j][hit] + onward[hit]))
+
+def _uses(ahead: np.ndarray, edges: list[tuple[int, np.ndarray]], logs: np.ndarray, counts: np.ndarray) -> None:
+    """From the end back: with which probability a segmentation has a border at a place, and so takes each piece that ends there."""
+    border = np.zeros(ahead.shape)
+    border[-1] = np.isfinite(ahead[-1])
+    pieces, shares = [], []
+    for j in range(len(edges), 0, -1):
+        i, ids = edges[j - 1]
+        start, word = np.nonzero(ids >= 0)
+        found, start = ids[start, word], start + i
+        here = np.where(np.isfinite(ahead[j]), ahead[j], 0.0)
+        share = np.exp(ahead[start, word] + logs[found] - here[word]) * border[j][word]
+        border[start, word] += share
+        pieces.append(found)
+        shares.append(share)
+    pieces, shares = np.concatenate(pieces), np.concatenate(shares)
+    for k in range(counts.shape[1]):
+        counts[:, k] += np.bincount(pieces, shares[:, k], len(counts))
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
@@ -185,7 +200,7 @@ def word_counts(rows: DataFrame, classes: int) -> DataFrame:
         for batch in batches:
             for k, body in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 seen[k].update(body.lower().split())
-                if len(seen[k]) * (classes + 2) > FLUSH:
+                if sum(map(len, seen)) > FLUSH:
                     yield from flush()
         yield from flush()
 
@@ -346,25 +361,23 @@ def score_texts(
     def score_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, values = head.value
         for batch in batches:
-            rare: list[list] = [[], [], []]
-            sums = []
+            rare, times, sums = [], [], []
             for i, body in enumerate(batch[2].to_pylist()):
                 words = Counter(body.lower().split())
                 k = np.fromiter(words.values(), np.int64, len(words))
-                at = np.fromiter((numbers.get(w, -1) for w in words), np.int64, len(words))
+                at = np.fromiter(map(numbers.get, words, repeat(-1)), np.int64, len(words))
                 mine = k[at >= 0] @ values[at[at >= 0]]
-                spelled = list(compress(words, (at < 0).tolist()))
-                rare[0] += [i] * len(spelled)
-                rare[1] += spelled
-                rare[2] += k[at < 0].tolist()
+                rare += compress(words, (at < 0).tolist())
+                times.append(k[at < 0])
                 # a word with a space in it matches none, and keeps these rows apart
                 sums.append((b" %d" % i, int(k.sum()) + 1, int(mine[0]) + (n_docs > 0), mine[1] + base_end, *(mine[2:] + model.end).tolist()))
-            at = pa.array([*rare[0], *range(batch.num_rows)], pa.int64())
-            zeros = [0] * len(rare[0])
-            columns = [[*rare[1], *(s[0] for s in sums)], [*rare[2], *[0] * len(sums)], *([*zeros, *(s[k] for s in sums)] for k in range(1, 5 + size))]
-            kinds = [pa.binary(), *[pa.int64()] * 3, *[pa.float64()] * (2 + size)]
+            rows = np.arange(batch.num_rows)
+            at = pa.array(np.append(np.repeat(rows, [len(t) for t in times]), rows))
+            words = pa.array([*rare, *(s[0] for s in sums)], pa.binary())
+            uses = np.concatenate([*times, np.zeros(len(sums), np.int64)])
+            own = [np.append(np.zeros(len(rare), kind), np.array([s[k] for s in sums], kind)) for k, kind in enumerate([np.int64] * 2 + [np.float64] * (2 + size), 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch[0].take(at), batch[1].take(at), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                [batch[0].take(at), batch[1].take(at), words, pa.array(uses), *(pa.array(c) for c in own)],
                 ["doc_id", "tkey", "word", "times", "n_tokens", "n_known", "base", *owns],
             )
 
