@@ -34,11 +34,12 @@ def add_embeddings(df: DataFrame, encoder: PipelineModel | None = None, name: st
 
 def fit_linear_grid(df: DataFrame, grid: tuple[float, ...] = (0.001, 0.01, 0.1), folds: int = 5) -> tuple[PipelineModel, list[float]]:
     """Cross-validated linear support vectors on ``embedding``: the best model and each setting's mean accuracy."""
-    rows = df.withColumn("features", array_to_vector("embedding"))
+    rows = df.withColumn("features", array_to_vector("embedding")).select("features", "relevant").persist()  # each fit reads them again
     svc = LinearSVC(labelCol="relevant", maxIter=10)
     params = ParamGridBuilder().addGrid(svc.regParam, list(grid)).build()
     metric = MulticlassClassificationEvaluator(labelCol="relevant", metricName="accuracy")
     found = CrossValidator(estimator=svc, estimatorParamMaps=params, evaluator=metric, numFolds=folds, seed=13).fit(rows)
+    rows.unpersist()
     return found.bestModel, list(found.avgMetrics)
 
 
