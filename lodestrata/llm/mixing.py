@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import _common as common
 
 WEIGHTS = (5, 2, 1)
+#: Sources whose running sums one task takes.
+PART = 100_000
 
 
 def word_count(text_col: str = "text") -> Column:
@@ -15,6 +17,25 @@ def word_count(text_col: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(common.WORD)), F.lit(0)).cast("long")
 
 
+def _before(rows: DataFrame, order: list[Column], sums: list[str]) -> DataFrame:
+    """``before_<name>`` for each of ``sums``: its sum over the rows that come earlier in ``order`` (which tells all rows apart).
+
+    Rows are ranged by the order, PART to a task; the tasks' totals, a row each, give the ranges' starts.
+    """
+    parts = max(1, -(-rows.count() // PART))
+    ranged = common.cut(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
+    totals = sorted(ranged.groupBy("part").agg(*[F.sum(c).alias(c) for c in sums]).collect())
+    starts, so_far = [], [0] * len(sums)
+    for part, *values in totals:
+        starts.append((part, *so_far))
+        so_far = [a + b for a, b in zip(so_far, values, strict=True)]
+    start = rows.sparkSession.createDataFrame(starts, "part int, " + ", ".join(f"start_{c} long" for c in sums))
+    earlier = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.join(F.broadcast(start), "part")
+    out = out.withColumns({f"before_{c}": F.col(f"start_{c}") + F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums})
+    return out.drop("part", *[f"start_{c}" for c in sums])
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = 3.0) -> DataFrame:
     """(source, source_size, target) from (source, size) rows.
 
@@ -25,22 +46,19 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: f
     sharing ends follows from running sums over the sources (one row each).
     """
     by = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
+    name = F.col("source").asc_nulls_last()
     turn = F.array(*[F.lit(int(w)) for w in weights])
-    ranked = by.withColumn("weight", F.element_at(turn, ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int")))
-    full = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    stop = (F.col("source_size") * most / F.col("weight")).alias("stop")
-    rising = Window.orderBy("stop", F.col("source").asc_nulls_last())
-    before = rising.rowsBetween(Window.unboundedPreceding, -1)
-    after = rising.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    levels = ranked.select("*", stop, F.sum("source_size").over(full).alias("total"))
-    taken = F.coalesce(F.sum("source_size").over(before), F.lit(0)) * most
-    levels = levels.withColumn("level", (F.col("total") - taken) / F.sum("weight").over(after))
+    ranked = _before(by.withColumn("one", F.lit(1).cast("long")), [name], ["one"])
+    weight = F.element_at(turn, (F.col("before_one") % len(weights) + 1).cast("int")).cast("long").alias("weight")
+    ranked = ranked.select("source", "source_size", weight)
+    levels = ranked.withColumn("stop", F.col("source_size") * most / F.col("weight"))
+    levels = common.cut(_before(levels, [F.col("stop").asc(), name], ["source_size", "weight"]))
+    total, all_weights = (x or 0 for x in levels.agg(F.sum("source_size"), F.sum("weight")).first())
+    level = (F.lit(total) - F.col("before_source_size") * most) / (F.lit(all_weights) - F.col("before_weight"))
     # the first source that its share doesn't stop sets the level for all
-    level = F.min(F.when(F.col("level") <= F.col("stop"), F.struct("stop", "level"))).over(full)
-    share = F.coalesce(level["level"], F.col("stop"))
-    levels = levels.withColumn("share", share)
-    target = F.least(F.col("source_size") * most, F.col("weight") * F.col("share"))
+    found = levels.withColumn("level", level).filter("level <= stop").agg(F.min(F.struct("stop", "level")).alias("one")).first()["one"]
+    share = F.lit(found["level"]) if found else F.col("stop")
+    target = F.least(F.col("source_size") * most, F.col("weight") * share)
     return levels.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 

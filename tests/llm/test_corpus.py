@@ -167,7 +167,9 @@ def test_scores(spark, corpus):
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 and r["train_tokens"] == n for r in got)
 
 
-def test_mixing(spark, corpus):
+@pytest.mark.parametrize("part", [mixing.PART, 2])
+def test_mixing(spark, corpus, monkeypatch, part):
+    monkeypatch.setattr(mixing, "PART", part)
     got = mixing.mixing_report(docs(spark, corpus)).collect()
     assert len(got) == len(corpus)
     sizes, src = {}, {}
