@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, phrases
 from ._common import table
 
 
@@ -77,6 +77,29 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def byte_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import digests, round_trip
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(round_trip(docs, byte_tokenizer_path()))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import damaged, digests, repair
+
+    return digests(repair(damaged(table(spark, sf_dir, "conversations"))))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +113,9 @@ QUERIES = {
         op8_cross_polytope,
         op9_url_models,
         op10_suffix_array_dedup,
+        op11_bpe,
+        op12_repair,
+        op13_collocations,
     )
 }
-ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op13_collocations": phrases.ORACLE}
