@@ -18,13 +18,6 @@ def zip_positions(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, keys), parts)
 
 
-def search_works(works: DataFrame, terms: list[str], min_cites: int = 4, n: int = 10_000) -> DataFrame:
-    """Works cited more than ``min_cites`` times, with title and abstract, best matches first, at most ``n``."""
-    found = works.filter((F.col("cited_by_count") > min_cites) & F.col("title").isNotNull() & F.col("abstract").isNotNull())
-    score = reduce(lambda a, b: a + b, [F.regexp_count(F.lower("abstract"), F.lit(t.lower())) for t in terms])
-    return found.withColumn("score", score).filter("score > 0").orderBy(F.desc("score"), "id").limit(n)
-
-
 def abstract_from_inverted_index(df: DataFrame, id_col: str, index: str) -> DataFrame:
     """Text rebuilt from a word -> positions map."""
     words = df.select(id_col, F.explode(index).alias("word", "at")).select(id_col, "word", F.explode("at").alias("pos"))

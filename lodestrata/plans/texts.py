@@ -8,6 +8,7 @@ from ..functions import scalars as S
 from ..operators import discourse as D
 from ..operators import documents as X
 from ..operators import keywords as K
+from ..operators import search as R
 from ..operators import training as T
 from .views import ELEMENTS, SPEECHES, TEXTS, load, sql
 
@@ -88,20 +89,33 @@ def a24(spark, d):
 
 
 WORKS = ("documents", "doc_id AS id", "source AS title", "CASE WHEN doc_id % 9 = 0 THEN NULL ELSE text END AS abstract", "n_chars % 20 AS cited_by_count")
-Q_WORKS = f"""SELECT id, title, cited_by_count, len(regexp_extract_all(lower(abstract), 'the')) + len(regexp_extract_all(lower(abstract), 'ing')) AS score
- FROM {sql(WORKS)} WHERE cited_by_count > 4 AND abstract IS NOT NULL AND title IS NOT NULL"""
+QUESTION = "The eriner thanea of the les anche"
 
 
-@query("A25_search_works", f"SELECT * FROM ({Q_WORKS}) WHERE score > 0 ORDER BY score DESC, id LIMIT 10000")
+def _bm25(n: int) -> str:
+    """BM25 over all works that pass the filter, written out for the question's words."""
+    terms = sorted(set(QUESTION.lower().split()))
+    tf = ", ".join(f"len(list_filter(w, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(terms))
+    idf = ", ".join(f"ln(1 + (count(*) - count_if(tf{i} > 0) + 0.5) / (count_if(tf{i} > 0) + 0.5)) AS idf{i}" for i in range(len(terms)))
+    score = " + ".join(f"idf{i} * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * dl / mean))" for i in range(len(terms)))
+    return rf"""WITH works AS (
+ SELECT id, title, cited_by_count, list_filter(string_split_regex(lower(title || ' ' || abstract), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+ FROM {sql(WORKS)} WHERE cited_by_count > 4 AND title IS NOT NULL AND abstract IS NOT NULL),
+counted AS (SELECT id, title, cited_by_count, len(w) AS dl, {tf} FROM works),
+stats AS (SELECT avg(dl) AS mean, {idf} FROM counted)
+SELECT id, title, cited_by_count, score FROM (SELECT id, title, cited_by_count, round({score}, 9) AS score FROM counted, stats)
+WHERE score > 0 ORDER BY score DESC, id LIMIT {n}"""
+
+
+@query("A25_search_works", _bm25(10_000))
 def a25(spark, d):
-    out = X.search_works(load(spark, d, WORKS), ["the", "ing"])
-    return out.select("id", "title", "cited_by_count", F.col("score").cast("long").alias("score"))
+    """Works by relevance to a question: an index over all of them, then the blocks that can hold the best."""
+    return R.search_works(load(spark, d, WORKS), QUESTION).select("id", "title", "cited_by_count", "score")
 
 
-@query("F9_top_works", f"SELECT * FROM ({Q_WORKS}) WHERE score > 0 ORDER BY score DESC, id LIMIT 25")
+@query("F9_top_works", _bm25(25))
 def f9(spark, d):
-    out = X.search_works(load(spark, d, WORKS), ["the", "ing"], n=25)
-    return out.select("id", "title", "cited_by_count", F.col("score").cast("long").alias("score"))
+    return R.search_works(load(spark, d, WORKS), QUESTION, n=25).select("id", "title", "cited_by_count", "score")
 
 
 @query("B9_to_text", "SELECT doc_id AS id, text FROM documents")
