@@ -25,7 +25,7 @@ BLOCK_ROWS, BLOCK_WORDS = 4096, 1 << 20
 #: Decimals of a score; ties after rounding go to the smaller id.
 DIGITS = 9
 NOT_WORD = re.compile(r"[\W_]+")
-INDEX = "term string, block long, ids array<long>, counts array<int>, lengths array<int>, most int, shortest int, n_docs long, n_words long"
+INDEX = "term string, block long, ids array<long>, counts array<int>, lengths array<int>, peak_counts array<int>, peak_lengths array<int>, n_docs long, n_words long"
 
 
 def words(text: str) -> list[str]:
@@ -41,8 +41,18 @@ def _postings(first: int, rows: list[tuple[int, Counter, int]]) -> list[tuple]:
             ids.append(id_)
             tfs.append(n)
             lengths.append(length)
-    out = [(t, first, ids, tfs, lengths, max(tfs), min(lengths), 0, 0) for t, (ids, tfs, lengths) in found.items()]
-    return [*out, ("", first, [], [], [], 0, 0, len(rows), sum(r[2] for r in rows))]
+    out = [(t, first, ids, tfs, lengths, *_peaks(tfs, lengths), 0, 0) for t, (ids, tfs, lengths) in found.items()]
+    return [*out, ("", first, [], [], [], [], [], len(rows), sum(r[2] for r in rows))]
+
+
+def _peaks(tfs: list[int], lengths: list[int]) -> tuple[list[int], list[int]]:
+    """The pairs that no other beats in both count and length: one has the best weight, whatever the mean length is."""
+    counts, kept = [], []
+    for length, negative in sorted({(length, -tf) for tf, length in zip(tfs, lengths, strict=True)}):
+        if not counts or -negative > counts[-1]:
+            counts.append(-negative)
+            kept.append(length)
+    return counts, kept
 
 
 def build_index(docs: DataFrame, id_col: str, text: str | Column) -> DataFrame:
@@ -56,7 +66,7 @@ def build_index(docs: DataFrame, id_col: str, text: str | Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in INDEX.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 4, pa.int64(), pa.int64()]
 
         def out(first: int, held: list) -> pa.RecordBatch:
             columns = zip(*_postings(first, held), strict=True)
@@ -103,7 +113,7 @@ def search(index: DataFrame, question: str, n: int) -> tuple[DataFrame, dict[str
     for term, r in known.items():
         idf = F.when(F.col("term") == term, math.log(1 + (docs - r["df"] + 0.5) / (r["df"] + 0.5))).otherwise(idf)
     rows = rows.filter("term <> ''").withColumn("idf", idf)
-    best = F.col("idf") * _weight(F.col("most"), F.col("shortest"), mean)
+    best = F.col("idf") * F.array_max(F.transform(F.arrays_zip("peak_counts", "peak_lengths"), lambda p: _weight(p["peak_counts"], p["peak_lengths"], mean)))
     bounds = rows.groupBy("block").agg(F.sum(best).alias("bound"), F.max(F.size("ids")).alias("matches"))
 
     def scored(blocks: DataFrame) -> DataFrame:
