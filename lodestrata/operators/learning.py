@@ -9,9 +9,11 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .nearest import nearest
+from .svd import SvdEncoder
 from .training import train_val_split
 
 
@@ -24,12 +26,17 @@ def text_stages(features: int = 1 << 12) -> list:
     ]
 
 
-def add_embeddings(df: DataFrame, encoder: PipelineModel | None = None, name: str = "hashed-tfidf", features: int = 256) -> DataFrame:
-    """``embedding`` (array of doubles) and ``embedding_model``; a fitted encoder can be given."""
+def fit_encoder(df: DataFrame, size: int = 64, features: int = 1 << 12, seed: int = 13) -> SvdEncoder:
+    """Vectors of ``size`` learned from the texts of ``df``."""
     rows = df.filter(F.col("text").isNotNull())
-    model = encoder or Pipeline(stages=text_stages(features)).fit(rows)
-    out = model.transform(rows).withColumn("embedding", vector_to_array("features"))
-    return out.select(*df.columns, "embedding", F.lit(name).alias("embedding_model"))
+    return SvdEncoder.fit(Pipeline(stages=text_stages(features)).fit(rows), rows, size, seed=seed)
+
+
+def add_embeddings(df: DataFrame, encoder: SvdEncoder | None = None, name: str | None = None, size: int = 64) -> DataFrame:
+    """``embedding`` (array of doubles of length one) and ``embedding_model``; a fitted encoder can be given, else one is fitted on ``df``."""
+    rows = df.filter(F.col("text").isNotNull())
+    model = encoder or fit_encoder(rows, size)
+    return model.transform(rows).select(*df.columns, "embedding", F.lit(name or model.name).alias("embedding_model"))
 
 
 def fit_linear_grid(df: DataFrame, grid: tuple[float, ...] = (0.001, 0.01, 0.1), folds: int = 5) -> tuple[PipelineModel, list[float]]:
@@ -85,33 +92,8 @@ def topics(df: DataFrame, k: int = 5, vocabulary: int = 2000) -> DataFrame:
     return out.select("id", (F.array_position("_p", best) - 1).cast("int").alias("topic"), best.alias("probability"))
 
 
-def knn_classify(train: DataFrame, rows: DataFrame, k: int = 5, block: int = 512, asked: int = 4096) -> DataFrame:
-    """Majority label among the ``k`` nearest training vectors (ties: the smaller label).
-
-    The training set is a hand-labelled table.  It is dealt into blocks and the rows to classify into parts of ``asked``;
-    each part meets each block, which returns its ``k`` nearest only.
-    """
-    import numpy as np
-    import pandas as pd
-
-    n = max(1, -(-train.count() // block))
-    left = train.select(F.col("id").alias("n_id"), "embedding", "label", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("part"))
-    turns = max(1, -(-rows.count() // asked))
-    left = left.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
-    right = rows.select("id", "embedding", F.pmod(F.xxhash64("id"), F.lit(turns)).cast("int").alias("turn"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"))
-
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if len(a) == 0 or len(b) == 0:
-            return pd.DataFrame({"id": [], "n_id": [], "label": [], "d": []}).astype({"id": "int64", "n_id": "int64", "label": "int32", "d": "float64"})
-        x, ids = np.stack(a["embedding"].to_numpy()).astype(np.float64), a["n_id"].to_numpy()
-        out = []
-        for i, v in zip(b["id"], b["embedding"], strict=True):
-            d = ((x - np.asarray(v, np.float64)) ** 2).sum(axis=1)
-            top = np.lexsort((ids, d))[:k]
-            out.append(pd.DataFrame({"id": i, "n_id": ids[top], "label": a["label"].to_numpy()[top], "d": d[top]}))
-        return pd.concat(out)
-
-    near = left.groupBy("part", "turn").cogroup(right.groupBy("part", "turn")).applyInPandas(meet, "id long, n_id long, label int, d double")
-    w = Window.partitionBy("id").orderBy("d", "n_id")
-    votes = near.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).groupBy("id", "label").agg(F.count(F.lit(1)).alias("v"))
+def knn_classify(train: DataFrame, rows: DataFrame, k: int = 5) -> DataFrame:
+    """Majority label among the ``k`` nearest training vectors (ties: the smaller label, then the smaller id), by exact search with pivots."""
+    near = nearest(rows.select("id", F.col("embedding").cast("array<double>").alias("v")), train.select("id", F.col("embedding").cast("array<double>").alias("v")), k)
+    votes = near.join(train.select(F.col("id").alias("n_id"), "label"), "n_id").groupBy("id", "label").agg(F.count(F.lit(1)).alias("v"))
     return votes.groupBy("id").agg(F.max_by("label", F.struct("v", -F.col("label"))).alias("pred"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -18,3 +18,10 @@ def scratch(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="lodestrata-")
         sc.setCheckpointDir(root)
     return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """``df`` written to such a folder and read back: its lineage ends there, and using it again computes nothing again."""
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
