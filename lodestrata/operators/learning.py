@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.clustering import LDA
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+from .density import density_clusters
 from .nearest import nearest
 from .svd import SvdEncoder
 from .training import train_val_split
@@ -39,17 +39,8 @@ def add_embeddings(df: DataFrame, encoder: SvdEncoder | None = None, name: str |
     return model.transform(rows).select(*df.columns, "embedding", F.lit(name or model.name).alias("embedding_model"))
 
 
-def fit_linear_grid(df: DataFrame, grid: tuple[float, ...] = (0.001, 0.01, 0.1), folds: int = 5) -> tuple[PipelineModel, list[float]]:
-    """Cross-validated linear support vectors on ``embedding``: the best model and each setting's mean accuracy."""
-    rows = df.withColumn("features", array_to_vector("embedding"))
-    svc = LinearSVC(labelCol="relevant", maxIter=10)
-    params = ParamGridBuilder().addGrid(svc.regParam, list(grid)).build()
-    metric = MulticlassClassificationEvaluator(labelCol="relevant", metricName="accuracy")
-    found = CrossValidator(estimator=svc, estimatorParamMaps=params, evaluator=metric, numFolds=folds, seed=13).fit(rows)
-    return found.bestModel, list(found.avgMetrics)
-
-
-def svc_predict(df: DataFrame, model, name: str = "linear-svc") -> DataFrame:
+def predict(df: DataFrame, model, name: str) -> DataFrame:
+    """``predictions`` of a fitted model on ``embedding`` and ``prediction_model``."""
     out = model.transform(df.withColumn("features", array_to_vector("embedding")))
     return out.withColumn("predictions", F.col("prediction").cast("int")).withColumn("prediction_model", F.lit(name)).drop("features", "rawPrediction", "prediction")
 
@@ -79,17 +70,13 @@ def apply_classifiers(df: DataFrame, models: dict[str, PipelineModel]) -> DataFr
     return out
 
 
-def topics(df: DataFrame, k: int = 5, vocabulary: int = 2000) -> DataFrame:
-    """Most probable topic of each text and its probability; the ``vocabulary`` most frequent words count."""
-    stages = [
-        RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"\W+"),
-        StopWordsRemover(inputCol="_words", outputCol="_kept"),
-        CountVectorizer(inputCol="_kept", outputCol="features", vocabSize=vocabulary),
-        LDA(k=k, maxIter=5, seed=7),
-    ]
-    out = Pipeline(stages=stages).fit(df).transform(df).withColumn("_p", vector_to_array("topicDistribution"))
-    best = F.array_max("_p")
-    return out.select("id", (F.array_position("_p", best) - 1).cast("int").alias("topic"), best.alias("probability"))
+def topics(sentences: DataFrame, encoder: SvdEncoder | None = None, size: int = 32, k: int = 10, least: int = 10, levels: int = 8) -> DataFrame:
+    """Topic and membership probability of each sentence (id long unique, text): density clusters of learned vectors.
+
+    A topic is named by the smallest id in it, -1 are outliers; sentences without text are left out.
+    """
+    points = add_embeddings(sentences.select("id", "text"), encoder, size=size).select("id", F.col("embedding").alias("v"))
+    return density_clusters(kept(points), k, least, levels)
 
 
 def knn_classify(train: DataFrame, rows: DataFrame, k: int = 5) -> DataFrame:

@@ -13,14 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
+from .sums import add_up
 
-#: Rows multiplied at once, features of a summed range, and branches of the tree of sums.
-ROWS, RANGE, BRANCHES = 64, 512, 32
+#: Rows multiplied at once.
+ROWS = 64
 
 
 def sparse(column: str) -> Column:
@@ -52,8 +52,8 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     """A'A q, summed over tasks as a tree; ``rows`` has one column of sparse rows."""
     shared, (features, width) = rows.sparkSession.sparkContext.broadcast(q), q.shape
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, any_ = np.zeros((features, width)), False
+    def local(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros((features, width))
         for batch in batches:
             for i, x, row, n in _chunks(batch, 0):
                 if len(i):
@@ -61,27 +61,9 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
                     order = np.argsort(i, kind="stable")
                     starts = np.flatnonzero(np.diff(i[order], prepend=-1))
                     total[i[order][starts]] += np.add.reduceat((x[:, None] * y[row])[order], starts)
-                    any_ = True
-        if any_:
-            parts = range(0, features, RANGE)
-            task = TaskContext.get().partitionId() % BRANCHES
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p // RANGE for p in parts], pa.int32()), pa.array([task] * len(parts), pa.int32()), pa.array([total[p : p + RANGE].tobytes() for p in parts], pa.binary())],
-                ["part", "branch", "sum"],
-            )
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.frombuffer(pdf["sum"].iloc[0]).copy()
-        for s in pdf["sum"].iloc[1:]:
-            total += np.frombuffer(s)
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "branch": [0], "sum": [total.tobytes()]})
-
-    schema = "part int, branch int, sum binary"
-    sums = rows.mapInArrow(local, schema).groupBy("part", "branch").applyInPandas(add, schema).groupBy("part").applyInPandas(add, schema)
-    out = np.zeros((features, width))
-    for r in sums.collect():  # features x directions numbers
-        block = np.frombuffer(bytes(r["sum"])).reshape(-1, width)
-        out[r["part"] * RANGE : r["part"] * RANGE + len(block)] = block
+        return total
+
+    out = add_up(rows, local, features * width).reshape(q.shape)
     shared.unpersist()
     return out
 

@@ -3,14 +3,15 @@
 import numpy as np
 import pytest
 
+from lodestrata.operators import sums
 from lodestrata.operators import svd as V
 from lodestrata.operators.learning import add_embeddings, fit_encoder
 
 
 @pytest.mark.parametrize("parts", [1, 5])
 def test_subspace_is_numpys(spark, parts, monkeypatch):
-    monkeypatch.setattr(V, "RANGE", 16)
-    monkeypatch.setattr(V, "BRANCHES", 2)
+    monkeypatch.setattr(sums, "RANGE", 160)
+    monkeypatch.setattr(sums, "BRANCHES", 2)
     rng = np.random.default_rng(4)
     a = (rng.random((300, 50)) < 0.2) * rng.random((300, 50)) @ np.diag(np.linspace(3, 0.1, 50))
     a[7] = 0
