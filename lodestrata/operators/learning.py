@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -14,7 +13,6 @@ from ..sources.scratch import kept
 from .density import density_clusters
 from .nearest import nearest
 from .svd import SvdEncoder
-from .training import train_val_split
 
 
 def text_stages(features: int = 1 << 12) -> list:
@@ -49,27 +47,6 @@ def fit_logistic(df: DataFrame, reg: float = 0.01):
     return LogisticRegression(labelCol="relevant", maxIter=20, regParam=reg).fit(df.withColumn("features", array_to_vector("embedding")))
 
 
-def fit_text_classifier(df: DataFrame, grid: tuple[float, ...] = (0.001, 0.01), seed: int = 13) -> tuple[PipelineModel, float]:
-    """Fit on four fifths, keep the setting of best accuracy on the rest."""
-    train, val = train_val_split(df.filter(F.col("text").isNotNull()), seed)
-    metric = MulticlassClassificationEvaluator(labelCol="relevant", metricName="accuracy")
-    tried = []
-    for reg in grid:
-        model = Pipeline(stages=[*text_stages(), LogisticRegression(labelCol="relevant", maxIter=15, regParam=reg)]).fit(train)
-        tried.append((metric.evaluate(model.transform(val)), -len(tried), model))
-    best = max(tried, key=lambda t: t[:2])
-    return best[2], best[0]
-
-
-def apply_classifiers(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """``{mission}_preds`` of every model, in one projection after another over the same rows."""
-    out = df
-    for name, model in models.items():
-        made = [s.getOutputCol() for s in model.stages if s.hasParam("outputCol")] + ["rawPrediction", "probability", "prediction"]
-        out = model.transform(out).withColumn(f"{name}_preds", F.col("prediction").cast("int")).drop(*made)
-    return out
-
-
 def topics(sentences: DataFrame, encoder: SvdEncoder | None = None, size: int = 32, k: int = 10, least: int = 10, levels: int = 8) -> DataFrame:
     """Topic and membership probability of each sentence (id long unique, text): density clusters of learned vectors.
 

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
 
-#: Pivots and slices of a cell (bounded by these, whatever the tables' size), rows of a block and of a part of the asking rows.
-PIVOTS, SLICES, BLOCK, ASKED = 64, 16, 512, 4096
+#: The most pivots and slices of a cell, whatever the tables' size; rows that a slice should hold, and at most a block; rows of a part that asks.
+PIVOTS, SLICES, BLOCK, ASKED = 64, 16, 2048, 4096
 NEAR = "id long, n_id long, d double"
 
 
@@ -50,7 +50,10 @@ def _cells(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 def routes(left: DataFrame, right: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     """Asking rows with the slices they need (id, v, cell, slice), and searched rows in their slices (n_id, v, cell, slice)."""
-    drawn = right.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).select("v").collect()
+    n = right.count()
+    n_pivots = min(PIVOTS, max(1, -(-n // BLOCK)))
+    n_slices = min(SLICES, max(1, -(-n // (n_pivots * BLOCK))))
+    drawn = right.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()
     pivots = np.array([r["v"] for r in drawn], np.float64)
     if not len(pivots):
         pivots = np.zeros((1, 1))
@@ -58,7 +61,7 @@ def routes(left: DataFrame, right: DataFrame, k: int) -> tuple[DataFrame, DataFr
     asking = _cells(left, pivots)
     first = Window.partitionBy("cell").orderBy("at")
     near = searched.select("cell", "at").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k).collect()  # at most k for each pivot
-    spread = searched.groupBy("cell").agg(F.percentile_approx("at", [i / SLICES for i in range(1, SLICES)], 1000).alias("cuts")).collect()
+    spread = searched.groupBy("cell").agg(F.percentile_approx("at", [i / n_slices for i in range(1, n_slices)] or [1.0], 1000).alias("cuts")).collect()
     cuts = {r["cell"]: sorted(set(r["cuts"])) for r in spread}
     between = _distances(pivots, pivots)
     reach = np.full(len(pivots), np.inf)

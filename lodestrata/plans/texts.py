@@ -668,7 +668,7 @@ def h4(spark, d):
 
 @query("H6_apply_classifiers")
 def h6(spark, d):
-    from ..operators.learning import apply_classifiers, fit_text_classifier
+    from ..operators.epochs import apply_classifiers, fit_text_classifier
 
     labels = {"ahl": "quality", "asf": "toxic", "afs": "lang = 'en'"}
     models = {name: fit_text_classifier(labelled(spark, d, label))[0] for name, label in labels.items()}
@@ -677,10 +677,11 @@ def h6(spark, d):
 
 @query("H7_fit_text_classifier")
 def h7(spark, d):
-    from ..operators.learning import fit_text_classifier
+    """Losses and validation accuracy by epoch, and which epoch was kept."""
+    from ..operators.epochs import fit_text_classifier
 
-    _, accuracy = fit_text_classifier(labelled(spark, d))
-    return spark.createDataFrame([(float(accuracy),)], "accuracy double")
+    _, history = fit_text_classifier(labelled(spark, d))
+    return spark.createDataFrame(history, "epoch int, loss double, val_loss double, accuracy double, best boolean")
 
 
 @query("H10_topics")
