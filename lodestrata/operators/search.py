@@ -1,9 +1,9 @@
 """Relevance search: an inverted index in blocks of documents and BM25 that skips blocks which can't reach the best n.
 
 Every task turns its rows into blocks and each block into postings, so building shuffles
-no text.  A posting row holds one term of one block: the ids, the counts, the lengths, and what
-bounds any score in it.  The index is ordered by (term, block), so a search reads the row
-groups of its own terms only, and a term that is everywhere is spread over many files.
+nothing.  A posting row holds one term of one block: the ids, the counts, the lengths, and what
+bounds any score in it.  A task's postings are written in order of (term, block), so a search
+reads the pages of its own terms only, and a term that is everywhere is spread over all files.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def build_index(docs: DataFrame, id_col: str, text: str | Column) -> DataFrame:
             yield out(first, held)
 
     path = scratch(docs.sparkSession, "index")
-    rows.mapInArrow(run, INDEX).repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(run, INDEX).sortWithinPartitions("term", "block").write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(INDEX).parquet(path)
 
 
