@@ -30,11 +30,6 @@ def collapse_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
-def element_text(c: Column) -> Column:
-    """Text of a markup fragment; a line break counts as a space."""
-    return F.regexp_replace(F.regexp_replace(c, r"<br\s*/?>", " "), r"<[^>]*>", "")
-
-
 def date_from_path(c: Column) -> Column:
     """The date of a ``debatesYYYY-MM-DD`` file name, as text; null without one."""
     return F.nullif(F.regexp_extract(c, r"debates(\d{4}-\d{2}-\d{2})", 1), F.lit(""))

@@ -8,13 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def extract_listing(pages: DataFrame, id_col: str, html: str, patterns: dict[str, str]) -> DataFrame:
-    """Rows by position from the matches of each pattern (group 1); only positions that all have."""
-    parts = [pages.select(id_col, F.posexplode(F.regexp_extract_all(html, F.lit(p), 1)).alias("pos", name)) for name, p in patterns.items()]
-    return zip_positions(parts, [id_col, "pos"])
-
-
 def zip_positions(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Tables that number their rows by ``keys``, side by side as far as all of them go."""
     return reduce(lambda a, b: a.join(b, keys), parts)
 
 

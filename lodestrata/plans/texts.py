@@ -8,6 +8,7 @@ from ..functions import scalars as S
 from ..operators import discourse as D
 from ..operators import documents as X
 from ..operators import keywords as K
+from ..operators import markup as M
 from ..operators import search as R
 from ..operators import training as T
 from .views import ELEMENTS, SPEECHES, TEXTS, load, sql
@@ -75,17 +76,46 @@ def a22(spark, d):
     return rows.select("vec_id", F.size(v).cast("long").alias("n"), F.round(total, 6).alias("total"))
 
 
-LINK, ITEM = r'<a href="([^"]*)"', r"<li><a[^>]*>([^<]*)</a></li>"
+def _plain(markup: str) -> str:
+    """Text with the tables' character references decoded."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">")):
+        markup = f"replace({markup}, '&{name};', '{char}')"
+    return f"regexp_replace({markup}, '&amp;?', '&', 'g')"
+
+
+def _all(pattern: str) -> str:
+    return f"list_transform(regexp_extract_all(html, '{pattern}', 1), lambda x: {_plain('x')})"
+
+
+LINK, ITEM = r'<a href="([^"]*)">', r"<li><a[^>]*>([^<]*)</a></li>"
+LINKS, ITEMS = M.Pick("a", attrs={"href": None}, take="href"), M.Pick("li")
 
 
 @query(
     "A24_extract_listing",
-    f"""SELECT page_id, CAST(u.i - 1 AS INT) AS pos, links[u.i] AS link, items[u.i] AS item FROM
- (SELECT page_id, regexp_extract_all(html, '{LINK}', 1) AS links, regexp_extract_all(html, '{ITEM}', 1) AS items FROM pages) p,
- (SELECT unnest(range(1, 1000)) AS i) u WHERE u.i <= least(len(links), len(items))""",
+    f"""SELECT page_id, CAST(i AS INT) AS pos, links[i + 1] AS link, items[i + 1] AS item FROM (SELECT *, unnest(range(least(len(links), len(items)))) AS i FROM
+ (SELECT page_id, {_all(LINK)} AS links, {_all(ITEM)} AS items FROM pages))""",
 )
 def a24(spark, d):
-    return X.extract_listing(load(spark, d, "pages"), "page_id", "html", {"link": LINK, "item": ITEM})
+    return M.extract_listing(load(spark, d, "pages"), "page_id", "html", {"link": LINKS, "item": ITEMS})
+
+
+@query(
+    "A24_listing_columns",
+    f"""SELECT page_id, CAST(i AS INT) AS pos, items[i + 1] AS title, paras[i + 1] AS description, items[2 * i + 1] AS department, items[2 * i + 2] AS updated,
+ 'https://listing.example' || links[i + 1] AS link FROM (SELECT *, unnest(range(least(len(links), len(items) // 2, len(paras)))) AS i FROM
+ (SELECT page_id, {_all(LINK)} AS links, {_all(ITEM)} AS items, {_all('<div class="ad">([^<]*)</div>')} AS paras FROM pages))""",
+)
+def a24b(spark, d):
+    """Title, description, the two attributes of an item in turn, and its link, as a listing page has them."""
+    columns = {
+        "title": M.Pick("a", inside=("li",)),
+        "description": M.Pick("div", cls=("ad",)),
+        "department": M.Pick("li", step=2),
+        "updated": M.Pick("li", start=1, step=2),
+        "link": M.Pick("a", attrs={"href": None}, inside=("nav", "li"), take="href", prefix="https://listing.example"),
+    }
+    return M.extract_listing(load(spark, d, "pages"), "page_id", "html", columns)
 
 
 WORKS = ("documents", "doc_id AS id", "source AS title", "CASE WHEN doc_id % 9 = 0 THEN NULL ELSE text END AS abstract", "n_chars % 20 AS cited_by_count")
@@ -136,9 +166,14 @@ def b11(spark, d):
     return load(spark, d, "documents").select(F.col("doc_id").alias("id"), S.collapse_ws(F.col("text")).alias("text"))
 
 
-@query("B12_element_text", r"SELECT page_id, regexp_replace(regexp_replace(html, '<br\s*/?>', ' ', 'g'), '<[^>]*>', '', 'g') AS text FROM pages")
+#: What is no text of a page, then line breaks, then all other tags and one that the page's end cuts short.
+HIDDEN = "(?s)<script.*?(</script>|$)|<style.*?(</style>|$)|<!--.*?(-->|$)"
+Q_BARE = f"regexp_replace(regexp_replace(regexp_replace(html, '{HIDDEN}', '', 'g'), '<br\\s*/?>', ' ', 'g'), '<[a-zA-Z/!][^>]*(>|$)', '', 'g')"
+
+
+@query("B12_element_text", f"SELECT page_id, {_plain(Q_BARE)} AS text FROM pages")
 def b12(spark, d):
-    return load(spark, d, "pages").select("page_id", S.element_text(F.col("html")).alias("text"))
+    return load(spark, d, "pages").select("page_id", M.element_text(F.col("html")).alias("text"))
 
 
 @query(
@@ -350,10 +385,10 @@ def c14(spark, d):
 @query(
     "C16_zip_positions",
     f"""SELECT page_id, count(*) AS n FROM (SELECT page_id, unnest(range(least(len(regexp_extract_all(html, '{LINK}', 1)),
- len(regexp_extract_all(html, '<p>([^<]*)', 1))))) AS i FROM pages) GROUP BY 1""",
+ len(regexp_extract_all(html, '<p>', 0))))) AS i FROM pages) GROUP BY 1""",
 )
 def c16(spark, d):
-    return X.extract_listing(load(spark, d, "pages"), "page_id", "html", {"link": LINK, "p": "<p>([^<]*)"}).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    return M.extract_listing(load(spark, d, "pages"), "page_id", "html", {"link": LINKS, "p": M.Pick("p")}).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
