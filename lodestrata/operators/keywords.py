@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_keywords, sentences
+from ..sources.scratch import kept
 
 
 def keyword_dictionary(sheet: DataFrame, mission: str) -> DataFrame:
@@ -21,28 +26,95 @@ def topic_combinations(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("mission", "topic").agg(F.sort_array(F.collect_list("terms")).alias("combos"))
 
 
-def keyword_match(texts: DataFrame, dictionary: DataFrame, by_sentence: bool = False) -> DataFrame:
+class Matcher:
+    """Topics' combinations behind one automaton over all their terms: a text is read once, however many terms there are.
+
+    A combination is looked at only where its longest term was found.  One without any term, or with empty ones
+    only, hits every text; one with a null term hits none.
+    """
+
+    def __init__(self, topics: list[tuple[str, str, list[list[str]]]]):
+        self.names = [(mission, topic) for mission, topic, _ in topics]
+        self.always, self.at, numbers = set(), {}, {}
+        for n, (_, _, combos) in enumerate(topics):
+            for combo in combos:
+                if any(t is None for t in combo):
+                    continue
+                need = {numbers.setdefault(t, len(numbers)): len(t) for t in combo if t}
+                if need:
+                    self.at.setdefault(max(need, key=need.get), []).append((n, frozenset(need)))
+                else:
+                    self.always.add(n)
+        self.automaton = ahocorasick.Automaton()
+        for term, number in numbers.items():
+            self.automaton.add_word(term, number)
+        self.automaton.make_automaton()
+
+    def hits(self, text: str | None) -> list[tuple[str, str]]:
+        if text is None:
+            return []
+        found = {number for _, number in self.automaton.iter(text)} if len(self.automaton) else set()
+        topics = self.always | {n for term in found for n, need in self.at.get(term, ()) if need <= found}
+        return [self.names[n] for n in sorted(topics)]
+
+
+def _slices(dictionary: DataFrame, chars: int) -> Iterator[list[tuple[str, str, list[list[str]]]]]:
+    """Topics in groups of at most ``chars`` characters of terms (a longer topic alone); the driver holds one group at a time."""
+    part, size = [], 0
+    for r in topic_combinations(dictionary).orderBy("mission", "topic").toLocalIterator():
+        own = sum(len(t or "") for combo in r["combos"] for t in combo)
+        if part and size + own > chars:
+            yield part
+            part, size = [], 0
+        part.append((r["mission"], r["topic"], r["combos"]))
+        size += own
+    if part:
+        yield part
+
+
+def _by_expressions(topics: list[tuple[str, str, list[list[str]]]]) -> Column:
+    """A few terms as expressions of the plan."""
+    told = [
+        F.struct(F.lit(m).alias("mission"), F.lit(t).alias("topic"), F.array(*[F.array(*[F.lit(w).cast("string") for w in c]) for c in combos]).alias("combos"))
+        for m, t, combos in topics
+    ]
+    hit = F.filter(F.array(*told), lambda t: F.exists(t["combos"], lambda c: F.forall(c, lambda w: F.contains(F.col("text"), w))))
+    return F.transform(hit, lambda t: F.struct(t["mission"], t["topic"]))
+
+
+def _by_automaton(spark: SparkSession, topics: list[tuple[str, str, list[list[str]]]]) -> Column:
+    shared = spark.sparkContext.broadcast(Matcher(topics))
+
+    @F.pandas_udf("array<struct<mission:string,topic:string>>")
+    def run(texts: pd.Series) -> pd.Series:
+        matcher = shared.value
+        return texts.map(lambda text: [{"mission": m, "topic": t} for m, t in matcher.hits(text)])
+
+    return run(F.col("text"))
+
+
+def keyword_match(texts: DataFrame, dictionary: DataFrame, by_sentence: bool = False, expressions: int = 64, chars: int = 1 << 20) -> DataFrame:
     """(id, mission, topic): texts that hold all terms of any combination of a topic, case-sensitively.
 
-    The dictionary is curated by hand; it is small whatever the texts.  It goes into the
-    plan as one array literal per call, so texts are neither shuffled nor multiplied.
+    Texts are neither shuffled nor multiplied.  Up to ``expressions`` terms go into the plan; more go out as
+    automata of at most ``chars`` characters (some 50 MB for the default), each with topics of its own, and the
+    texts are read once for each automaton.  Either way gives the same rows.  A topic with more characters than
+    that has an automaton alone, and one with 16 times as many is refused.
+
+    Null texts hit nothing, an empty text only combinations of empty terms; rows with equal ids are matched one by
+    one, and other columns of ``texts`` are left alone.  An empty dictionary gives no rows.
     """
-    combos = topic_combinations(dictionary).collect()
-    topics = F.array(
-        *[
-            F.struct(
-                F.lit(r["mission"]).alias("mission"),
-                F.lit(r["topic"]).alias("topic"),
-                F.array(*[F.array(*[F.lit(t) for t in c]) for c in r["combos"]]).alias("combos"),
-            )
-            for r in combos
-        ]
-    )
-    if not combos:
-        return texts.select("id").limit(0).withColumn("mission", F.lit("")).withColumn("topic", F.lit(""))
     rows = texts.select("id", F.explode(sentences(F.col("text"))).alias("text")) if by_sentence else texts.select("id", "text")
-    hit = F.filter(topics, lambda t: F.exists(t["combos"], lambda c: F.forall(c, lambda w: F.contains(F.col("text"), w))))
-    found = rows.select("id", F.explode(hit).alias("t")).select("id", "t.mission", "t.topic")
+    rows, found = rows.filter(F.col("text").isNotNull()), None
+    for topics in _slices(dictionary, chars):
+        terms = [t or "" for _, _, combos in topics for combo in combos for t in combo]
+        if sum(map(len, terms)) > 16 * chars:
+            raise ValueError(f"the terms of topic {topics[0][:2]} are too long for one automaton")
+        hits = _by_expressions(topics) if len(terms) <= expressions else _by_automaton(texts.sparkSession, topics)
+        part = rows.select("id", F.explode(hits).alias("_t")).select("id", "_t.mission", "_t.topic")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return texts.select("id").limit(0).withColumn("mission", F.lit("")).withColumn("topic", F.lit(""))
     return found.distinct() if by_sentence else found
 
 
@@ -50,8 +122,10 @@ def general_terms_filter(hits: DataFrame, mode: str = "last") -> DataFrame:
     """Keep hits of ids that also hit a topic named after general terms.
 
     Of several such topics the last in order that has hits decides (``mode="any"``: any
-    does); a mission without such hits is not filtered.
+    does); a mission without such hits is not filtered.  Hits are written once, so texts are
+    not matched again for the second look at them.
     """
+    hits = kept(hits, "hits")
     general = F.contains(F.lower("topic"), F.lit("general terms"))
     # one row a mission, whatever the texts
     last = hits.filter(general).groupBy("mission").agg(F.max("topic").alias("_last"))

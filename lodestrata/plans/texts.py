@@ -369,6 +369,23 @@ def c13(spark, d):
     return hits(spark, d)
 
 
+#: A dictionary that grows with the benchmark: an item's second word, and its last one at a word's start.
+Q_ITEMS = """(SELECT 'topic ' || (item_id % 23) AS topic, list_transform(string_split(concat_ws(', ', w[2], '~' || w[-1]), ','), lambda x: replace(trim(x), '~', ' ')) AS terms
+ FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark))"""
+
+
+@query(
+    "C13_keyword_match_items",
+    f"""SELECT DISTINCT d.doc_id AS id, 'ITEMS' AS mission, i.topic FROM documents d JOIN {Q_ITEMS} i
+ ON len(list_filter(i.terms, lambda t: NOT contains(d.text, t))) = 0""",
+)
+def c13b(spark, d):
+    words = F.split("text", " ")
+    keywords = F.concat_ws(", ", F.get(words, F.lit(1)), F.concat(F.lit("~"), F.element_at(words, -1)))
+    sheet = load(spark, d, "benchmark").select(F.concat(F.lit("topic "), F.col("item_id") % 23).alias("Subcategory"), keywords.alias("Keywords"))
+    return K.keyword_match(load(spark, d, TEXTS), K.keyword_dictionary(sheet, "ITEMS"))
+
+
 Q_GOLD = "(SELECT doc_id AS id, quality AS relevant FROM labels)"
 
 
