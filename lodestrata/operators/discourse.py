@@ -37,22 +37,51 @@ def clean_memberships(df: DataFrame) -> DataFrame:
     return df.filter((F.length("start_date") > 4) & F.col("end_date").startswith("20") & F.col("on_behalf_of_id").isNotNull())
 
 
+#: Fixed value: 2^22 days reach past the year 9999.
+DAY_LEVELS = 22
+
+
+def _day_blocks(start: str, end: str) -> Column:
+    """The fewest blocks of 2^level days, each starting at a multiple of its length, that make up the days from ``start`` to ``end``."""
+    ends = f"transform(sequence(0, {DAY_LEVELS}), k -> named_struct('level', k, 'lo', -shiftright(-unix_date({start}), k), 'hi', shiftright(unix_date({end}) + 1, k)))"
+    first = "if(x.lo < x.hi and (x.lo & 1) = 1, array(named_struct('level', x.level, 'block', x.lo)), array())"
+    last = "if(x.lo < x.hi and (x.hi & 1) = 1, array(named_struct('level', x.level, 'block', x.hi - 1)), array())"
+    return F.expr(f"flatten(transform({ends}, x -> concat({first}, {last})))")
+
+
+def first_term(days: DataFrame, memberships: DataFrame) -> DataFrame:
+    """(person_id, day, term): of the person's terms that hold the day the first in list order; pairs without such a term are left out.
+
+    A term becomes a row for each of its blocks of days, at most two a length, and only the first term of a
+    person's block is kept; a day asks for the one block of each length that holds it.  So neither terms nor days
+    meet by person alone: many terms of one person spread over blocks, and equal blocks are reduced before they travel.
+    """
+    term = F.struct("pos", "a", "b", F.col("on_behalf_of_id").alias("party"))
+    terms = memberships.withColumns({"a": F.to_date("start_date"), "b": F.to_date("end_date")}).filter("a is not null and b is not null and person_id is not null")
+    blocks = terms.select("person_id", term.alias("term"), F.explode(_day_blocks("a", "b")).alias("x"))
+    blocks = blocks.groupBy("person_id", "x.level", "x.block").agg(F.min("term").alias("term"))
+    # no more numbers than there are lengths
+    levels = blocks.agg(F.collect_set("level")).scalar()
+    asked = days.filter("person_id is not null and day is not null").select("person_id", "day").distinct().withColumn("_levels", levels)
+    asked = asked.select("person_id", "day", F.explode("_levels").alias("level")).withColumn("block", F.expr("shiftright(unix_date(day), level)"))
+    return asked.join(blocks, ["person_id", "level", "block"]).groupBy("person_id", "day").agg(F.min("term").alias("term"))
+
+
 def speaker_party(speeches: DataFrame, memberships: DataFrame) -> DataFrame:
     """Party of a speech: its membership id's if it has one (unknown: null), else the person's first term in list order that holds the date.
 
     ``memberships``: (pos, id, person_id, on_behalf_of_id, start_date, end_date); of
-    repeated ids the last counts.
+    repeated ids the last counts.  Null without an id where person or date is null; terms with a null date, or that end
+    before they start, hold no day.  Every speech gives one row.
     """
-    last = Window.partitionBy("id").orderBy(F.col("pos").desc())
-    by_id = memberships.withColumn("_n", F.row_number().over(last)).filter("_n = 1").select(F.col("id").alias("speaker_id"), F.col("on_behalf_of_id").alias("_by_id"))
-    # a person's terms are one row, so speeches are not multiplied
-    term = F.struct("pos", F.to_date("start_date").alias("a"), F.to_date("end_date").alias("b"), F.col("on_behalf_of_id").alias("party"))
-    terms = memberships.groupBy("person_id").agg(F.sort_array(F.collect_list(term)).alias("_terms"))
-    out = speeches.join(by_id, "speaker_id", "left").join(terms, "person_id", "left")
-    day = F.to_date("date")
-    by_person = F.get(F.filter("_terms", lambda t: (day >= t["a"]) & (day <= t["b"])), F.lit(0))["party"]
-    party = F.when(F.col("speaker_id").isNotNull(), F.col("_by_id")).otherwise(by_person)
-    return out.withColumn("party", party).drop("_by_id", "_terms")
+    last = F.max(F.struct("pos", "on_behalf_of_id"))["on_behalf_of_id"]
+    by_id = memberships.filter("id is not null").groupBy(F.col("id").alias("speaker_id")).agg(last.alias("_by_id"))
+    said = speeches.withColumn("_day", F.to_date("date"))
+    terms = first_term(said.filter("speaker_id is null").select("person_id", F.col("_day").alias("day")), memberships)
+    terms = terms.select("person_id", F.col("day").alias("_day"), F.col("term.party").alias("_by_person"))
+    out = said.join(by_id, "speaker_id", "left").join(terms, ["person_id", "_day"], "left")
+    party = F.when(F.col("speaker_id").isNotNull(), F.col("_by_id")).otherwise(F.col("_by_person"))
+    return out.select(*[c for c in speeches.columns if c != "party"], party.alias("party"))
 
 
 def length_bucket(df: DataFrame, text: str = "text", tol: float = 0.1) -> DataFrame:

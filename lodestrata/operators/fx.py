@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,17 +32,21 @@ def convert_currency(
     """
     out = out or f"{amount_col}_{target.lower()}"
     dense = dense_rates(rates)
-    span = dense.groupBy("currency").agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
-    # one row per currency, whose number is that of the table's currencies
-    from_ = df.join(span.withColumnRenamed("currency", "_c"), F.col(currency_col) == F.col("_c"), "left")
+    # the first and last days by currency are one value, as long as the list of currencies
+    ends = F.struct(F.min("day").alias("a"), F.max("day").alias("b"))
+    spans = dense.groupBy("currency").agg(ends.alias("ends")).agg(F.map_from_entries(F.collect_list(F.struct("currency", "ends")))).scalar()
     day = F.to_date(date_col)
-    from_ = from_.withColumn("_day", F.greatest(F.least(day, F.col("_b")), F.col("_a"))).withColumn("_real", day)
-    own = dense.select(F.col("currency").alias("_c"), F.col("day").alias("_day"), F.col("rate").alias("_from"))
-    to_span = span.filter(F.col("currency") == target).select(F.col("_a").alias("_ta"), F.col("_b").alias("_tb"), F.lit(1).alias("_one"))
-    from_ = from_.join(own, ["_c", "_day"], "left").withColumn("_one", F.lit(1)).join(to_span, "_one", "left")
-    to = dense.filter(F.col("currency") == target).select(F.col("day").alias("_to_day"), F.col("rate").alias("_to"))
-    from_ = from_.withColumn("_to_day", F.greatest(F.least("_real", "_tb"), F.col("_ta"))).join(to, "_to_day", "left")
+
+    def held(ends: Column) -> Column:
+        return F.greatest(F.least(F.col("_real"), ends["b"]), ends["a"])
+
+    own, to = F.try_element_at("_spans", F.col(currency_col)), F.try_element_at("_spans", F.lit(target))
+    from_ = df.withColumns({"_spans": spans, "_real": day}).withColumns({"_day": F.when(own.isNotNull(), held(own)), "_to_day": held(to)}).drop("_spans")
+    rates_from = dense.select(F.col("currency").alias("_c"), F.col("day").alias("_day"), F.col("rate").alias("_from"))
+    from_ = from_.withColumn("_c", F.col(currency_col)).join(rates_from, ["_c", "_day"], "left")
+    rates_to = dense.filter(F.col("currency") == target).select(F.col("day").alias("_to_day"), F.col("rate").alias("_to"))
+    from_ = from_.join(rates_to, "_to_day", "left")
     amount = F.col(amount_col).cast("double")
     converted = F.when((F.year("_real") >= since) & F.col("_real").isNotNull(), amount / F.col("_from") * F.col("_to"))
     value = F.when(F.col(currency_col) == target, amount).otherwise(converted)
-    return from_.withColumn(out, value).drop("_c", "_a", "_b", "_ta", "_tb", "_one", "_day", "_real", "_to_day", "_from", "_to")
+    return from_.withColumn(out, value).drop("_c", "_day", "_real", "_to_day", "_from", "_to")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import sample_key
+from ..sources.scratch import kept
 
 
 def usable_text(df: DataFrame) -> DataFrame:
@@ -98,12 +99,32 @@ def assemble_training(positives: DataFrame, sources: list[tuple[DataFrame, float
     return usable_text(out)
 
 
+def _nth(df: DataFrame, order: str, n: int):
+    """The ``n``-th smallest value of a column, nulls aside (the greatest, if there are fewer; None for none).
+
+    Equal values are counted first and the counts dealt by ranges; only the range that holds the answer is run through in order.
+    """
+    counts = df.filter(F.col(order).isNotNull()).groupBy(order).agg(F.count(F.lit(1)).alias("_rows"))
+    ranged = kept(counts.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_part").agg(F.sum("_rows").alias("rows"), F.max(order).alias("top")).orderBy("_part").collect()
+    before = 0
+    for r in sizes:
+        if before + r["rows"] >= n:
+            upto = F.sum("_rows").over(Window.partitionBy("_part").orderBy(order))
+            return ranged.filter(F.col("_part") == r["_part"]).withColumn("_upto", upto).filter(F.col("_upto") >= n - before).agg(F.min(order)).first()[0]
+        before += r["rows"]
+    return sizes[-1]["top"] if sizes else None
+
+
 def replace_negatives(train: DataFrame, extra: DataFrame, seq: str = "seq") -> DataFrame:
-    """Drop the first negatives in order of ``seq``, as many as ``extra`` has, and append ``extra`` as negatives."""
+    """Drop the first negatives in order of ``seq``, as many as ``extra`` has, and append ``extra`` as negatives.
+
+    Negatives that share the last one's ``seq`` go with it; those without a ``seq`` stay and don't count.
+    """
     n = extra.count()
-    gone = train.filter("relevant = 0").orderBy(seq).limit(n).select(seq)
-    kept = train.join(gone, seq, "left_anti").select("id", "text", "relevant")
-    return kept.unionByName(extra.select("id", "text", F.lit(0).alias("relevant")))
+    last = _nth(train.filter("relevant = 0"), seq, n) if n else None
+    left = train if last is None else train.filter(~F.coalesce((F.col("relevant") == 0) & (F.col(seq) <= F.lit(last)), F.lit(False)))
+    return left.select("id", "text", "relevant").unionByName(extra.select("id", "text", F.lit(0).alias("relevant")))
 
 
 def new_rows(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
