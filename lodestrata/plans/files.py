@@ -6,6 +6,7 @@ and executors share, and reads them back; the SQL says what must come.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import keywords as K
@@ -235,9 +236,9 @@ def a22(spark, d):
     )
 
 
-# --- debates: conversations as the sittings of 28 days, a file each
+# --- debates: conversations as sittings on 28 days, a file for every 16 of them
 
-TURN = """(SELECT printf('debates2020-%02d-%02da.xml', CAST(1 + (conv_id % 28) % 3 AS INT), CAST(1 + conv_id % 28 AS INT)) AS file, conv_id, turn,
+TURN = """(SELECT printf('debates2020-%02d-%02da%d.xml', CAST(1 + (conv_id % 28) % 3 AS INT), CAST(1 + conv_id % 28 AS INT), conv_id // 448) AS file, conv_id, turn,
  CASE WHEN role = 'assistant' THEN 'speech' WHEN turn % 4 = 0 THEN 'major-heading' ELSE 'minor-heading' END AS tag,
  'x' || conv_id || '.' || turn AS id, trim(regexp_replace(text, '[^ -~]+', ' ', 'g')) AS text FROM conversations)"""
 Q_ROWS = f"(SELECT *, row_number() OVER (PARTITION BY file ORDER BY conv_id, turn) - 1 AS pos FROM {TURN})"
@@ -250,20 +251,25 @@ Q_SPEECHES = f"(SELECT * EXCLUDE (tag) FROM {Q_SPEECHES} WHERE tag = 'speech')"
 SAID = ["speech_id", "date", "speech", "major_heading", "minor_heading"]
 
 
-def sittings(spark, d, root, chosen="true"):
-    """Write the debate files whose day fits ``chosen``; the few files are then given their names."""
+def sittings(spark, d, root, chosen="true", torn="false"):
+    """Write the debate files whose day fits ``chosen``, those of ``torn`` days without their end.
+
+    Rows are streamed into their files in order; files are then given their names.
+    """
     turns = load(spark, d, "conversations").filter(chosen)
     day = F.col("conv_id") % 28
-    name = F.format_string("debates2020-%02d-%02da.xml", (1 + day % 3).cast("int"), (1 + day).cast("int"))
+    name = F.format_string("debates2020-%02d-%02da%d.xml", (1 + day % 3).cast("int"), (1 + day).cast("int"), F.expr("conv_id div 448"))
     tag = F.when(F.col("role") == "assistant", "speech").when(F.col("turn") % 4 == 0, "major-heading").otherwise("minor-heading")
     text = F.trim(F.regexp_replace("text", r"[^ -~]+", " "))
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(a), F.lit(b))
     element = F.format_string('<%s id="x%s.%s">%s</%s>', tag, F.col("conv_id"), F.col("turn"), text, tag)
-    whole = turns.select(name.alias("file"), F.struct("conv_id", "turn", element.alias("xml")).alias("e")).groupBy("file").agg(F.sort_array(F.collect_list("e")).alias("es"))
-    body = F.concat(F.lit("<publicwhip>"), F.array_join(F.transform("es", lambda e: e["xml"]), "\n"), F.lit("</publicwhip>"))
+    inside = Window.partitionBy("file").orderBy("conv_id", "turn")
+    lines = turns.select(name.alias("file"), "conv_id", "turn", element.alias("xml"), F.expr(torn).alias("torn"))
+    lines = lines.withColumns({"first": F.lag(F.lit(1)).over(inside).isNull(), "last": F.lead(F.lit(1)).over(inside).isNull() & ~F.col("torn")})
+    body = F.concat(F.when(F.col("first"), "<publicwhip>").otherwise(""), "xml", F.when(F.col("last"), "</publicwhip>").otherwise(""))
     made = scratch(spark, "made")
-    whole.select("file", body.alias("value")).repartition("file").write.partitionBy("file").text(made)
+    lines.select("file", body.alias("value")).write.partitionBy("file").text(made)
     fs, _ = tables._fs(spark, root)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(path(root))
@@ -294,6 +300,12 @@ def a23(spark, d):
     return X.parse_debates(spark, sittings(spark, d, scratch(spark, "debates"))).select(*SAID)
 
 
+@query("A23_faulty_files", f"SELECT file, count(*) AS rows_kept FROM {TURN} WHERE conv_id % 28 IN (3, 11) GROUP BY file")
+def a23b(spark, d):
+    files = streaming.all_files(spark, sittings(spark, d, scratch(spark, "debates"), torn="conv_id % 28 IN (3, 11)"))
+    return X.faulty_files(files).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "rows_kept")
+
+
 @query("E3_upsert_debates", "SELECT o_orderkey AS speech_id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS speech FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
 def e3(spark, d):
     rows = load(spark, d, "orders").selectExpr("o_orderkey AS speech_id", "0 AS pos")
@@ -361,7 +373,7 @@ def i3(spark, d):
     """A rebuild after the files of two months of three went replaces what the stream had gathered."""
     root, out = stores(spark, d)
     fs, _ = tables._fs(spark, root)
-    for name in [r["path"].rsplit("/", 1)[1] for r in tables.all_debate_files(spark, root).collect()]:  # one a day
+    for name in [r["path"].rsplit("/", 1)[1] for r in tables.all_debate_files(spark, root).collect()]:
         if "-01-" not in name[:16]:
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), False)
     streaming.update(spark, root, dictionary(spark), out, f"{out}/check", long_texts, full=True)

@@ -27,9 +27,15 @@ def element_text(element: ET.Element) -> str:
     return "".join(parts)
 
 
-def elements(path: str, content: bytes) -> Iterator[tuple]:
-    """Direct children of the root, up to a fault in the file."""
-    depth, pos = 0, 0
+FAULT = "fault"
+
+
+def elements(path: str, content: bytes | None) -> Iterator[tuple]:
+    """Direct children of the root; a fault in the file ends them with a row that tells it, at the place it came."""
+    depth, pos, none = 0, 0, (None,) * len(FIELDS)
+    if content is None:
+        yield (path, pos, FAULT, "no content", *none)
+        return
     try:
         for event, element in ET.iterparse(io.BytesIO(content), ("start", "end")):
             depth += 1 if event == "start" else -1
@@ -37,22 +43,30 @@ def elements(path: str, content: bytes) -> Iterator[tuple]:
                 yield (path, pos, element.tag, element_text(element), *(element.get(f, "NA") for f in FIELDS))
                 pos += 1
                 element.clear()
-    except ET.ParseError:
-        return
+    except ET.ParseError as fault:
+        yield (path, pos, FAULT, str(fault), *none)
 
 
-def parse_files(files: DataFrame) -> DataFrame:
-    """(path, pos, tag, text, attributes) from (path, content); rows before a fault are kept."""
-
+def _parsed(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in ROWS.split(", ")]
         for batch in batches:
-            rows = [r for p, c in zip(batch["path"], batch["content"], strict=True) for r in elements(p, bytes(c))]
+            rows = [r for p, c in zip(batch["path"], batch["content"], strict=True) for r in elements(p, None if c is None else bytes(c))]
             yield pd.DataFrame(rows, columns=names)
 
     return files.select("path", "content").mapInPandas(run, ROWS)
 
 
+def parse_files(files: DataFrame) -> DataFrame:
+    """(path, pos, tag, text, attributes) from (path, content); rows before a fault are kept."""
+    return _parsed(files).filter(F.col("tag") != FAULT)
+
+
+def faulty_files(files: DataFrame) -> DataFrame:
+    """(path, rows_kept, fault) of the files that could not be read to their end; empty files are among them."""
+    return _parsed(files).filter(F.col("tag") == FAULT).select("path", F.col("pos").cast("long").alias("rows_kept"), F.col("text").alias("fault"))
+
+
 def debates(rows: DataFrame, strict: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Speeches with headings, date and year, and the columns of ``keep``."""
     named = rows.withColumn("text", clean_lines(F.col("text")))

@@ -118,3 +118,11 @@ def test_upsert_and_split(spark):
     assert training.longest_per_key(texts, by="lexicographic").first()["text"] == "zz"
     with pytest.raises(ValueError):
         training.negative_sample(texts, 5, 1)
+
+
+def test_faulty_files_are_told(spark):
+    rows = [("a", ONE.encode()), ("b", b"<x><speech id='1'>one</speech><speech>"), ("c", b""), ("d", None), ("e", b"<x><speech>1</speech></y>"), ("b", b"<")]
+    files = spark.createDataFrame(rows, "path string, content binary").withColumn("pos", F.lit(1)).withColumn("fault", F.lit("x"))
+    got = sorted((r.path, r.rows_kept, bool(r.fault)) for r in debates.faulty_files(files).collect())
+    assert got == [("b", 0, True), ("b", 1, True), ("c", 0, True), ("d", 0, True), ("e", 1, True)]
+    assert debates.parse_files(files).filter("path <> 'a'").count() == 2 and debates.faulty_files(files.limit(0)).count() == 0
