@@ -129,8 +129,16 @@ def keyword_sentences(df: DataFrame, owner: str, date: str, term: str) -> DataFr
     return rows.filter(F.col("sentence").rlike(term))
 
 
-#: A short list of English function words that carry no topic.
-STOP_WORDS = tuple("a an and are as at be by for from has he in is it its of on or that the this to was were will with".split())
+#: Spark ML's English stop words that are words of two letters and more, without apostrophes.
+STOP_WORDS = tuple(
+    """
+    me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them
+    their theirs themselves what which who whom this that these those am is are was were be been being have has had having do does did doing
+    an the and but if or because as until while of at by for with about against between into through during before after above below to
+    from up down in out on off over under again further then once here there when where why how all any both each few more most other some
+    such no nor not only own same so than too very can will just don should now cannot could ought would
+    """.split()
+)
 
 
 def count_terms(df: DataFrame, keys: list[str], stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
