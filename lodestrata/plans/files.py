@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import keywords as K
 from ..operators import training as T
 from ..sources import debates as X
+from ..sources import stores as runs
 from ..sources import tables
 from ..sources.scratch import scratch
 from ..streaming import debates as streaming
@@ -185,6 +186,16 @@ def a26(spark, d):
     return tables.read_label_store(spark, path, STORE)
 
 
+@query("A26_compacted_store", "SELECT o_orderkey AS id, CAST(max(b) AS INT) AS label FROM orders, range(24) AS r(b) WHERE o_orderkey % (b + 2) = 0 GROUP BY 1")
+def a26b(spark, d):
+    """24 upserts, folded whenever eight folders of a size are there."""
+    path, rows = f"{scratch(spark, 'compacted')}/store", load(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    for b in range(24):
+        runs.append(rows.filter(F.col("id") % (b + 2) == 0).withColumn("label", F.lit(b)), path)
+        runs.compact(spark, path, "id", "label", fan=8)
+    return runs.read(spark, path, "id", "label")
+
+
 @query("A27_exports", f"SELECT CAST(id AS BIGINT) AS id, name, kind FROM {sql(PARTS)}, (VALUES ('csv'), ('parquet')) AS k(kind)")
 def a27(spark, d):
     root, rows = scratch(spark, "exports"), load(spark, d, PARTS)
@@ -197,21 +208,35 @@ def a27(spark, d):
 # --- curated tables and JSON documents
 
 
+#: Objects in each JSON document that is written here.
+LISTED = 50_000
+
+
+def json_documents(spark, rows, opening, closing):
+    """Write (at, m) rows as documents that list ``m`` in the order of ``at``, each document a range of it."""
+    out, inside = scratch(spark, "documents"), Window.partitionBy("file").orderBy("at")
+    lines = rows.withColumn("file", F.floor(F.col("at") / LISTED))
+    before = F.when(F.lag(F.lit(1)).over(inside).isNull(), opening).otherwise(",")
+    after = F.when(F.lead(F.lit(1)).over(inside).isNull(), closing).otherwise("")
+    lines.select("file", F.concat(before, F.to_json("m"), after).alias("value")).write.partitionBy("file").text(out)
+    return out
+
+
 @query("A19_read_memberships", "SELECT CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS INT) AS pos, 'm' || c_custkey AS id, 'p' || (c_custkey % 50) AS person_id FROM customer")
 def a19(spark, d):
-    path = f"{scratch(spark, 'people')}/people.json"
-    rows = load(spark, d, "customer").selectExpr("CAST(c_custkey AS INT) AS at", "concat('m', c_custkey) AS id", "concat('p', c_custkey % 50) AS person_id")
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("at", "id", "person_id"))), lambda m: F.struct(m["id"].alias("id"), m["person_id"].alias("person_id")))
-    rows.agg(F.to_json(F.struct(listed.alias("memberships")))).coalesce(1).write.text(path)
-    return tables.read_memberships(spark, path).select("pos", "id", "person_id")
+    member = F.expr("named_struct('id', concat('m', c_custkey), 'person_id', concat('p', c_custkey % 50))")
+    path = json_documents(spark, load(spark, d, "customer").select(F.col("c_custkey").alias("at"), member.alias("m")), '{"posts":[{"id":"p"}],"memberships":[', '],"persons":[{"id":"x"}]}')
+    found = tables.read_memberships(spark, path, "id string, person_id string").withColumn("file", F.regexp_extract("path", r"file=(\d+)", 1).cast("long"))
+    # one row for each document
+    sizes = found.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return found.join(sizes.select("file", before.alias("before")), "file").select((F.col("before") + F.col("pos")).cast("int").alias("pos"), "id", "person_id")
 
 
 @query("A20_read_grant_projects", "SELECT p_name AS id, p_type AS text FROM part")
 def a20(spark, d):
-    path = f"{scratch(spark, 'grants')}/projects.json"
-    one = load(spark, d, "part").select(F.col("p_name").alias("id"), F.col("p_type").alias("abstractText"), "p_size")
-    one.agg(F.to_json(F.collect_list(F.struct("id", "abstractText", "p_size")))).coalesce(1).write.text(path)
-    return tables.read_grant_projects(spark, path)
+    project = F.struct(F.col("p_name").alias("id"), F.col("p_type").alias("abstractText"), "p_size")
+    return tables.read_grant_projects(spark, json_documents(spark, load(spark, d, "part").select(F.col("p_partkey").alias("at"), project.alias("m")), "[", "]"))
 
 
 @query("A21_read_curated", "SELECT s_suppkey AS id, s_name AS name FROM supplier")

@@ -149,7 +149,10 @@ def validate_geojson(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_label_store(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The store, or an empty table if there is none yet; other errors raise."""
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    from . import stores
+
+    rows = stores.read(spark, path, schema=schema)
+    return spark.createDataFrame([], schema) if rows is None else rows
 
 
 def reset_label_store(spark: SparkSession, path: str, schema: T.StructType | str) -> None:
@@ -157,7 +160,11 @@ def reset_label_store(spark: SparkSession, path: str, schema: T.StructType | str
 
 
 def append_or_create(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Add the rows to the store; earlier appends fold together as they gather."""
+    from . import stores
+
+    stores.append(df, path)
+    stores.compact(df.sparkSession, path)
 
 
 def incremental_files(spark: SparkSession, manifest: str, root: str, done: DataFrame | None = None) -> DataFrame:
@@ -180,14 +187,18 @@ def files_for_year(files: DataFrame, year: str) -> DataFrame:
     return files.filter(year_of_file(F.col("path")) == year)
 
 
-def read_memberships(spark: SparkSession, path: str) -> DataFrame:
-    """Memberships of a people document in list order (``pos``)."""
-    rows = spark.read.json(path, multiLine=True).select(F.posexplode("memberships").alias("pos", "m"))
-    return rows.select("pos", "m.*")
+def read_memberships(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Memberships of people documents: the document's ``path``, the place in its list (``pos``), and the members' fields."""
+    from .json_elements import json_elements
+
+    return json_elements(spark, path, "memberships", schema).select("path", "pos", "m.*")
 
 
 def read_grant_projects(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path, multiLine=True).select("id", F.col("abstractText").alias("text"))
+    """Id and abstract of the projects that documents list."""
+    from .json_elements import json_elements
+
+    return json_elements(spark, path, schema="id string, abstractText string").select("m.id", F.col("m.abstractText").alias("text"))
 
 
 def read_curated(spark: SparkSession, root: str, name: str) -> DataFrame:

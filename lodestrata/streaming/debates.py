@@ -1,8 +1,8 @@
 """Incremental enrichment of debate files with Structured Streaming.
 
 A store is a folder of generations; a generation is what a rebuild wrote plus a folder for
-each stream batch since.  A batch writes its own rows only, and running it again writes
-the same folder; readers merge by key, the newest file's row last.
+each stream batch since, folded together as they come (see ``sources.stores``).  A batch writes
+its own rows only; readers merge by key, the newest file's row last, so running it again changes nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keywords import collapse_labels, keyword_match
 from ..operators.training import upsert
+from ..sources import stores as runs
 from ..sources.debates import debates, parse_files
 from ..sources.tables import exists, list_dirs
 
@@ -33,19 +34,23 @@ def all_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _generation(spark: SparkSession, store: str) -> int:
-    """The newest generation whose base was written to the end; 0 (which needs none) if there is no such."""
+    """The newest generation whose base was written to the end, folded since or not; 0 (which needs none) if there is no such."""
     found = [int(d.removeprefix("generation=")) for d in (list_dirs(spark, store) if exists(spark, store) else []) if d.startswith("generation=")]
-    return max((g for g in found if exists(spark, f"{store}/generation={g:06d}/{BASE}/_SUCCESS")), default=0)
+
+    def whole(folder: str) -> bool:
+        return exists(spark, f"{folder}/{BASE}/_SUCCESS") or any(n.startswith("merged=") for n in runs.folders(spark, folder))
+
+    return max((g for g in found if whole(f"{store}/generation={g:06d}")), default=0)
+
+
+def _key(store: str) -> str:
+    return KEYS[store.rstrip("/").rsplit("/", 1)[-1]]
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame | None:
     """The store's rows, each key's newest; None if there are none yet."""
-    folder = f"{store}/generation={_generation(spark, store):06d}"
-    if not exists(spark, folder):
-        return None
-    key = KEYS[store.rstrip("/").rsplit("/", 1)[-1]]
-    rows = spark.read.option("mergeSchema", True).parquet(folder).drop("batch")
-    return upsert(rows.limit(0), rows, key, "stamp").drop("stamp")
+    rows = runs.read(spark, f"{store}/generation={_generation(spark, store):06d}", _key(store))
+    return None if rows is None else rows.drop("stamp")
 
 
 def enrich(speeches: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -68,7 +73,7 @@ def _tables(files: DataFrame, dictionary: DataFrame, models: Callable[[DataFrame
 
 
 def stream_enrich(files: DataFrame, dictionary: DataFrame, stores: str, checkpoint: str, models: Callable[[DataFrame], DataFrame] | None = None):
-    """Parse, label and upsert each batch of files; running a batch again writes the same folders.
+    """Parse, label and upsert each batch of files; running a batch again leaves the stores' rows the same.
 
     ``models`` adds prediction columns to (id, text, stamp) rows.  Another checkpoint's batches have folders of their own.
     """
@@ -78,7 +83,9 @@ def stream_enrich(files: DataFrame, dictionary: DataFrame, stores: str, checkpoi
         spark = df.sparkSession
         for name, new in _tables(df, dictionary, models).items():
             store = f"{stores}/{name}"
-            new.write.mode("overwrite").parquet(f"{store}/generation={_generation(spark, store):06d}/batch={run}-{number:012d}")
+            folder = f"{store}/generation={_generation(spark, store):06d}"
+            runs.append(new, folder, f"{run}-{number:012d}")
+            runs.compact(spark, folder, _key(store))
 
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
