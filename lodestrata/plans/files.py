@@ -6,7 +6,9 @@ and executors share, and reads them back; the SQL says what must come.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import keywords as K
@@ -57,6 +59,45 @@ def a3(spark, d):
     return orgs.alias("o").join(rounds.alias("r"), F.col("r.org_id") == F.col("o.id"), "left").groupBy("o.id").agg(F.count("r.id").alias("n"))
 
 
+#: What stands in for the sixteen tables of a snapshot: (id, org_id) over the given ones.
+HELD = {
+    "organizations": ("customer", "c_custkey AS id", "c_custkey AS org_id"),
+    "organization_descriptions": ("customer", "c_custkey AS id", "c_custkey AS org_id"),
+    "org_parents": ("customer", "c_custkey AS id", "c_nationkey AS org_id"),
+    "funding_rounds": ("orders", "o_orderkey AS id", "o_custkey AS org_id"),
+    "funds": ("orders", "o_orderkey AS id", "o_custkey % 100 AS org_id"),
+    "acquisitions": ("orders", "o_orderkey AS id", "o_custkey + o_orderkey % 2 AS org_id"),
+    "events": ("conversations", "conv_id AS id", "conv_id % 10 AS org_id"),
+    "event_appearances": ("conversations", "conv_id AS id", "turn AS org_id"),
+    "investors": ("supplier", "s_suppkey AS id", "s_suppkey AS org_id"),
+    "investments": ("lineitem", "l_orderkey AS id", "l_suppkey AS org_id"),
+    "ipos": ("lineitem", "l_orderkey AS id", "l_partkey AS org_id"),
+    "jobs": ("lineitem", "l_partkey AS id", "l_suppkey AS org_id"),
+    "people": ("documents", "doc_id AS id", "n_chars AS org_id"),
+    "people_descriptions": ("documents", "doc_id AS id", "length(text) AS org_id"),
+    "degrees": ("labels", "doc_id AS id", "quality AS org_id"),
+    "category_groups": ("part", "p_partkey AS id", "p_size AS org_id"),
+}
+
+
+@query(
+    "A3_catalog_all",
+    " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n, count(DISTINCT id) AS ids, count(DISTINCT org_id) AS orgs FROM {sql(v)}" for t, v in HELD.items()),
+)
+def a3b(spark, d):
+    root = scratch(spark, "snapshot")
+    for name, view in HELD.items():
+        load(spark, d, view).write.parquet(f"{root}/Crunchbase_{NEW}/{name}.parquet")
+    names = tables.catalog(spark, root, "Crunchbase")
+    held = [spark.table(n).select(F.lit(n).alias("name"), F.col("id").cast("long").alias("id"), F.col("org_id").cast("long").alias("org_id")) for n in names]
+    # ids and organisations are each made distinct before they are counted
+    rows = reduce(DataFrame.unionAll, held)
+    counts = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    for col, out in (("id", "ids"), ("org_id", "orgs")):
+        counts = counts.join(rows.select("name", col).distinct().groupBy("name").agg(F.count(col).alias(out)), "name")
+    return counts
+
+
 @query("A4_read_enriched", f"SELECT id, name, mission_labels FROM {sql(ORGS)}")
 def a4(spark, d):
     root = scratch(spark, "enriched")

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder's path below ``spark.checkpoint.dir``; a temporary folder stands in for that on a local master only."""
     sc = spark.sparkContext
@@ -17,7 +20,17 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="lodestrata-")
         sc.setCheckpointDir(root)
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{root}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all such folders that this process named, once what was read from them is done with; how many there were."""
+    deleted = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        deleted += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return deleted
 
 
 def kept(df: DataFrame, name: str = "kept") -> DataFrame:

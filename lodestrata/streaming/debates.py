@@ -17,7 +17,7 @@ from ..operators.keywords import collapse_labels, keyword_match
 from ..operators.training import upsert
 from ..sources import stores as runs
 from ..sources.debates import debates, parse_files
-from ..sources.tables import exists, list_dirs
+from ..sources.tables import _fs, exists, list_dirs
 
 BINARY = "path string, modificationTime timestamp, length long, content binary"
 KEYS = {"debates": "speech_id", "keyword_labels": "id", "ml_labels": "id"}
@@ -91,10 +91,18 @@ def stream_enrich(files: DataFrame, dictionary: DataFrame, stores: str, checkpoi
 
 
 def full_rebuild(spark: SparkSession, root: str, dictionary: DataFrame, stores: str, models: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """All files at once, replacing the stores: a new generation, which counts from when it is whole."""
+    """All files at once, replacing the stores: a new generation, which counts from when it is whole.
+
+    The one before it stays for readers that had begun; older ones are deleted.
+    """
     for name, rows in _tables(all_files(spark, root), dictionary, models).items():
         store = f"{stores}/{name}"
-        rows.write.mode("overwrite").parquet(f"{store}/generation={_generation(spark, store) + 1:06d}/{BASE}")
+        before = _generation(spark, store)
+        rows.write.mode("overwrite").parquet(f"{store}/generation={before + 1:06d}/{BASE}")
+        fs, path = _fs(spark, store)
+        for old in list_dirs(spark, store):
+            if old.startswith("generation=") and int(old.removeprefix("generation=")) < before:
+                fs.delete(path.suffix(f"/{old}"), True)
 
 
 def update(spark: SparkSession, root: str, dictionary: DataFrame, stores: str, checkpoint: str, models: Callable[[DataFrame], DataFrame] | None = None, full: bool = False) -> None:

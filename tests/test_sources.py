@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestrata.operators import fx, training
 from lodestrata.plans.texts import dictionary
 from lodestrata.sources import debates, tables
+from lodestrata.sources.scratch import kept, release, scratch
 from lodestrata.streaming import debates as streaming
 
 ONE = """<publicwhip><major-heading id="a">Energy</major-heading><minor-heading id="b">Heat</minor-heading>
@@ -90,6 +91,15 @@ def test_files(spark, tmp_path):
         tables.resolve_file(paths, "c")
 
 
+def test_release(spark):
+    release(spark)
+    rows = kept(spark.range(5))
+    other = scratch(spark, "never")
+    path = rows.inputFiles()[0].rsplit("/", 1)[0]
+    assert rows.count() == 5 and tables.exists(spark, path) and not tables.exists(spark, other)
+    assert release(spark) == 1 and not tables.exists(spark, path) and release(spark) == 0
+
+
 def test_currency(spark):
     day = datetime.date
     rates = spark.createDataFrame(

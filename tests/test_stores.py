@@ -91,3 +91,5 @@ def test_stream_folds(spark, tmp_path, monkeypatch):
     assert said() == want
     streaming.full_rebuild(spark, str(root), words, out, models)
     assert said() == want and streaming._generation(spark, f"{out}/debates") == 2
+    streaming.full_rebuild(spark, str(root), words, out, models)
+    assert said() == want and tables.list_dirs(spark, f"{out}/debates") == ["generation=000002", "generation=000003"]
