@@ -21,9 +21,10 @@ def step_decay(y: Column, at: float) -> Column:
     return F.when(y <= at, 1.0).otherwise(F.exp(F.lit(math.log(0.1) / at) * (y - at)))
 
 
-def clean_lines(c: Column) -> Column:
-    """Lines stripped, blank ones dropped, joined by one space."""
-    return F.array_join(F.filter(F.transform(F.split(c, r"\R"), F.trim), lambda x: x != ""), " ")
+def clean_lines(c: Column, breaks: str = r"\R") -> Column:
+    """Lines stripped of spaces of any kind, blank ones dropped, joined by one space; ``breaks`` matches a line's end."""
+    lines = F.transform(F.split(c, breaks), lambda x: F.regexp_replace(x, r"^\p{Zs}+|\p{Zs}+\z", ""))
+    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
 def collapse_ws(c: Column) -> Column:
@@ -44,7 +45,7 @@ def term_bucket(date: Column, starts: tuple[str, ...] = TERM_STARTS) -> Column:
 
 
 def split_list(c: Column, sep: str = ",") -> Column:
-    return F.coalesce(F.transform(F.split(c, sep), F.trim), F.array().cast("array<string>"))
+    return F.coalesce(F.transform(F.split(c, sep), lambda x: F.trim(x)), F.array().cast("array<string>"))
 
 
 def parse_keywords(c: Column, sep: str = ",") -> Column:
