@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,11 +13,21 @@ def zip_positions(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, keys), parts)
 
 
+def inverted_index(df: DataFrame, words: Column, out: str = "index") -> DataFrame:
+    """``df`` with a word -> positions map of an array of words; null for null.  Words are sorted within their row, nothing is shuffled."""
+    rows = df.withColumn("_sorted", F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos")))))
+    places = F.when(F.size("_sorted") > 0, F.sequence(F.lit(0), F.size("_sorted") - 1)).when(F.col("_sorted").isNotNull(), F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("_sorted", i)["word"] != F.get("_sorted", i - 1)["word"]))
+    rows = rows.withColumn("_starts", starts)
+    stop = lambda n: F.coalesce(F.get("_starts", n + 1), F.size("_sorted"))
+    runs = F.transform("_starts", lambda i, n: F.struct(F.get("_sorted", i)["word"], F.transform(F.slice("_sorted", i + 1, stop(n) - i), lambda x: x["pos"])))
+    return rows.withColumn(out, F.map_from_entries(runs)).drop("_sorted", "_starts")
+
+
 def abstract_from_inverted_index(df: DataFrame, id_col: str, index: str) -> DataFrame:
-    """Text rebuilt from a word -> positions map."""
-    words = df.select(id_col, F.explode(index).alias("word", "at")).select(id_col, "word", F.explode("at").alias("pos"))
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "word")))
-    return words.groupBy(id_col).agg(F.array_join(F.transform(ordered, lambda x: x["word"]), " ").alias("abstract"))
+    """Text rebuilt from a word -> positions map, row by row; null for null."""
+    words = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda pos: F.struct(pos.alias("pos"), e["key"].alias("word")))))
+    return df.select(id_col, F.array_join(F.transform(F.array_sort(words), lambda x: x["word"]), " ").alias("abstract"))
 
 
 def build_prompts(docs: DataFrame, questions: list[str], id_col: str, text: str) -> DataFrame:
