@@ -58,13 +58,16 @@ def first_term(days: DataFrame, memberships: DataFrame) -> DataFrame:
     """
     term = F.struct("pos", "a", "b", F.col("on_behalf_of_id").alias("party"))
     terms = memberships.withColumns({"a": F.to_date("start_date"), "b": F.to_date("end_date")}).filter("a is not null and b is not null and person_id is not null")
-    blocks = terms.select("person_id", term.alias("term"), F.explode(_day_blocks("a", "b")).alias("x"))
-    blocks = blocks.groupBy("person_id", "x.level", "x.block").agg(F.min("term").alias("term"))
+    blocks = terms.select("person_id", "pos", F.explode(_day_blocks("a", "b")).alias("x"))
+    # numbers alone are reduced by hash as they come; a term with its text would be sorted with all its blocks
+    blocks = blocks.groupBy("person_id", "x.level", "x.block").agg(F.min("pos").alias("pos"))
     # no more numbers than there are lengths
     levels = blocks.agg(F.collect_set("level")).scalar()
     asked = days.filter("person_id is not null and day is not null").select("person_id", "day").distinct().withColumn("_levels", levels)
     asked = asked.select("person_id", "day", F.explode("_levels").alias("level")).withColumn("block", F.expr("shiftright(unix_date(day), level)"))
-    return asked.join(blocks, ["person_id", "level", "block"]).groupBy("person_id", "day").agg(F.min("term").alias("term"))
+    first = asked.join(blocks, ["person_id", "level", "block"]).groupBy("person_id", "day").agg(F.min("pos").alias("pos"))
+    held = first.join(terms.select("person_id", "pos", "a", "b", term.alias("term")), ["person_id", "pos"]).filter("day between a and b")
+    return held.groupBy("person_id", "day").agg(F.min("term").alias("term"))
 
 
 def speaker_party(speeches: DataFrame, memberships: DataFrame) -> DataFrame:
@@ -76,12 +79,19 @@ def speaker_party(speeches: DataFrame, memberships: DataFrame) -> DataFrame:
     """
     last = F.max(F.struct("pos", "on_behalf_of_id"))["on_behalf_of_id"]
     by_id = memberships.filter("id is not null").groupBy(F.col("id").alias("speaker_id")).agg(last.alias("_by_id"))
-    said = speeches.withColumn("_day", F.to_date("date"))
-    terms = first_term(said.filter("speaker_id is null").select("person_id", F.col("_day").alias("day")), memberships)
+    said = speeches.select(*[c for c in speeches.columns if c != "party"]).withColumn("_day", F.to_date("date"))
+    # null keys would all meet in one task: each speech goes only into the join that can answer it
+    named = F.col("speaker_id").isNotNull()
+    asks = ~named & F.col("person_id").isNotNull() & F.col("_day").isNotNull()
+    terms = first_term(said.filter(asks).select("person_id", F.col("_day").alias("day")), memberships)
     terms = terms.select("person_id", F.col("day").alias("_day"), F.col("term.party").alias("_by_person"))
-    out = said.join(by_id, "speaker_id", "left").join(terms, ["person_id", "_day"], "left")
-    party = F.when(F.col("speaker_id").isNotNull(), F.col("_by_id")).otherwise(F.col("_by_person"))
-    return out.select(*[c for c in speeches.columns if c != "party"], party.alias("party"))
+    out = [
+        said.filter(named).join(by_id, "speaker_id", "left").withColumn("party", F.col("_by_id")),
+        said.filter(asks).join(terms, ["person_id", "_day"], "left").withColumn("party", F.col("_by_person")),
+        said.filter(~named & ~asks).withColumn("party", F.lit(None).cast("string")),
+    ]
+    columns = [*[c for c in said.columns if c != "_day"], "party"]
+    return out[0].select(*columns).unionByName(out[1].select(*columns)).unionByName(out[2].select(*columns))
 
 
 def length_bucket(df: DataFrame, text: str = "text", tol: float = 0.1) -> DataFrame:
