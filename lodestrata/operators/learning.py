@@ -33,6 +33,8 @@ def fit_encoder(df: DataFrame, size: int = 64, features: int = 1 << 12, seed: in
 def add_embeddings(df: DataFrame, encoder: SvdEncoder | None = None, name: str | None = None, size: int = 64) -> DataFrame:
     """``embedding`` (array of doubles of length one) and ``embedding_model``; a fitted encoder can be given, else one is fitted on ``df``."""
     rows = df.filter(F.col("text").isNotNull())
+    if encoder is None:
+        rows = kept(rows)  # a join or an explosion before it is not run again for each step of the fit
     model = encoder or fit_encoder(rows, size)
     return model.transform(rows).select(*df.columns, "embedding", F.lit(name or model.name).alias("embedding_model"))
 

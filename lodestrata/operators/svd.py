@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +30,21 @@ def sparse(column: str) -> Column:
     return F.struct(v["indices"].alias("i"), v["values"].alias("x"))
 
 
+def sparse_rows(column: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indices and values of sparse rows one after the other, and how many each row has."""
+    i, x = column.flatten()
+    sizes = pc.fill_null(pc.list_value_length(i), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return i.flatten().to_numpy(zero_copy_only=False).astype(np.int64), x.flatten().to_numpy(zero_copy_only=False).astype(np.float64), sizes
+
+
 def _chunks(batch: pa.RecordBatch, at: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """(indices, values, row of each, rows) of a few sparse rows at a time."""
-    column = batch.column(at)
+    i, x, sizes = sparse_rows(batch.column(at))
+    ends = np.concatenate([[0], np.cumsum(sizes)])
     for first in range(0, batch.num_rows, ROWS):
-        part = column.slice(first, ROWS).to_pylist()
-        sizes = [len(p["i"] or []) for p in part]
-        i = np.array([k for p in part for k in p["i"] or []], np.int64)
-        x = np.array([v for p in part for v in p["x"] or []], np.float64)
-        yield i, x, np.repeat(np.arange(len(part)), sizes), len(part)
+        part = sizes[first : first + ROWS]
+        own = slice(ends[first], ends[first + len(part)])
+        yield i[own], x[own], np.repeat(np.arange(len(part)), part), len(part)
 
 
 def _times(i: np.ndarray, x: np.ndarray, row: np.ndarray, n: int, q: np.ndarray) -> np.ndarray:
@@ -57,10 +64,11 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
         for batch in batches:
             for i, x, row, n in _chunks(batch, 0):
                 if len(i):
-                    y = _times(i, x, row, n, shared.value)
-                    order = np.argsort(i, kind="stable")
-                    starts = np.flatnonzero(np.diff(i[order], prepend=-1))
-                    total[i[order][starts]] += np.add.reduceat((x[:, None] * y[row])[order], starts)
+                    # the few rows as a matrix of the slots that they hold
+                    slots, at = np.unique(i, return_inverse=True)
+                    part = np.zeros((n, len(slots)))
+                    part[row, at] = x
+                    total[slots] += part.T @ (part @ shared.value[slots])
         return total
 
     out = add_up(rows, local, features * width).reshape(q.shape)
