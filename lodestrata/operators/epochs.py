@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
 from .sums import add_up
-from .svd import sparse
+from .svd import sparse, sparse_rows
 from .training import train_val_split
 
 FEATURES = 1 << 12
@@ -33,13 +33,12 @@ def term_counts(df: DataFrame, features: int, out: str) -> DataFrame:
     return counts.transform(words.transform(df.withColumn("_text", F.coalesce("text", F.lit(""))))).drop("_text", "_words")
 
 
-def _unit_rows(parts: list[dict], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Indices, TF-IDF values of length one by row, and the row of each."""
-    row = np.repeat(np.arange(len(parts)), [len(p["i"]) for p in parts])
-    i = np.array([k for p in parts for k in p["i"]], np.int64)
-    x = np.array([v for p in parts for v in p["x"]], np.float64) * idf[i]
-    norm = np.sqrt(np.bincount(row, x * x, len(parts)))
-    return i, x / np.maximum(norm, 1e-12)[row], row
+def _unit_rows(i: np.ndarray, counts: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF values of length one by row, and the row of each."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    x = counts * idf[i]
+    norm = np.sqrt(np.bincount(row, x * x, len(sizes)))
+    return x / np.maximum(norm, 1e-12)[row], row
 
 
 def _scores(i: np.ndarray, x: np.ndarray, row: np.ndarray, n: int, w: np.ndarray) -> np.ndarray:
@@ -67,11 +66,14 @@ def apply_classifiers(df: DataFrame, models: dict[str, TextClassifier]) -> DataF
 
     @F.pandas_udf("array<int>")
     def sides(parts: pd.DataFrame) -> pd.Series:
-        rows, out = parts.to_dict("records"), []
+        if not len(parts):
+            return pd.Series([], dtype=object)
+        sizes, out = parts["i"].map(len).to_numpy(), []
+        i, counts = np.concatenate(parts["i"].to_list()).astype(np.int64), np.concatenate(parts["x"].to_list()).astype(np.float64)
         for m in shared.value.values():
-            i, x, row = _unit_rows(rows, m.idf)
-            out.append((_scores(i, x, row, len(rows), m.weights) > 0).astype(np.int32))
-        return pd.Series(list(np.stack(out, axis=1))) if rows else pd.Series([], dtype=object)
+            x, row = _unit_rows(i, counts, sizes, m.idf)
+            out.append((_scores(i, x, row, len(sizes), m.weights) > 0).astype(np.int32))
+        return pd.Series(list(np.stack(out, axis=1)))
 
     scored = term_counts(df, features.pop(), "_tf").withColumn("_sides", sides(sparse("_tf"))).drop("_tf")
     return scored.withColumns({f"{name}_preds": F.col("_sides")[k] for k, name in enumerate(models)}).drop("_sides")
@@ -95,8 +97,18 @@ def fit_text_classifier(
     epochs.  Rows without text or label are left out; none at all is an error.
     """
     usable = df.filter("text is not null and relevant is not null").select("id", "text", "relevant")
-    train, val = train_val_split(usable, seed)
-    counted = term_counts(train.withColumn("held", F.lit(False)).unionByName(val.withColumn("held", F.lit(True))), features, "tf")
+    return fit_counts(kept(term_counts(usable, features, "tf").drop("text")), features, epochs, batch, rate, decay, patience, threshold, seed)
+
+
+def fit_counts(
+    df: DataFrame, features: int, epochs: int = 12, batch: int = 60, rate: float = 5.0, decay: float = 1e-4, patience: int = 3, threshold: float = 1e-4, seed: int = 13
+) -> tuple[TextClassifier, list[tuple[int, float, float, float, bool]]]:
+    """``fit_text_classifier`` on words that are counted already: (id, tf: a sparse vector of ``features`` slots, relevant).
+
+    ``df`` is read several times, so it should be kept.
+    """
+    train, val = train_val_split(df.filter("relevant is not null").select("id", "tf", "relevant"), seed)
+    counted = train.withColumn("held", F.lit(False)).unionByName(val.withColumn("held", F.lit(True)))
     counted = kept(counted.withColumn("_order", F.xxhash64(F.lit(seed), "id")).repartition("id").sortWithinPartitions("_order").select("tf", "relevant", "held"))
     if counted.filter("not held").isEmpty():
         raise ValueError("there are no rows to train on")
@@ -110,12 +122,11 @@ def fit_text_classifier(
         def local(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
             begin, idf_ = shared.value
             now, seen, loss, held = begin.copy(), 0, 0.0, np.zeros(3)
-            waiting: list[tuple[dict, float]] = []
+            waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []  # rows short of a batch
 
-            def learn() -> None:
+            def learn(i: np.ndarray, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> None:
                 nonlocal now, seen, loss
-                i, x, row = _unit_rows([r for r, _ in waiting], idf_)
-                y = np.array([t for _, t in waiting])
+                row = np.repeat(np.arange(len(sizes)), sizes)
                 scores = _scores(i, x, row, len(y), now)
                 loss += _loss(scores, y)
                 error = (1 / (1 + np.exp(-scores)) - y) / len(y)
@@ -123,20 +134,24 @@ def fit_text_classifier(
                 now *= 1 - rate * decay
                 now -= rate * step
                 seen += len(y)
-                waiting.clear()
 
             for part in batches:
-                for row, y, out in zip(part[0].to_pylist(), part[1].to_pylist(), part[2].to_pylist(), strict=True):
-                    if out:
-                        i, x, _ = _unit_rows([row], idf_)
-                        score = np.array([(begin[i] * x).sum() + begin[-1]])
-                        held += [float((score[0] > 0) == (y > 0)), 1, _loss(score, np.array([y]))]
-                    else:
-                        waiting.append((row, y))
-                        if len(waiting) == batch:
-                            learn()
-            if waiting:
-                learn()
+                i, counts, sizes = sparse_rows(part[0])
+                x, row = _unit_rows(i, counts, sizes, idf_)
+                y, out = part[1].to_numpy(), part[2].to_numpy(zero_copy_only=False)
+                if out.any():
+                    scores = _scores(i, x, row, len(y), begin)[out]
+                    held += [float(((scores > 0) == (y[out] > 0)).sum()), out.sum(), _loss(scores, y[out])]
+                own = ~out[row]
+                waiting.append((i[own], x[own], sizes[~out], y[~out]))
+                i, x, sizes, y = (np.concatenate(c) for c in zip(*waiting, strict=True))
+                ends, whole = np.concatenate([[0], np.cumsum(sizes)]), len(y) - len(y) % batch
+                for first in range(0, whole, batch):
+                    a, b = ends[first], ends[first + batch]
+                    learn(i[a:b], x[a:b], sizes[first : first + batch], y[first : first + batch])
+                waiting = [(i[ends[whole] :], x[ends[whole] :], sizes[whole:], y[whole:])]
+            if waiting and len(waiting[0][3]):
+                learn(*waiting[0])
             return np.concatenate([now * seen, [seen, loss], held])
 
         found = add_up(rows, local, features + 6)
