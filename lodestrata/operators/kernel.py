@@ -59,6 +59,23 @@ class PolySketch:
         return make
 
 
+def _together(sketches: list[PolySketch]):
+    """A function on arrays of rows that makes one array for each sketch; they differ in ``coef0`` alone, so what they share is made once."""
+    if len({(s.width, s.gamma, s.degree, s.size, s.seed) for s in sketches}) != 1:
+        raise ValueError("sketches must differ in coef0 only")
+    one, tables = sketches[0], sketches[0]._tables()
+
+    def make(x: np.ndarray) -> Iterator[np.ndarray]:
+        shared = [(np.sqrt(one.gamma) * x) @ table[:-1] for table in tables]
+        for s in sketches:
+            spectrum = shared[0] + np.sqrt(s.coef0) * tables[0][-1]
+            for own, table in zip(shared[1:], tables[1:], strict=True):
+                spectrum *= own + np.sqrt(s.coef0) * table[-1]
+            yield np.fft.irfft(spectrum, s.size, axis=1)
+
+    return make
+
+
 def _rows(batch: pa.RecordBatch, at: int) -> np.ndarray:
     column = batch.column(at)
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -115,7 +132,7 @@ def _pass(rows: DataFrame, sketches: list[PolySketch], w: np.ndarray, folds: int
     shared = rows.sparkSession.sparkContext.broadcast(w)
 
     def local(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        weights, makers = shared.value, [s.maker() for s in sketches]
+        weights, make = shared.value, _together(sketches)
         loss, grad, hits = np.zeros(shape[:3]), np.zeros(shape), np.zeros((*shape[:3], 2))
         for batch in batches:
             x, sign, fold = _rows(batch, 0), np.where(batch.column(1).to_numpy() > 0, 1.0, -1.0), batch.column(2).to_numpy()
@@ -123,8 +140,8 @@ def _pass(rows: DataFrame, sketches: list[PolySketch], w: np.ndarray, folds: int
                 part = slice(first, first + ROWS)
                 trains = fold[part, None] != np.arange(folds + 1)
                 y = sign[part]
-                for s, make in enumerate(makers):
-                    f = np.hstack([make(x[part]), np.ones((len(y), 1))])
+                for s, made in enumerate(make(x[part])):
+                    f = np.hstack([made, np.ones((len(y), 1))])
                     scores = np.tensordot(f, weights[s], ([1], [2]))  # rows x C x folds
                     short = np.maximum(0, 1 - y[:, None, None] * scores) * trains[:, None, :]
                     loss[s] += (short**2).sum(axis=0)

@@ -63,3 +63,12 @@ def test_same_objective_as_a_plain_fit(cubic):
 def test_no_rows(cubic):
     with pytest.raises(ValueError, match="no rows"):
         K.fit_grid(cubic[0].limit(0))
+
+
+def test_sketches_of_a_grid_share_their_tables():
+    x = np.random.default_rng(2).normal(size=(9, 6))
+    sketches = [K.PolySketch(6, 0.3, c, size=64) for c in (1e-7, 0.5, 2.0)]
+    for s, made in zip(sketches, K._together(sketches)(x), strict=True):
+        assert np.allclose(made, s.maker()(x), rtol=1e-10, atol=1e-12)
+    with pytest.raises(ValueError, match="coef0"):
+        K._together([*sketches, K.PolySketch(6, 0.4, 1.0, size=64)])
