@@ -21,6 +21,8 @@ from ..sources.scratch import kept
 
 #: The most pivots and slices of a cell, whatever the tables' size; rows that a slice should hold, and at most a block; rows of a part that asks.
 PIVOTS, SLICES, BLOCK, ASKED = 64, 16, 2048, 4096
+#: Rows that a task measures or sends on at once.
+ROWS = 64
 NEAR = "id long, n_id long, d double"
 
 
@@ -34,6 +36,26 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.stack([((y - row) ** 2).sum(axis=1) for row in x])) if len(x) else np.zeros((0, len(y)))
 
 
+def _closest(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``x``, row of ``y``, distance) of the ``k`` rows of ``y`` nearest to each row of ``x``, nearest first, ties to the first.
+
+    A product of matrices tells, within its rounding, which rows can be among them; their distances are then taken exactly."""
+    k, size = min(k, len(y)), (y**2).sum(axis=1)
+    found = []
+    for first in range(0, len(x), ROWS):
+        part = x[first : first + ROWS]
+        own = (part**2).sum(axis=1)
+        about = own[:, None] + size - 2 * (part @ y.T)
+        bound = np.partition(about, k - 1, axis=1)[:, k - 1] + 1e-11 * (own + size.max())
+        a, b = np.nonzero(~(about > bound[:, None]))
+        d = np.sqrt(((y[b] - part[a]) ** 2).sum(axis=1))
+        order = np.lexsort((b, d, a))
+        a, b, d = a[order], b[order], d[order]
+        top = np.arange(len(a)) - np.searchsorted(a, a) < k
+        found.append((a[top] + first, b[top], d[top]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 def _cells(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Each row's nearest pivot and its distances to all of them."""
 
@@ -79,12 +101,14 @@ def routes(left: DataFrame, right: DataFrame, k: int) -> tuple[DataFrame, DataFr
         for batch in batches:
             if not batch.num_rows or not len(cell):
                 continue
-            far = _matrix(batch["far"])
-            t = (batch["at"].to_numpy() + reach[batch["cell"].to_numpy()])[:, None] * (1 + 1e-12) + 1e-12
-            need = (lo <= far[:, cell] + t) & (hi >= far[:, cell] - t)
-            row, which = np.nonzero(need)
-            columns = [batch["id"].take(pa.array(row)), batch["v"].take(pa.array(row)), pa.array(cell[which]), pa.array(piece[which])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "v", "cell", "slice"])
+            # a row may need every slice, so a few rows at a time go on
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                far = _matrix(part["far"])[:, cell]
+                t = (part["at"].to_numpy() + reach[part["cell"].to_numpy()])[:, None] * (1 + 1e-12) + 1e-12
+                row, which = np.nonzero((lo <= far + t) & (hi >= far - t))
+                columns = [part["id"].take(pa.array(row)), part["v"].take(pa.array(row)), pa.array(cell[which]), pa.array(piece[which])]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "v", "cell", "slice"])
 
     return asking.mapInArrow(route, "id long, v array<double>, cell int, slice int"), sliced.drop("at")
 
@@ -108,9 +132,8 @@ def nearest(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
         ids = a["n_id"].to_numpy()
         order = np.argsort(ids, kind="stable")
         x, ids = np.stack(a["v"].to_numpy())[order], ids[order]
-        d = _distances(np.stack(b["v"].to_numpy()), x)
-        top = np.argsort(d, axis=1, kind="stable")[:, :k]
-        return pd.DataFrame({"id": np.repeat(b["id"].to_numpy(), top.shape[1]), "n_id": ids[top].ravel(), "d": np.take_along_axis(d, top, 1).ravel()})
+        row, at, d = _closest(np.stack(b["v"].to_numpy()), x, k)
+        return pd.DataFrame({"id": b["id"].to_numpy()[row], "n_id": ids[at], "d": d})
 
     keys = ["cell", "slice", "block", "turn"]
     found = searched.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(meet, NEAR)

@@ -40,3 +40,22 @@ def test_few_or_no_rows(spark):
     two = table(spark, [(1, [0.0, 1.0]), (2, [1.0, 1.0])])
     assert N.nearest(two, two, 5).count() == 4
     assert N.nearest(two, two.limit(0), 5).collect() == [] and N.nearest(two.limit(0), two, 5).collect() == []
+
+
+def test_rows_that_need_every_slice_go_on_in_parts(spark, monkeypatch):
+    for name, value in {"PIVOTS": 16, "SLICES": 4, "BLOCK": 16}.items():
+        monkeypatch.setattr(N, name, value)
+    sizes = []
+    kept_batch = N.pa.RecordBatch.from_arrays
+    rng = np.random.default_rng(1)
+    df = table(spark, [(i, rng.normal(size=24)) for i in range(900)])
+    asking, _ = N.routes(df, df, 5)
+    parts = asking.coalesce(1).mapInArrow(lambda batches: (kept_batch([N.pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+    sizes = [r["n"] for r in parts.collect()]
+    assert sum(sizes) > 20 * 900
+    left, right = rng.normal(size=(150, 24)), np.repeat(rng.normal(size=(40, 24)), 3, axis=0)
+    row, at, d = N._closest(left, right, 7)
+    all_d = N._distances(left, right)
+    top = np.argsort(all_d, axis=1, kind="stable")[:, :7]
+    assert (at.reshape(150, 7) == top).all() and (d.reshape(150, 7) == np.take_along_axis(all_d, top, 1)).all()
+    assert (row == np.repeat(np.arange(150), 7)).all()
