@@ -33,7 +33,7 @@ from . import _common as common
 from .induced import permuted_lcp, suffix_array
 
 GRAM = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
 #: Documents are joined up to this size for their windows to be computed at once (a longer one by itself).
 JOIN_BYTES = 1 << 19
@@ -42,7 +42,7 @@ RUN = 512
 #: A minimizer whose pieces take more bytes than this sends its windows one by one, each to the shard of its own hash.
 CROWDED = SHARD_BYTES
 #: Blocks that one task handles one after the other.
-BLOCKS_A_TASK = 16
+BLOCKS_A_TASK = 64
 NO_ID = (1 << 63) - 1
 
 
@@ -182,8 +182,8 @@ def shared_minima(rows: DataFrame, first: DataFrame, n: int, width: int, k: int,
         yield pa.RecordBatch.from_arrays([(source[shared] >> 34).astype(np.int32), m[shared], np.repeat(size > crowded, times)[shared]], ["block", "m", "crowd"])
 
     found = _by_block(rows, n).cogroup(_by_block(first, n)).applyInArrow(seen, "m long, source long")
-    # a block of BLOCK_BYTES has a few hundred thousand minimizers: as many go to a task
-    parts = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # four blocks of BLOCK_BYTES have a few hundred thousand minimizers: as many go to a task
+    parts = max(-(-n // 4), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return found.repartition(parts, "m").mapInArrow(common_ones, "block int, m long, crowd boolean")
 
 
@@ -316,7 +316,7 @@ def class_minima(pieces: DataFrame, n: int, width: int) -> DataFrame:
         columns = [rows["block"].to_numpy()[row], of, of < 0, h, *(found[at, c] for c in (1, 2, 3))]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    parts = max(-(-n // 2), int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(-(-n // 8), int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = pieces.repartition(parts, "m").sortWithinPartitions("m", "h")
     return rows.mapInArrow(induce, "block int, m long, crowd boolean, piece_hash long, offset long, length long, least long")
 
