@@ -238,7 +238,7 @@ def near_groups(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_
     lanes = [f"f{i}" for i in range(LANES)]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             n, fps, keys = [], [], []
             for body in b[2].to_pylist():
                 h = shingles(body, size)
@@ -262,7 +262,7 @@ def near_groups(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_
     held = common.cut(held.join(sizes, "near"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.sliced(batches):
             sets = pa.array([shingles(x, size).tobytes() for x in b.column("body").to_pylist()], pa.binary())
             names = ["key", "near", "parts", "n", *lanes]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], sets], [*names, "hashes"])

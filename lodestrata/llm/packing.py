@@ -66,7 +66,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, slack: int, eos
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task = WordTokens.of(tokenizer), TaskContext.get().partitionId()
         end, seen = int(eos).to_bytes(4, "little"), {}
-        for batch in batches:
+        for batch in common.sliced(batches):
             rows = []
             for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 ids = memoryview(words.ids(text or "") + end)

@@ -9,8 +9,8 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries after which the cache of words starts anew (memory of a worker, not a cap on texts).
-CACHED = 500_000
+#: Entries of a generation of cached chunks, and of their parts, which cost more to make (memory of a worker, not a cap on texts).
+CACHED, CACHED_PARTS = 100_000, 180_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -25,7 +25,8 @@ class WordTokens:
 
     The tokenizer drops white space and never merges across it, so a text's ids are
     its chunks' ids in order.  A chunk of ASCII or plain Latin letters goes to the
-    BPE model directly; any other goes through the whole tokenizer.
+    BPE model directly; any other goes through the whole tokenizer.  What is cached lives
+    for a generation of so many entries, and for another if it is used again: frequent words stay.
     """
 
     def __init__(self, path: str):
@@ -33,6 +34,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.known, self.parts = self.tokenizer.model, {}, {}
+        self.known_before, self.parts_before = {}, {}
         self.alphabet = byte_alphabet()
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -44,10 +46,16 @@ class WordTokens:
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            found = self.parts[part] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+            found = self.parts_before.get(part)
+            if found is None:
+                found = self._spelled(part)
+            self.parts[part] = found
         return found
 
+    def _spelled(self, part: str) -> bytes:
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         if "<|" not in text:
@@ -68,10 +76,15 @@ class WordTokens:
             return b"".join([self.known[c] for c in chunks])
         except KeyError:
             if len(self.known) > CACHED:
-                self.known.clear()
-            if len(self.parts) > CACHED:
-                self.parts.clear()
+                self.known, self.known_before = {}, self.known
+            if len(self.parts) > CACHED_PARTS:
+                self.parts, self.parts_before = {}, self.parts
+            known, fresh = self.known, {}
             for c in set(chunks):
-                if c not in self.known:
-                    self.known[c] = self._chunk(c)
-            return b"".join([self.known[c] for c in chunks])
+                if c not in known:
+                    ids = self.known_before.get(c)
+                    fresh[c] = self._chunk(c) if ids is None else ids
+            if len(fresh) > CACHED:  # a text of so many words is not kept
+                return b"".join([known[c] if c in known else fresh[c] for c in chunks])
+            known |= fresh
+            return b"".join([known[c] for c in chunks])
