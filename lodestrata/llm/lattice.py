@@ -36,6 +36,8 @@ from .tokens import byte_alphabet
 #: Words of at least this share of all tokens travel with the code; there are at most 1 / HEAD of them.
 HEAD = 1e-6
 FLUSH = 400_000
+#: Words that go through a lattice together: groups of one length and the same components are then long enough for arrays to pay.
+GATHER = 80_000
 #: Classes of training texts with a component of their own, the most frequent ones; the component of all texts speaks for the others.
 CLASSES = 8
 FINAL = "</w>"
@@ -183,6 +185,19 @@ def _log_sum(terms: np.ndarray) -> np.ndarray:
         return safe + np.log(np.exp(terms - safe).sum(axis=0))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, at least so many at a time but at the end."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def word_counts(rows: DataFrame, classes: int) -> DataFrame:
     """(word binary, c0, c1 ..., c, held): counts in the training texts of each class, in all of them, and in held-out texts, over all documents.
 
@@ -239,7 +254,7 @@ def piece_scores(counts: DataFrame, vocabulary: str, classes: int, rounds: int =
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             pieces, uses = Pieces.of(vocabulary), np.zeros((size, width))
             lattice = Lattice(pieces.vocabulary, now.value) if now.value is not None else None
-            for batch in batches:
+            for batch in _gathered(batches, GATHER):
                 spelled = [pieces.spell(w) for w in batch[0].to_pylist()]
                 used = np.stack([c.to_numpy() > 0 for c in batch.columns[1:]], 1)
                 if lattice:
@@ -341,7 +356,7 @@ def score_texts(
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(vocabulary)
         lattice = Lattice(pieces.vocabulary, scores.value)
-        for batch in batches:
+        for batch in _gathered(batches, GATHER):
             c = np.stack([x.to_numpy().astype(np.float64) for x in batch.columns[2:]], 1)
             own = model.words(c, lattice.score([pieces.spell(w) for w in batch[0].to_pylist()]))
             base = np.log10((c[:, -1] + 0.5) / (n + 0.5 * (v + 1)))
