@@ -51,7 +51,7 @@ def train(rows: DataFrame, floor: float = 0.5) -> tuple[list[str], np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in common.sliced(batches):
             for lang, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 if text:
                     mine = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
@@ -61,7 +61,7 @@ def train(rows: DataFrame, floor: float = 0.5) -> tuple[list[str], np.ndarray]:
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(c[at])], ["lang", "bucket", "c"])
 
-    found = rows.mapInArrow(run, "lang string, bucket long, c long").groupBy("lang", "bucket").agg(F.sum("c").alias("c"))
+    found = rows.mapInArrow(common.thrifty(run), "lang string, bucket long, c long").groupBy("lang", "bucket").agg(F.sum("c").alias("c"))
     got = found.toPandas()  # at most BUCKETS rows a language
     langs = sorted(got["lang"].unique())
     counts = np.full((len(langs), BUCKETS), floor)
@@ -150,7 +150,7 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.value
-        for batch in batches:
+        for batch in common.sliced(batches):
             preds, scores, sets = [], [], []
             for text in batch[2].to_pylist():
                 if not langs or not text or not LETTER.search(text):
@@ -179,5 +179,5 @@ def identify(
     rows = rows.select("doc_id", "held_out", "text", *names)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[3:]]
     return rows.mapInArrow(
-        run, ", ".join(["doc_id long, held_out boolean, lang_pred string, score double, languages array<string>", *kinds])
+        common.thrifty(run), ", ".join(["doc_id long, held_out boolean, lang_pred string, score double, languages array<string>", *kinds])
     )

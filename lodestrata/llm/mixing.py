@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ def _before(rows: DataFrame, order: list[Column], sums: list[str]) -> DataFrame:
     for part, *values in totals:
         starts.append((part, *so_far))
         so_far = [a + b for a, b in zip(so_far, values, strict=True)]
-    start = rows.sparkSession.createDataFrame(starts, "part int, " + ", ".join(f"start_{c} long" for c in sums))
+    # an Arrow table is read by the JVM itself; a list of rows would start Python workers in the executors
+    kinds = pa.schema([("part", pa.int32()), *[(f"start_{c}", pa.int64()) for c in sums]])
+    start = rows.sparkSession.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, x, strict=True)) for x in starts], kinds))
     earlier = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = ranged.join(F.broadcast(start), "part")
     out = out.withColumns({f"before_{c}": F.col(f"start_{c}") + F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in sums})

@@ -180,7 +180,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     met = rows.join(sizes.filter("size > 1").drop("size"), "bucket").join(nodes.select("key", "n", *lanes), "key")
     pop = sum(F.bit_count(x) for x in lanes)
     tiles = _in_parts(met, "bucket").select("tile", "own", "key", "n", *lanes, pop.alias("pop"))
-    return tiles.repartition("tile").sortWithinPartitions("tile", "pop", "key").drop("pop").mapInArrow(_meet, "u long, v long").distinct()
+    return tiles.repartition("tile").sortWithinPartitions("tile", "pop", "key").drop("pop").mapInArrow(common.thrifty(_meet), "u long, v long").distinct()
 
 
 def confirmed(sets: list[np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -250,7 +250,7 @@ def near_groups(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_
             columns = [b[0], b[1], pa.array(n, pa.int64()), *[pa.array(fp[:, x]) for x in range(LANES)], filed]
             yield pa.RecordBatch.from_arrays(columns, ["id", "key", "n", *lanes, "bands"])
 
-    told = rows.mapInArrow(features, "id long, key long, n long, " + ", ".join(f"{x} long" for x in lanes) + ", bands array<long>")
+    told = rows.mapInArrow(common.thrifty(features), "id long, key long, n long, " + ", ".join(f"{x} long" for x in lanes) + ", bands array<long>")
     nodes = common.cut(told.groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", *lanes, "bands")]))
     found = components(candidates(nodes.select("key", "n", *lanes, "bands"))).select(F.col("node").alias("key"), F.col("component").alias("near"))
     # a group's first text is not among its nodes
@@ -270,7 +270,7 @@ def near_groups(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_
     # copies meet map by map before their text travels
     texts = rows.groupBy("key").agg(F.first("body").alias("body")).join(held, "key")
     kinds = "key long, near long, parts int, n long, " + ", ".join(f"{x} long" for x in lanes) + ", hashes binary"
-    sets = _in_parts(texts.mapInArrow(hashed, kinds), "near")
+    sets = _in_parts(texts.mapInArrow(common.thrifty(hashed), kinds), "near")
     links = sets.drop("near", "parts").groupBy("tile").applyInArrow(_confirm, "u long, v long")
     named = components(links)
     return nodes.join(named, nodes["key"] == named["node"], "left").select("key", "id", F.coalesce("component", "key").alias("group"))

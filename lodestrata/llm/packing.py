@@ -80,7 +80,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, slack: int, eos
                 names = [c.split()[0] for c in PIECES.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, PIECES)
+    return docs.mapInArrow(common.thrifty(run), PIECES)
 
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:

@@ -34,13 +34,13 @@ from .induced import permuted_lcp, suffix_array
 
 GRAM = 20
 BLOCK_BYTES = 2 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Documents are joined up to this size for their windows to be computed at once (a longer one by itself).
-JOIN_BYTES = 1 << 19
+JOIN_BYTES = 1 << 18
 #: Windows in a piece at most; longer runs go on as several pieces.
 RUN = 512
 #: A minimizer whose pieces take more bytes than this sends its windows one by one, each to the shard of its own hash.
-CROWDED = SHARD_BYTES
+CROWDED = 2 << 20
 #: Blocks that one task handles one after the other.
 BLOCKS_A_TASK = 64
 NO_ID = (1 << 63) - 1
@@ -181,10 +181,10 @@ def shared_minima(rows: DataFrame, first: DataFrame, n: int, width: int, k: int,
         shared = np.repeat(docs > 1, times)
         yield pa.RecordBatch.from_arrays([(source[shared] >> 34).astype(np.int32), m[shared], np.repeat(size > crowded, times)[shared]], ["block", "m", "crowd"])
 
-    found = _by_block(rows, n).cogroup(_by_block(first, n)).applyInArrow(seen, "m long, source long")
+    found = _by_block(rows, n).cogroup(_by_block(first, n)).applyInArrow(common.thrifty_pair(seen), "m long, source long")
     # four blocks of BLOCK_BYTES have a few hundred thousand minimizers: as many go to a task
     parts = max(-(-n // 4), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return found.repartition(parts, "m").mapInArrow(common_ones, "block int, m long, crowd boolean")
+    return found.repartition(parts, "m").mapInArrow(common.thrifty(common_ones), "block int, m long, crowd boolean")
 
 
 def _find_pieces(texts: list[bytes], wanted: np.ndarray, crowd: np.ndarray, width: int, k: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -254,7 +254,7 @@ def block_pieces(rows: DataFrame, side: DataFrame, n: int, width: int, k: int) -
         columns = [[key[0] for key in found], [key[1] for key in found], [v[0] for v in values], [block] * len(found), [v[1] for v in values], [v[2] for v in values]]
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
-    return _by_block(rows, n).cogroup(_by_block(side, n)).applyInArrow(collect, "m long, h long, piece binary, block int, least long, most long")
+    return _by_block(rows, n).cogroup(_by_block(side, n)).applyInArrow(common.thrifty_pair(collect), "m long, h long, piece binary, block int, least long, most long")
 
 
 def class_minima(pieces: DataFrame, n: int, width: int) -> DataFrame:
@@ -283,6 +283,7 @@ def class_minima(pieces: DataFrame, n: int, width: int) -> DataFrame:
                     whole = int(np.searchsorted(table["m"].to_numpy(), table["m"][-1].as_py()))
                     if whole:
                         yield solve(table.slice(0, whole))
+                        common.give_back()
                         rest = table.slice(whole)
                         held, size = rest.to_batches(), pc.sum(pc.binary_length(rest["piece"])).as_py()
         if held:
@@ -318,7 +319,7 @@ def class_minima(pieces: DataFrame, n: int, width: int) -> DataFrame:
 
     parts = max(-(-n // 8), int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = pieces.repartition(parts, "m").sortWithinPartitions("m", "h")
-    return rows.mapInArrow(induce, "block int, m long, crowd boolean, piece_hash long, offset long, length long, least long")
+    return rows.mapInArrow(common.thrifty(induce), "block int, m long, crowd boolean, piece_hash long, offset long, length long, least long")
 
 
 def _changes(*columns) -> np.ndarray:
@@ -430,7 +431,7 @@ def _drop_covered(rows: DataFrame, side: DataFrame, n: int, width: int, k: int,
 
     schema = f"doc_id long, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long, text_hash long"
     schema = ", ".join([schema, *(f"`{f.name}` {f.dataType.simpleString()}" for f in held)])
-    return _by_block(rows, n).cogroup(_by_block(side, n)).applyInArrow(drop, schema)
+    return _by_block(rows, n).cogroup(_by_block(side, n)).applyInArrow(common.thrifty_pair(drop), schema)
 
 
 def _plain(table: pa.Table) -> pa.Table:
