@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _common as common
-from .tokens import WordTokens
+from .tokens import WordTokens, by_size
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, klass int, task int, local_rank long"
 
@@ -66,14 +66,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, slack: int, eos
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task = WordTokens.of(tokenizer), TaskContext.get().partitionId()
         end, seen = int(eos).to_bytes(4, "little"), {}
-        for batch in common.sliced(batches):
+        for part in (part for batch in batches for part in by_size(batch, texts=1)):
             rows = []
-            for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                ids = memoryview(words.ids(text or "") + end)
+            data, ends = words.batch(part[1])
+            for doc_id, start, stop in zip(part[0].to_pylist(), ends, ends[1:], strict=False):
+                ids = bytes(data[start:stop]) + end
                 n, at = len(ids) // 4, 0
                 for length, k in cuts(n, capacity, slack):
                     seen[k] = seen.get(k, -1) + 1
-                    rows.append((doc_id, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)]), n, k, task, seen[k]))
+                    rows.append((doc_id, at, length, zlib.crc32(memoryview(ids)[4 * at : 4 * (at + length)]), n, k, task, seen[k]))
                     at += length
             if rows:
                 kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64()]
